@@ -20,6 +20,7 @@ from strata.config import (
     PRIMARY_KEY,
     LayerTables,
 )
+from strata.functions.columns import money_sum
 from strata.operators.curated import build_curated_customer_metrics, create_curated_df
 from strata.operators.customer import (
     add_audit_columns,
@@ -189,7 +190,7 @@ def quality_report(spark, sf):
         Q.check_expected_schema(raw, RAW_EXPECTED_TYPES),
         Q.run_checks(operational, op_rules),
         Q.check_allowed_values(curated, "customer_tier", CUSTOMER_TIERS),
-        check_compare_by_key(operational.groupBy("customer_id").agg(F.sum("amount").alias("total_amount")),
+        check_compare_by_key(operational.groupBy("customer_id").agg(money_sum("amount").alias("total_amount")),
                              curated, ["customer_id"], ["total_amount"], check_name="curated_total_matches"),
     ]
     return Q.union_checks(frames)
@@ -279,7 +280,7 @@ def incremental_file_load_events(spark, sf):
     target = scratch_path(spark, "events_table")
     ckpt = scratch_path(spark, "events_ckpt")
     events = base(spark, sf, "events")
-    opts = {"escape": '"'}
+    opts = {"escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     events.where(F.col("event_id") % 2 == 0).write.mode("append").option("header", "true").options(**opts).csv(landing)
     incremental_file_load(spark, landing, target, ckpt, EVENT_SCHEMA, **opts)
     events.where(F.col("event_id") % 2 == 1).write.mode("append").option("header", "true").options(**opts).csv(landing)

@@ -66,7 +66,9 @@ def scenario_of(n: Column) -> Column:
 
 def synthesize_customers(df: DataFrame, record_col: str = "id", seed: int = 42) -> DataFrame:
     """Dirty raw customer rows, one per record number in ``record_col``."""
-    n = F.col(record_col).cast("long")
+    base = df.select(F.col(record_col).cast("long").alias("record_no"))
+    base = base.withColumn("scenario", scenario_of(F.col("record_no")))
+    n = F.col("record_no")
     sc = F.col("scenario")
     d2020, d2021, d2025 = _dt.date(2020, 1, 1), _dt.date(2021, 1, 1), _dt.date(2025, 12, 31)
     first = pick(SYNTH_FIRST_NAMES, mix(n, 1, seed))
@@ -76,8 +78,6 @@ def synthesize_customers(df: DataFrame, record_col: str = "id", seed: int = 42)
     def cid(x: Column) -> Column:
         return F.format_string("C%05d", x)
 
-    base = df.select(n.alias("record_no")).withColumn("scenario", scenario_of(F.col("record_no")))
-    n = F.col("record_no")
     valid_status = pick(SYNTH_VALID_STATUSES, mix(n, 6, seed))
     invalid_status = pick(SYNTH_INVALID_STATUSES, mix(n, 6, seed))
     signup = F.when(sc == "normal", random_date(mix(n, 7, seed), d2021, d2025)).otherwise(
