@@ -41,17 +41,27 @@ def apply_scd_type_2(
     cols = dim_df.columns
     k, c = business_key, change_col
 
-    incoming_latest = (
-        incoming_df.groupBy(F.col(k).alias("_in_key"))
-        .agg(F.max(F.struct(F.col(incoming_ts_col).alias("ts"), F.col(c).alias("val"))).alias("_in"))
-        .select("_in_key",
-                F.col("_in.ts").cast(schema[effective_start_col].dataType).alias("_in_ts"),
-                F.col("_in.val").cast(schema[c].dataType).alias("_in_val"),
-                F.lit(True).alias("_in_present"))
-    )
+    def latest(frame: DataFrame) -> DataFrame:
+        return (frame.groupBy(F.col(k).alias("_in_key"))
+                .agg(F.max(F.struct(F.col(incoming_ts_col).alias("ts"), F.col(c).alias("val"))).alias("_in"))
+                .select("_in_key",
+                        F.col("_in.ts").cast(schema[effective_start_col].dataType).alias("_in_ts"),
+                        F.col("_in.val").cast(schema[c].dataType).alias("_in_val"),
+                        F.lit(True).alias("_in_present")))
+
     is_current = F.col(is_current_col).eqNullSafe(F.lit(True))
     current = dim_df.where(is_current).withColumn("_cur_present", F.lit(True))
-    joined = current.join(incoming_latest, current[k].eqNullSafe(incoming_latest["_in_key"]), "full_outer")
+    # Non-NULL keys: a plain equi full outer join.  The incoming side is
+    # already hash-partitioned on the key by its aggregation, so only the
+    # current side is shuffled (or none, when the dimension is bucketed).
+    inc_keyed = latest(incoming_df.where(F.col(k).isNotNull()))
+    cur_keyed = current.where(F.col(k).isNotNull())
+    joined = cur_keyed.join(inc_keyed, cur_keyed[k] == inc_keyed["_in_key"], "full_outer")
+    # NULL keys match each other (null-safe); both sides are tiny after the
+    # incoming rows collapsed to one.
+    inc_null = latest(incoming_df.where(F.col(k).isNull()))
+    cur_null = current.where(F.col(k).isNull())
+    joined = joined.unionByName(cur_null.join(inc_null, cur_null[k].eqNullSafe(inc_null["_in_key"]), "full_outer"))
 
     def row(overrides: dict) -> Column:
         return F.struct(*[
