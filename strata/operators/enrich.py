@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 from strata.config import UNKNOWN
 
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def has_at_most_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(n + 1).count()`` stops scanning as soon as ``n + 1`` rows were
-    seen, so the check costs at most one pass over ``n + 1`` rows however
-    large the frame is.
+    ``take`` scans partitions incrementally (one, then a growing number)
+    and stops as soon as ``max_rows + 1`` rows were produced, so the probe
+    reads O(max_rows) rows however large ``df`` is, and ships at most
+    ``max_rows + 1`` single-literal rows to the driver -- less than the
+    broadcast it guards would ship anyway.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return len(df.select(F.lit(0).alias("_probe")).take(max_rows + 1)) <= max_rows
 
 
 def enrich_with_reference_data(df: DataFrame, lookup_df: DataFrame, join_key: str = "customer_id",
@@ -44,7 +46,7 @@ def enrich_with_reference_data(df: DataFrame, lookup_df: DataFrame, join_key: st
         return (frame.withColumn(value_col, F.coalesce(F.col(lv), F.lit(default)))
                 .select(*out_cols))
 
-    if broadcast_max_rows is not None and has_at_most_rows(lookup_df, broadcast_max_rows):
+    if broadcast_max_rows is not None and has_at_most_rows(lookup_df.select(lookup_key), broadcast_max_rows):
         return finish(df.join(F.broadcast(lookup), df[join_key] == lookup[lk], "left"))
     keyed = df.where(F.col(join_key).isNotNull())
     matched = keyed.join(lookup, keyed[join_key] == lookup[lk], "left")

@@ -49,7 +49,7 @@ from strata.operators.reconcile import (
 )
 from strata.operators.scd import apply_scd_type_2
 from strata.plans.job import run_medallion
-from strata.plans.staged import CUSTOMER_AS_OF, base, staged
+from strata.plans.staged import CUSTOMER_AS_OF, _memo, base, staged
 from strata.session import scratch_path
 from strata.sources.readers import read_csv, read_raw_csv, read_sql, read_table, read_txt
 from strata.sources.sinks import write_table
@@ -62,7 +62,11 @@ def _raw(spark, sf):
 
 
 def _operational(spark, sf):
-    return apply_advanced_customer_transformations(_raw(spark, sf), as_of=CUSTOMER_AS_OF)
+    memo = _memo(spark)
+    key = ("operational", sf)
+    if key not in memo:
+        memo[key] = apply_advanced_customer_transformations(_raw(spark, sf), as_of=CUSTOMER_AS_OF)
+    return memo[key]
 
 
 # -- projections -------------------------------------------------------------
@@ -182,9 +186,8 @@ def quality_report(spark, sf):
         Q.allowed_values("customer_tier", CUSTOMER_TIERS, null_is_violation=True),
     ]
     frames = [
-        Q.check_not_empty(raw),
+        Q.run_checks(raw, raw_rules, include_not_empty=True),   # one pass over raw for all row rules
         Q.check_record_count(raw, operational),
-        Q.run_checks(raw, raw_rules),
         Q.check_duplicates(raw, PRIMARY_KEY),
         Q.check_columns(raw, MANDATORY_COLUMNS + ("full_name",)),
         Q.check_expected_schema(raw, RAW_EXPECTED_TYPES),

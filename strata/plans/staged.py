@@ -72,24 +72,44 @@ CUSTOMER_AS_OF = "2002-01-01"
 EVENT_AS_OF = "2024-02-01"
 
 
-def register_base_tables(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:
-    for t in tables:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+def _memo(spark: SparkSession) -> dict:
+    """Per-session memo of lazily defined input frames (no data is cached)."""
+    memo = getattr(spark, "_strata_inputs", None)
+    if memo is None:
+        memo = {}
+        spark._strata_inputs = memo
+    return memo
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver table ``name`` of ``sf_dir`` (read definition reused per session)."""
+    memo = _memo(spark)
+    key = ("base", sf_dir, name)
+    if key not in memo:
+        memo[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return memo[key]
+
+
+def register_base_tables(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:
+    for t in tables:
+        base(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The staged view ``name`` over the tables of ``sf_dir``."""
-    needed = ("customer", "orders", "events", "nation")
-    register_base_tables(spark, sf_dir, needed)
-    for dep in STAGED_DEPS.get(name, ()):
-        spark.sql(STAGED_SQL[dep]).createOrReplaceTempView(dep)
-    df = spark.sql(STAGED_SQL[name])
-    df.createOrReplaceTempView(name)
-    return df
+    """The staged view ``name`` over the tables of ``sf_dir``.
+
+    The SQL is resolved once per (session, folder); the returned frame is
+    bound to its own parquet relations, so later re-registrations of the
+    view names for another folder cannot change it.
+    """
+    memo = _memo(spark)
+    key = ("staged", sf_dir, name)
+    if key not in memo:
+        register_base_tables(spark, sf_dir, ("customer", "orders", "events", "nation"))
+        for dep in STAGED_DEPS.get(name, ()):
+            spark.sql(STAGED_SQL[dep]).createOrReplaceTempView(dep)
+        memo[key] = spark.sql(STAGED_SQL[name])
+    return memo[key]
 
 
 def cte(*names: str) -> str:

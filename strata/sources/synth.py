@@ -66,30 +66,38 @@ def scenario_of(n: Column) -> Column:
 
 def synthesize_customers(df: DataFrame, record_col: str = "id", seed: int = 42) -> DataFrame:
     """Dirty raw customer rows, one per record number in ``record_col``."""
+    # The twelve per-field hashes are computed once, in their own projection;
+    # the field rules below only reference them (small expression trees, each
+    # hash evaluated once per row).
     base = df.select(F.col(record_col).cast("long").alias("record_no"))
-    base = base.withColumn("scenario", scenario_of(F.col("record_no")))
+    base = base.select("record_no", scenario_of(F.col("record_no")).alias("scenario"),
+                       *[mix(F.col("record_no"), f, seed).alias(f"_h{f}") for f in range(1, 13)])
     n = F.col("record_no")
     sc = F.col("scenario")
+
+    def h(f: int) -> Column:
+        return F.col(f"_h{f}")
+
     d2020, d2021, d2025 = _dt.date(2020, 1, 1), _dt.date(2021, 1, 1), _dt.date(2025, 12, 31)
-    first = pick(SYNTH_FIRST_NAMES, mix(n, 1, seed))
-    last = pick(SYNTH_LAST_NAMES, mix(n, 2, seed))
-    domain = pick(SYNTH_DOMAINS, mix(n, 5, seed))
+    first = pick(SYNTH_FIRST_NAMES, h(1))
+    last = pick(SYNTH_LAST_NAMES, h(2))
+    domain = pick(SYNTH_DOMAINS, h(5))
 
     def cid(x: Column) -> Column:
         return F.format_string("C%05d", x)
 
-    valid_status = pick(SYNTH_VALID_STATUSES, mix(n, 6, seed))
-    invalid_status = pick(SYNTH_INVALID_STATUSES, mix(n, 6, seed))
-    signup = F.when(sc == "normal", random_date(mix(n, 7, seed), d2021, d2025)).otherwise(
-        random_date(mix(n, 7, seed), d2020, d2025))
-    other_day = random_date(mix(n, 9, seed), d2020, d2025)
-    offset = mix(n, 10, seed)
+    valid_status = pick(SYNTH_VALID_STATUSES, h(6))
+    invalid_status = pick(SYNTH_INVALID_STATUSES, h(6))
+    signup = F.when(sc == "normal", random_date(h(7), d2021, d2025)).otherwise(
+        random_date(h(7), d2020, d2025))
+    other_day = random_date(h(9), d2020, d2025)
+    offset = h(10)
     updated_day = (F.when(sc == "blank_identity", F.date_add(other_day, (offset % 365 + 1).cast("int")))
                    .when(sc == "invalid_email", F.date_add(other_day, (offset % 220 + 1).cast("int")))
                    .when(sc == "missing_email", F.date_add(other_day, (offset % 300 + 1).cast("int")))
                    .when(sc == "invalid_status", F.date_add(other_day, (offset % 45 + 1).cast("int")))
                    .otherwise(F.date_add(signup, (offset % 180 + 1).cast("int"))))
-    h_amt = mix(n, 8, seed)
+    h_amt = h(8)
     amount = (F.when(sc == "blank_identity", uniform_cents(h_amt, -1500, 800))
               .when(sc == "invalid_email", uniform_cents(h_amt, -500, 3500))
               .when(sc == "missing_email", uniform_cents(h_amt, -150, 2000))
@@ -107,15 +115,15 @@ def synthesize_customers(df: DataFrame, record_col: str = "id", seed: int = 42)
         (F.when(sc.isin("blank_identity", "missing_email"), F.lit(None).cast("string"))
          .when(sc == "invalid_email", F.lit("invalid-email"))
          .when(sc == "invalid_status",
-               F.concat(F.lower(pick(SYNTH_FIRST_NAMES, mix(n, 3, seed))), F.lit("."),
-                        F.lower(pick(SYNTH_LAST_NAMES, mix(n, 4, seed))), F.lit("@"), domain))
+               F.concat(F.lower(pick(SYNTH_FIRST_NAMES, h(3))), F.lit("."),
+                        F.lower(pick(SYNTH_LAST_NAMES, h(4))), F.lit("@"), domain))
          .otherwise(F.concat(F.lower(first), F.lit("."), F.lower(last), F.lit("@"), domain))).alias("email"),
         F.when(status == "", F.lit(None).cast("string")).otherwise(status).alias("status"),
         signup.alias("signup_date"),
         amount.alias("amount"),
         updated_day.cast("timestamp_ntz").alias("updated_at"),
-        pick(SYNTH_REGIONS, mix(n, 11, seed)).alias("region"),
-        pick(SYNTH_SOURCE_SYSTEMS, mix(n, 12, seed)).alias("source_system"),
+        pick(SYNTH_REGIONS, h(11)).alias("region"),
+        pick(SYNTH_SOURCE_SYSTEMS, h(12)).alias("source_system"),
     )
 
 
