@@ -75,3 +75,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder.
+
+    Cuts the lineage (a lost executor re-reads the written partitions
+    instead of recomputing the plan) and lets several actions share one
+    computation.  Falls back to the lazy frame where the session offers no
+    checkpointing (e.g. a remote client).
+    """
+    try:
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    except Exception:  # pragma: no cover - sessions without RDD checkpointing
+        return df
