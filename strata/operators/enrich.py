@@ -6,20 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import UNKNOWN
+from strata.operators.keymap import has_at_most_rows, join_key_map, key_map
 
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
-
-def has_at_most_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``take`` scans partitions incrementally (one, then a growing number)
-    and stops as soon as ``max_rows + 1`` rows were produced, so the probe
-    reads O(max_rows) rows however large ``df`` is, and ships at most
-    ``max_rows + 1`` single-literal rows to the driver -- less than the
-    broadcast it guards would ship anyway.
-    """
-    return len(df.select(F.lit(0).alias("_probe")).take(max_rows + 1)) <= max_rows
+__all__ = ["enrich_with_reference_data", "has_at_most_rows", "DEFAULT_BROADCAST_MAX_ROWS"]
 
 
 def enrich_with_reference_data(df: DataFrame, lookup_df: DataFrame, join_key: str = "customer_id",
@@ -28,18 +19,16 @@ def enrich_with_reference_data(df: DataFrame, lookup_df: DataFrame, join_key: st
                                broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Bring ``value_col`` from ``lookup_df`` (``default`` when absent), keep ``df``'s key.
 
-    The lookup side is renamed first (no ambiguity when both frames share
-    names) and reduced to one value per key (greatest value), so duplicate
-    lookup keys cannot multiply rows.  It is broadcast only after a bounded
-    row count proved it has at most ``broadcast_max_rows`` rows; otherwise
-    the join is a shuffled join on the key (AQE may still pick a broadcast
-    at runtime from measured sizes), and rows whose key is NULL -- which can
-    never match -- bypass it so they do not pile up in one reducer.
+    The lookup side is renamed (no ambiguity when both frames share names)
+    and reduced to one value per key (greatest value), so duplicate lookup
+    keys cannot multiply rows.  A lookup proven small by a bounded probe
+    (at most ``broadcast_max_rows`` rows) is broadcast as is.  A large one is
+    first reduced to the keys ``df`` actually uses (one grouped pass with
+    map-side combining, see :mod:`strata.operators.keymap`); that key map is
+    broadcast when proven small, else joined by a shuffle.  Rows whose key is
+    NULL never match and bypass the join.
     """
     lk, lv = "_lookup_key", "_lookup_value"
-    lookup = (lookup_df.select(F.col(lookup_key).alias(lk), F.col(value_col).alias(lv))
-              .where(F.col(lk).isNotNull())
-              .groupBy(lk).agg(F.max(lv).alias(lv)))
     out_cols = [c for c in df.columns if c != value_col] + [value_col]
 
     def finish(frame: DataFrame) -> DataFrame:
@@ -47,9 +36,10 @@ def enrich_with_reference_data(df: DataFrame, lookup_df: DataFrame, join_key: st
                 .select(*out_cols))
 
     if broadcast_max_rows is not None and has_at_most_rows(lookup_df.select(lookup_key), broadcast_max_rows):
+        lookup = (lookup_df.select(F.col(lookup_key).alias(lk), F.col(value_col).alias(lv))
+                  .where(F.col(lk).isNotNull())
+                  .groupBy(lk).agg(F.max(lv).alias(lv)))
         return finish(df.join(F.broadcast(lookup), df[join_key] == lookup[lk], "left"))
-    keyed = df.where(F.col(join_key).isNotNull())
-    matched = keyed.join(lookup, keyed[join_key] == lookup[lk], "left")
-    unmatched = (df.where(F.col(join_key).isNull())
-                 .withColumns({lk: F.lit(None), lv: F.lit(None).cast(lookup.schema[lv].dataType)}))
-    return finish(matched.unionByName(unmatched, allowMissingColumns=True))
+    kmap = key_map(df, join_key, lookup_df.select(lookup_key, F.col(value_col).alias(lv)), lookup_key,
+                   {lv: F.max(lv)}, key_alias=lk)
+    return finish(join_key_map(df, join_key, kmap, "left", key_alias=lk, broadcast_max_rows=broadcast_max_rows))

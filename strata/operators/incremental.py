@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import UPSERT
+from strata.operators.keymap import DEFAULT_MAP_BROADCAST_ROWS, join_key_map, key_map
 
 
 # -- B8 ---------------------------------------------------------------------
@@ -49,22 +50,23 @@ def latest_per_key(df: DataFrame, key_columns: Iterable[str], order_by: Iterable
 
 # -- D2 ---------------------------------------------------------------------
 def create_cdc_incremental_load(current_df: DataFrame, incoming_df: DataFrame, key_col: str = "customer_id",
-                                timestamp_col: str = "updated_at") -> DataFrame:
+                                timestamp_col: str = "updated_at",
+                                broadcast_max_rows: int | None = DEFAULT_MAP_BROADCAST_ROWS) -> DataFrame:
     """Upsert delta: incoming rows whose key is new, or newer than the current version.
 
-    The current side is first reduced to its latest timestamp per key (a
-    partial + final hash aggregate), so duplicate current keys cannot fan
-    out the delta and the join input is one row per key.  Equal timestamps
-    are not newer (strict ``>``).  Incoming rows with a NULL key can never
-    match; they bypass the join instead of all hashing to one reducer.
+    The current side is reduced to its latest timestamp per key, restricted
+    to the keys of the incoming batch (one grouped pass with map-side
+    combining over both sides), so duplicate current keys cannot fan out the
+    delta and no incoming hot key can skew a shuffle.  That key map is
+    broadcast when proven small (the incoming batch is then never shuffled),
+    else joined by a shuffle.  Equal timestamps are not newer (strict ``>``).
+    Incoming rows with a NULL key can never match and are kept.
     """
     cur_ts = f"{timestamp_col}_current"
-    current_latest = (current_df.where(F.col(key_col).isNotNull())
-                      .groupBy(key_col).agg(F.max(timestamp_col).alias(cur_ts)))
-    others = [c for c in incoming_df.columns if c != key_col]
-    keyed = (incoming_df.where(F.col(key_col).isNotNull())
-             .join(current_latest, key_col, "left")
-             .where(F.col(cur_ts).isNull() | (F.col(timestamp_col) > F.col(cur_ts)))
-             .select(key_col, *others))
-    null_keyed = incoming_df.where(F.col(key_col).isNull()).select(key_col, *others)
-    return keyed.unionByName(null_keyed).withColumn("row_action", F.lit(UPSERT))
+    kmap = key_map(incoming_df, key_col, current_df.select(key_col, F.col(timestamp_col).alias(cur_ts)), key_col,
+                   {cur_ts: F.max(cur_ts)})
+    joined = join_key_map(incoming_df, key_col, kmap, "left", broadcast_max_rows=broadcast_max_rows)
+    return (joined.where(F.col(cur_ts).isNull() | (F.col(timestamp_col) > F.col(cur_ts)))
+            .select(*incoming_df.columns)
+            .select(key_col, *[c for c in incoming_df.columns if c != key_col])
+            .withColumn("row_action", F.lit(UPSERT)))

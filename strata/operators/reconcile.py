@@ -94,7 +94,7 @@ def reconcile_fact_dimension(fact_df: DataFrame, dim_df: DataFrame, fact_key: st
     shuffled semi join.  NULL fact keys never match and are kept directly.
     ``metric_col`` is accepted for call compatibility.
     """
-    from strata.operators.enrich import has_at_most_rows
+    from strata.operators.keymap import has_at_most_rows
 
     keys = orphan_keys(fact_df, dim_df, fact_key, dim_key).withColumnRenamed(fact_key, "_orphan_key")
     # Materialize the key set once in the shared checkpoint folder: the size
