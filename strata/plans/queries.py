@@ -246,10 +246,10 @@ def multiline_csv_round_trip(spark, sf):
 
 
 def sql_source(spark, sf):
-    base(spark, sf, "customer").createOrReplaceTempView("customer")
     return read_sql(spark, """
         SELECT c_mktsegment, count(*) AS customers, min(c_acctbal) AS min_balance, max(c_acctbal) AS max_balance
-        FROM customer WHERE c_acctbal >= :min_balance GROUP BY c_mktsegment""", args={"min_balance": 0.0})
+        FROM {customer} WHERE c_acctbal >= :min_balance GROUP BY c_mktsegment""", args={"min_balance": 0.0},
+                    customer=base(spark, sf, "customer"))
 
 
 def table_source(spark, sf):

@@ -2,8 +2,9 @@
 
 The driver tables carry no NULLs, orphans or duplicate customer ids, so
 these views inject them with fixed arithmetic.  Each statement is plain SQL
-accepted by Spark and DuckDB alike; in Spark they become temp views (in this
-order), in a DuckDB oracle they are prefixed as CTEs.  They read whole
+accepted by Spark and DuckDB alike, with ``{table}`` placeholders: Spark binds
+DataFrames to them, a DuckDB oracle fills in the view names and prefixes the
+statements as CTEs.  They read whole
 tables: the modulo terms only decide which rows get a NULL / orphan /
 change, or which half of ``events`` is "current" and which "incoming".
 """
@@ -28,40 +29,40 @@ SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE '  c' || lpad(CAST(c_custkey %
        CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE CASE WHEN c_custkey % 3 = 0 THEN CAST(floor(c_acctbal / 8) AS DOUBLE) + 0.003 ELSE c_acctbal END END AS amount,
        make_date(CAST(2002 + c_custkey % 3 AS INT), CAST(1 + c_custkey % 12 AS INT), 1) AS updated_at,
        ' north ' AS region, 'erp' AS source_system
-FROM customer""",
+FROM {customer}""",
     "cdc_current": """
-SELECT user_id AS customer_id, max(ts) AS updated_at FROM events WHERE event_id % 2 = 0 AND user_id % 5 <> 0 GROUP BY user_id""",
+SELECT user_id AS customer_id, max(ts) AS updated_at FROM {events} WHERE event_id % 2 = 0 AND user_id % 5 <> 0 GROUP BY user_id""",
     "cdc_incoming": """
 SELECT CASE WHEN event_id % 997 = 0 THEN NULL ELSE user_id END AS customer_id,
        CASE WHEN event_id % 991 = 0 THEN NULL ELSE ts END AS updated_at, event_type AS status, value AS amount
-FROM events WHERE event_id % 2 = 1 OR event_id % 997 = 0
+FROM {events} WHERE event_id % 2 = 1 OR event_id % 997 = 0
 UNION ALL
-SELECT customer_id, updated_at, 'tie', 0.0 FROM cdc_current WHERE customer_id % 3 = 0""",
+SELECT customer_id, updated_at, 'tie', 0.0 FROM {cdc_current} WHERE customer_id % 3 = 0""",
     "dim_customer": """
 SELECT c_custkey AS customer_id, c_mktsegment AS status, DATE '2023-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, TRUE AS is_current, 1 AS version_no
-FROM customer WHERE c_custkey % 10 <> 0
+FROM {customer} WHERE c_custkey % 10 <> 0
 UNION ALL
-SELECT c_custkey, 'OLD', DATE '2022-01-01', DATE '2023-01-01', FALSE, 0 FROM customer WHERE c_custkey % 10 = 1""",
+SELECT c_custkey, 'OLD', DATE '2022-01-01', DATE '2023-01-01', FALSE, 0 FROM {customer} WHERE c_custkey % 10 = 1""",
     "scd_incoming": """
 SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 3 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS status, DATE '2024-01-01' AS updated_at
-FROM customer WHERE c_custkey % 4 <> 0""",
+FROM {customer} WHERE c_custkey % 4 <> 0""",
     "dim_keys": """
-SELECT c_custkey AS customer_id FROM customer WHERE c_custkey % 10 <> 0""",
+SELECT c_custkey AS customer_id FROM {customer} WHERE c_custkey % 10 <> 0""",
     "fact_orders": """
-SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_custkey END AS customer_id, o_orderkey AS order_id, o_totalprice AS amount FROM orders""",
+SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_custkey END AS customer_id, o_orderkey AS order_id, o_totalprice AS amount FROM {orders}""",
     "orders_in": """
 SELECT ' o' || CAST(o_orderkey AS STRING) AS order_id, ' c' || CAST(o_custkey AS STRING) || ' ' AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'delivered' WHEN '2-HIGH' THEN ' Shipped' WHEN '3-MEDIUM' THEN 'pending' WHEN '5-LOW' THEN 'PROCESSING'
             ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'RETURNED' ELSE NULL END END AS order_status,
        CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_orderkey % 900 AS DOUBLE) - 100.25 END AS gross_amount,
        CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(o_orderkey % 40 AS DOUBLE) * 5 END AS discount_amount
-FROM orders""",
+FROM {orders}""",
     "event_amounts": """
 SELECT user_id AS customer_id, value AS amount, CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value,
        event_type = 'error' AS needs_review, CASE WHEN value >= 200 THEN 'HIGH' ELSE 'LOW' END AS risk_flag, 'BRONZE' AS customer_tier
-FROM events""",
+FROM {events}""",
     "nation_lookup": """
-SELECT n_nationkey AS lookup_key, n_name AS customer_segment FROM nation WHERE n_nationkey % 4 <> 0""",
+SELECT n_nationkey AS lookup_key, n_name AS customer_segment FROM {nation} WHERE n_nationkey % 4 <> 0""",
 }
 
 # Which staged views each staged view reads (for CTE prefixes).
@@ -90,28 +91,31 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return memo[key]
 
 
-def register_base_tables(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:
-    for t in tables:
-        base(spark, sf_dir, t).createOrReplaceTempView(t)
-
-
 def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The staged view ``name`` over the tables of ``sf_dir``.
 
-    The SQL is resolved once per (session, folder); the returned frame is
-    bound to its own parquet relations, so later re-registrations of the
-    view names for another folder cannot change it.
+    The SQL is resolved once per (session, folder).  Tables are bound as
+    DataFrame parameters of ``spark.sql`` (each gets a private, uniquely named
+    view), so no session view is created or replaced and concurrent queries
+    over different folders cannot see each other's inputs.
     """
     memo = _memo(spark)
     key = ("staged", sf_dir, name)
     if key not in memo:
-        register_base_tables(spark, sf_dir, ("customer", "orders", "events", "nation"))
+        sql = STAGED_SQL[name]
+        frames = {t: base(spark, sf_dir, t) for t in ("customer", "orders", "events", "nation") if f"{{{t}}}" in sql}
         for dep in STAGED_DEPS.get(name, ()):
-            spark.sql(STAGED_SQL[dep]).createOrReplaceTempView(dep)
-        memo[key] = spark.sql(STAGED_SQL[name])
+            frames[dep] = staged(spark, sf_dir, dep)
+        memo[key] = spark.sql(sql, **frames)
     return memo[key]
 
 
+def plain_sql(name: str) -> str:
+    """The staged SQL with plain table names (for engines reading registered views)."""
+    sql = STAGED_SQL[name]
+    return sql.format(**{t: t for t in ("customer", "orders", "events", "nation", "cdc_current")})
+
+
 def cte(*names: str) -> str:
     """``WITH`` prefix defining the given staged views (dependencies first)."""
     order: list[str] = []
@@ -121,4 +125,4 @@ def cte(*names: str) -> str:
                 order.append(dep)
         if n not in order:
             order.append(n)
-    return "WITH " + ",\n".join(f"{n} AS ({STAGED_SQL[n].strip()})" for n in order) + "\n"
+    return "WITH " + ",\n".join(f"{n} AS ({plain_sql(n).strip()})" for n in order) + "\n"
