@@ -132,3 +132,23 @@ def generate_customers(spark: SparkSession, rows: int = 100_000, seed: int = 42,
     """``rows`` synthetic records numbered 1..rows (``spark.range``, fully parallel)."""
     ids = spark.range(1, rows + 1, numPartitions=num_partitions)
     return synthesize_customers(ids, "id", seed)
+
+
+SOURCE_COLUMNS = ("customer_id", "first_name", "last_name", "email", "status", "signup_date", "amount",
+                  "updated_at", "region", "source_system")
+
+
+def write_customer_source(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write synthetic rows as the raw CSV source (header, the 10 source columns).
+
+    Written by all tasks in parallel (one part file per partition); NULL
+    fields come out empty, as blank fields of the source file.
+    """
+    (df.select(*SOURCE_COLUMNS).write.mode(mode).option("header", "true")
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+
+
+def generate_dataset(spark: SparkSession, path: str, rows: int = 100_000, seed: int = 42) -> str:
+    """Generate ``rows`` synthetic source records as CSV under ``path``; returns ``path``."""
+    write_customer_source(generate_customers(spark, rows, seed), path)
+    return path

@@ -6,7 +6,7 @@ from strata.config import RAW_CUSTOMER_SCHEMA, LayerTables
 from strata.session import scratch_path
 from strata.sources.readers import DataReader, from_rows, read_csv, read_raw_csv, read_sql, read_table, read_txt
 from strata.sources.sinks import copy_into, create_layer_schemas, create_layer_tables, ddl_columns, write_table
-from strata.sources.synth import generate_customers
+from strata.sources.synth import generate_customers, generate_dataset
 
 
 def test_csv_txt_and_multiline(spark, tmp_path):
@@ -79,3 +79,12 @@ def test_synthetic_generator(spark):
     assert len({r["first_name"] for r in normal}) > 10                    # draws spread over the pool
     again = {r["record_no"]: r for r in generate_customers(spark, rows=400, num_partitions=3).collect()}
     assert again == rows                                                  # pure function of the record number
+
+
+def test_generated_csv_source_reads_back_as_raw_layer(spark):
+    path = generate_dataset(spark, scratch_path(spark, "source_csv"), rows=200)
+    raw = read_raw_csv(spark, path)
+    assert raw.columns == ["customer_id", "first_name", "last_name", "email", "status", "signup_date", "amount",
+                           "updated_at", "region", "source_system"]
+    assert raw.count() == 200 and dict(raw.dtypes)["amount"] == "double"
+    assert raw.where("customer_id IS NULL").count() == len([n for n in range(1, 201) if n % 7 == 0])
