@@ -185,13 +185,16 @@ def quality_report(spark, sf):
         Q.predicate("tier_not_null", "customer_tier IS NULL", "customer_tier"),
         Q.allowed_values("customer_tier", CUSTOMER_TIERS, null_is_violation=True),
     ]
+    # one aggregation pass per frame for all row rules and its row count;
+    # the record-count check reuses both profiles
+    raw_profile, op_profile = Q.profile(raw, raw_rules), Q.profile(operational, op_rules)
     frames = [
-        Q.run_checks(raw, raw_rules, include_not_empty=True),   # one pass over raw for all row rules
-        Q.check_record_count(raw, operational),
+        Q.profile_checks(raw_profile, raw_rules, include_not_empty=True),
+        Q.record_count_from_profiles(raw_profile, op_profile),
         Q.check_duplicates(raw, PRIMARY_KEY),
         Q.check_columns(raw, MANDATORY_COLUMNS + ("full_name",)),
         Q.check_expected_schema(raw, RAW_EXPECTED_TYPES),
-        Q.run_checks(operational, op_rules),
+        Q.profile_checks(op_profile, op_rules),
         Q.check_allowed_values(curated, "customer_tier", CUSTOMER_TIERS),
         check_compare_by_key(operational.groupBy("customer_id").agg(money_sum("amount").alias("total_amount")),
                              curated, ["customer_id"], ["total_amount"], check_name="curated_total_matches"),
