@@ -122,7 +122,9 @@ def compare_by_key(expected_df: DataFrame, actual_df: DataFrame, key_columns: It
 
     Output: keys, ``expected_<c>`` / ``actual_<c>`` for each column, and
     ``issue`` in (``missing_in_actual``, ``missing_in_expected``,
-    ``value_mismatch``).  One full outer join on the keys.
+    ``value_mismatch``).  One full outer join on the keys; both frames are
+    expected to hold one row per key (aggregate them first otherwise), which
+    also means neither side can carry a hot key into the join.
     """
     keys = list(key_columns)
     cols = list(columns)
