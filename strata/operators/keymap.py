@@ -10,8 +10,10 @@ driving key that holds a third of all rows lands in one reducer.  Instead:
    to one row per map task -- and keep the keys the driving frame has;
 2. ``join_key_map``: materialize that map in the shared checkpoint folder,
    probe its size, and broadcast it when it is proven small, so the driving
-   frame is joined where it is read, without being shuffled; otherwise a
-   shuffled join (where AQE splits skewed partitions).
+   frame is joined where it is read, without being shuffled; otherwise split
+   the keys by heat -- hot keys (the map knows each key's driving row count)
+   are joined map-side against a broadcast of their entries, the rest by a
+   shuffled join in which no key is hot.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from pyspark.sql import functions as F
 from strata.session import materialize
 
 DEFAULT_MAP_BROADCAST_ROWS = 1_000_000
+# A key with more driving rows than this is "hot": it is joined map-side
+# against a broadcast of the hot keys' entries instead of in one reducer.
+DEFAULT_HOT_KEY_ROWS = 1_000_000
 
 
 def has_at_most_rows(df: DataFrame, max_rows: int) -> bool:
@@ -38,38 +43,57 @@ def has_at_most_rows(df: DataFrame, max_rows: int) -> bool:
 
 def key_map(driving_df: DataFrame, driving_key: str, side_df: DataFrame, side_key: str,
             aggs: dict[str, Column], key_alias: str = "_map_key") -> DataFrame:
-    """``DataFrame[key_alias, *aggs]``: one row per non-NULL driving key.
+    """``DataFrame[key_alias, _n, *aggs]``: one row per non-NULL driving key.
 
-    ``aggs`` maps output names to aggregate expressions over ``side_df``
-    columns (e.g. ``{"ts": F.max("updated_at")}``); they see NULL for the
-    driving rows, so ignore-NULL aggregates (max, min, sum, count(col)) give
-    the side's value, or NULL for a key the side lacks.
+    ``_n`` is the number of driving rows with that key.  ``aggs`` maps output
+    names to aggregate expressions over ``side_df`` columns (e.g.
+    ``{"ts": F.max("updated_at")}``); they see NULL for the driving rows, so
+    ignore-NULL aggregates (max, min, sum, count(col)) give the side's value,
+    or NULL for a key the side lacks.
     """
     side_cols = sorted({c for c in side_df.columns if c != side_key})
     driving = driving_df.select(F.col(driving_key).alias(key_alias), F.lit(1).alias("_drives"),
                                 *[F.lit(None).cast(side_df.schema[c].dataType).alias(c) for c in side_cols])
     side = side_df.select(F.col(side_key).alias(key_alias), F.lit(0).alias("_drives"), *side_cols)
     tagged = driving.unionByName(side).where(F.col(key_alias).isNotNull())
-    return (tagged.groupBy(key_alias).agg(F.max("_drives").alias("_drives"),
+    return (tagged.groupBy(key_alias).agg(F.sum("_drives").cast("long").alias("_n"),
                                           *[expr.alias(name) for name, expr in aggs.items()])
-            .where(F.col("_drives") == 1).drop("_drives"))
+            .where(F.col("_n") > 0))
 
 
 def join_key_map(df: DataFrame, df_key: str, kmap: DataFrame, how: str = "left", key_alias: str = "_map_key",
-                 broadcast_max_rows: int | None = DEFAULT_MAP_BROADCAST_ROWS) -> DataFrame:
-    """Join ``df`` with a key map; rows with a NULL key bypass the join.
+                 broadcast_max_rows: int | None = DEFAULT_MAP_BROADCAST_ROWS,
+                 hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+    """Join ``df`` with a key map (``how`` = ``left`` or ``left_semi``).
 
-    The NULL-key rows are appended unchanged (map columns NULL) for
-    ``how="left"`` and dropped for ``"left_semi"`` -- an equi-join never
-    matches them, and routing them through a shuffle would pile them up in
-    one reducer.
+    * map proven small: broadcast it, ``df`` is joined where it is read;
+    * otherwise split by heat: keys with more than ``hot_key_rows`` driving
+      rows (at most ``rows / hot_key_rows`` of them, proven by a probe) are
+      broadcast and joined map-side; every other key goes through a shuffled
+      join in which no key has more than ``hot_key_rows`` rows, so no reducer
+      receives a hot key;
+    * rows with a NULL key bypass the join: appended unchanged (map columns
+      NULL) for ``left``, dropped for ``left_semi`` -- they can never match.
     """
+    if how not in ("left", "left_semi"):
+        raise ValueError("join_key_map supports how='left' or 'left_semi'")
     kmap = materialize(kmap)
-    if broadcast_max_rows is not None and has_at_most_rows(kmap, broadcast_max_rows):
-        kmap = F.broadcast(kmap)
     keyed = df.where(F.col(df_key).isNotNull())
-    joined = keyed.join(kmap, keyed[df_key] == kmap[key_alias], how)
+    if broadcast_max_rows is not None and has_at_most_rows(kmap, broadcast_max_rows):
+        joined = keyed.join(F.broadcast(kmap), keyed[df_key] == kmap[key_alias], how)
+    else:
+        hot = kmap.where(F.col("_n") > hot_key_rows)
+        cold = kmap.where(F.col("_n") <= hot_key_rows)
+        if has_at_most_rows(hot, broadcast_max_rows or DEFAULT_MAP_BROADCAST_ROWS):
+            marked = keyed.join(F.broadcast(hot.select(F.col(key_alias).alias("_hot_key"))),
+                                keyed[df_key] == F.col("_hot_key"), "left")
+            hot_rows = (marked.where(F.col("_hot_key").isNotNull()).drop("_hot_key")
+                        .join(F.broadcast(hot), F.col(df_key) == hot[key_alias], how))
+            cold_rows = (marked.where(F.col("_hot_key").isNull()).drop("_hot_key")
+                         .join(cold, F.col(df_key) == cold[key_alias], how))
+            joined = hot_rows.unionByName(cold_rows)
+        else:  # pragma: no cover - more than a million keys each above the threshold
+            joined = keyed.join(kmap, keyed[df_key] == kmap[key_alias], how)
     if how == "left":
-        nulls = df.where(F.col(df_key).isNull())
-        joined = joined.unionByName(nulls, allowMissingColumns=True)
-    return joined.drop(key_alias)
+        joined = joined.unionByName(df.where(F.col(df_key).isNull()), allowMissingColumns=True)
+    return joined.drop(key_alias, "_n")

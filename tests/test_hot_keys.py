@@ -112,3 +112,29 @@ def test_enrich_and_scd_with_hot_key(spark, hot, duck):
     scd = apply_scd_type_2(dim, incoming)
     per_key = scd.groupBy("customer_id").agg(F.count_if("is_current").alias("c"))
     assert per_key.where(F.col("c") != 1).count() == 0
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi"])
+def test_key_map_join_splits_hot_keys(spark, hot, duck, how):
+    """Map too big to broadcast: the hot key goes map-side, the rest through a shuffle."""
+    from strata.operators.keymap import join_key_map, key_map
+    side = hot.where(F.col("event_id") % 2 == 0).select(F.col("user_id").alias("k"), F.col("ts").alias("t"))
+    kmap = key_map(hot, "user_id", side, "k", {"t": F.max("t")})
+    # as at scale: no size-based automatic broadcast of the (here tiny) cold map
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = join_key_map(hot, "user_id", kmap, how, broadcast_max_rows=0, hot_key_rows=100)
+        plan = plan_of(out)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan      # hot map-side, cold shuffled
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    if how == "left":
+        got = sorted((r["event_id"], r["t"]) for r in rows)
+        want = sorted(duck.sql("""WITH m AS (SELECT user_id, max(ts) t FROM hot WHERE event_id % 2 = 0 GROUP BY user_id)
+            SELECT h.event_id, m.t FROM hot h LEFT JOIN m ON h.user_id = m.user_id""").fetchall())
+    else:
+        got = sorted(r["event_id"] for r in rows)
+        want = sorted(r[0] for r in duck.sql("SELECT event_id FROM hot WHERE user_id IS NOT NULL").fetchall())
+    assert got == want
