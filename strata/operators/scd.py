@@ -31,7 +31,8 @@ def apply_scd_type_2(
       incoming timestamp and version n+1 (NULL version counts as 1) opens;
     * unchanged key, and current key absent from the batch: carried through;
     * ``keep_history``: already-closed rows of ``dim_df`` are kept as well
-      (``False`` returns only current rows and the new transitions).
+      (``False`` returns only current rows and the new transitions, or
+      ``dim_df`` unchanged when it has no current row and the batch is empty).
 
     Several incoming rows for one key: the one with the greatest incoming
     timestamp wins (ties: greatest attribute value).  The output keeps the
@@ -82,5 +83,10 @@ def apply_scd_type_2(
             .otherwise(F.array(expired, next_version)))
     result = joined.select(F.inline(rows))
     if keep_history:
-        result = result.unionByName(dim_df.where(~is_current))
+        return result.unionByName(dim_df.where(~is_current))
+    # Nothing is produced exactly when there is no current row and no incoming
+    # row; then the dimension is returned unchanged.  Two incremental
+    # emptiness probes (each stops at the first row found) decide it.
+    if incoming_df.isEmpty() and dim_df.where(is_current).isEmpty():
+        return dim_df
     return result

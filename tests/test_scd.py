@@ -62,3 +62,10 @@ def test_invariants_hold_after_apply(spark):
     out = apply_scd_type_2(dim, inc)
     assert {r["check_name"]: r["violations"] for r in check_scd2(out).collect()} == {
         "one_current_row_per_key": 0, "unique_version_per_key": 0}
+
+
+def test_nothing_to_apply_returns_dimension_unchanged(spark):
+    closed = spark.createDataFrame([("K1", "A", "2023-01-01", "2023-06-01", False, 1)], DIM)
+    empty = spark.createDataFrame([], INC)
+    assert rows(apply_scd_type_2(closed, empty, keep_history=False)) == rows(closed)
+    assert rows(apply_scd_type_2(closed, empty, keep_history=True)) == rows(closed)
