@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.config import UNKNOWN
 from strata.operators.keymap import has_at_most_rows, join_key_map, key_map
 
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+DEFAULT_BROADCAST_MAX_ROWS = 200_000
 
 __all__ = ["enrich_with_reference_data", "has_at_most_rows", "DEFAULT_BROADCAST_MAX_ROWS"]
 

@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 
 from strata.session import materialize
 
-DEFAULT_MAP_BROADCAST_ROWS = 1_000_000
+# Broadcast bound: a key map of 200k rows and 2-3 columns is ~8 MB, the order of
+# Spark's own automatic broadcast threshold; the probe ships at most that many
+# single-literal rows to the driver.
+DEFAULT_MAP_BROADCAST_ROWS = 200_000
 # A key with more driving rows than this is "hot": it is joined map-side
 # against a broadcast of the hot keys' entries instead of in one reducer.
 DEFAULT_HOT_KEY_ROWS = 1_000_000
