@@ -19,7 +19,7 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 STAGED_SQL = {
     "raw_customer": """
 SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE '  c' || lpad(CAST(c_custkey % 1200 AS STRING), 5, '0') || ' ' END AS customer_id,
-       CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE ' ' || substr(c_name, 1, 8) || '   X ' END AS first_name,
+       CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE ' ' || c_name || '   X ' END AS first_name,
        CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE 'Nation  ' || CAST(c_nationkey AS STRING) END AS last_name,
        CASE WHEN c_custkey % 11 = 0 THEN 'invalid-email' WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 23 = 0 THEN 'a@b@c.co'
             ELSE ' User' || CAST(c_custkey AS STRING) || '@Example.COM ' END AS email,
