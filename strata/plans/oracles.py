@@ -136,6 +136,12 @@ def _quality_report() -> str:
         parts.append(_check("not_null", c, f"count(*) FILTER (WHERE {c} IS NULL)", "raw_customer"))
     parts.append(_check("allowed_values", "status",
                         "count(*) FILTER (WHERE status NOT IN ('ACTIVE', 'INACTIVE', 'PENDING', 'NEW'))", "raw_customer"))
+    parts.append(_check("parse_failures", "signup_date",
+                        "count(*) FILTER (WHERE signup_date IS NOT NULL AND TRY_CAST(signup_date AS DATE) IS NULL)",
+                        "raw_customer"))
+    parts.append(_check("parse_failures", "amount",
+                        "count(*) FILTER (WHERE amount IS NOT NULL AND TRY_CAST(amount AS DOUBLE) IS NULL)",
+                        "raw_customer"))
     parts.append(_check("duplicates", "customer_id",
                         "(SELECT count(*) FROM (SELECT customer_id FROM raw_customer GROUP BY customer_id HAVING count(*) > 1))"))
     for c, v in (("customer_id", 0), ("first_name", 0), ("last_name", 0), ("email", 0), ("status", 0), ("full_name", 1)):

@@ -175,7 +175,8 @@ def quality_report(spark, sf):
     raw = _raw(spark, sf)
     operational = _operational(spark, sf)
     curated = build_curated_customer_metrics(operational)
-    raw_rules = [Q.not_null(c) for c in MANDATORY_COLUMNS] + [Q.allowed_values("status", ALLOWED_STATUSES)]
+    raw_rules = ([Q.not_null(c) for c in MANDATORY_COLUMNS] + [Q.allowed_values("status", ALLOWED_STATUSES)]
+                 + [Q.parse_failures("signup_date", "date"), Q.parse_failures("amount", "double")])
     op_rules = [
         Q.allowed_values("status", ALLOWED_STATUSES),
         Q.predicate("active_status_is_active",
