@@ -27,9 +27,10 @@ from strata.session import materialize
 # Spark's own automatic broadcast threshold; the probe ships at most that many
 # single-literal rows to the driver.
 DEFAULT_MAP_BROADCAST_ROWS = 200_000
-# A key with more driving rows than this is "hot": it is joined map-side
-# against a broadcast of the hot keys' entries instead of in one reducer.
-DEFAULT_HOT_KEY_ROWS = 1_000_000
+# A key is "hot" when it holds more driving rows than HOT_FACTOR average reduce
+# partitions; hot keys are joined map-side against a broadcast of their entries
+# instead of landing in one reducer.
+HOT_FACTOR = 2
 
 
 def has_at_most_rows(df: DataFrame, max_rows: int) -> bool:
@@ -64,16 +65,31 @@ def key_map(driving_df: DataFrame, driving_key: str, side_df: DataFrame, side_ke
             .where(F.col("_n") > 0))
 
 
+def hot_threshold(kmap: DataFrame) -> int:
+    """Rows above which a key is hot: HOT_FACTOR x the average reduce partition.
+
+    The total comes from one aggregate over the (materialized, one row per
+    key) map; the partition count is the session's shuffle partition count.
+    """
+    total = kmap.agg(F.sum("_n").alias("t")).first()["t"] or 0
+    try:
+        parts = int(kmap.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        parts = 200
+    return max(1, HOT_FACTOR * total // max(parts, 1))
+
+
 def join_key_map(df: DataFrame, df_key: str, kmap: DataFrame, how: str = "left", key_alias: str = "_map_key",
                  broadcast_max_rows: int | None = DEFAULT_MAP_BROADCAST_ROWS,
-                 hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+                 hot_key_rows: int | None = None) -> DataFrame:
     """Join ``df`` with a key map (``how`` = ``left`` or ``left_semi``).
 
     * map proven small: broadcast it, ``df`` is joined where it is read;
     * otherwise split by heat: keys with more than ``hot_key_rows`` driving
-      rows (at most ``rows / hot_key_rows`` of them, proven by a probe) are
-      broadcast and joined map-side; every other key goes through a shuffled
-      join in which no key has more than ``hot_key_rows`` rows, so no reducer
+      rows (default: :func:`hot_threshold`, twice an average reduce partition;
+      at most ``rows / hot_key_rows`` keys, proven by a probe) are broadcast
+      and joined map-side; every other key goes through a shuffled join in
+      which no key outweighs a couple of average partitions, so no reducer
       receives a hot key;
     * rows with a NULL key bypass the join: appended unchanged (map columns
       NULL) for ``left``, dropped for ``left_semi`` -- they can never match.
@@ -85,6 +101,8 @@ def join_key_map(df: DataFrame, df_key: str, kmap: DataFrame, how: str = "left",
     if broadcast_max_rows is not None and has_at_most_rows(kmap, broadcast_max_rows):
         joined = keyed.join(F.broadcast(kmap), keyed[df_key] == kmap[key_alias], how)
     else:
+        if hot_key_rows is None:
+            hot_key_rows = hot_threshold(kmap)
         hot = kmap.where(F.col("_n") > hot_key_rows)
         cold = kmap.where(F.col("_n") <= hot_key_rows)
         if has_at_most_rows(hot, broadcast_max_rows or DEFAULT_MAP_BROADCAST_ROWS):
