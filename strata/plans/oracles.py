@@ -257,6 +257,10 @@ FROM n""",
 SELECT lookup_key, max(customer_segment) AS v FROM nation_lookup WHERE lookup_key IS NOT NULL GROUP BY lookup_key)
 SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, coalesce(lk.v, 'UNKNOWN') AS customer_segment
 FROM customer c LEFT JOIN lk ON c.c_nationkey = lk.lookup_key""",
+    "enrich_orders_segment": """WITH lk AS (SELECT c_custkey, max(c_mktsegment) AS seg FROM customer
+                                  WHERE c_custkey % 10 <> 0 GROUP BY c_custkey)
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, coalesce(lk.seg, 'UNKNOWN') AS c_mktsegment
+FROM orders o LEFT JOIN lk ON o.o_custkey = lk.c_custkey""",
     "cdc_delta": cte("cdc_incoming") + """, cur AS (
 SELECT customer_id, max(updated_at) AS cts FROM cdc_current WHERE customer_id IS NOT NULL GROUP BY customer_id)
 SELECT i.customer_id, i.updated_at, i.status, i.amount, 'UPSERT' AS row_action
@@ -285,6 +289,7 @@ WHERE a.customer_id IS NULL OR e.customer_id IS NULL OR e.updated_at IS DISTINCT
     "dedup_latest": """SELECT event_id, ts, user_id, event_type, value, props FROM (
 SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST,
        event_type DESC NULLS LAST, value DESC NULLS LAST, props DESC NULLS LAST) AS rn FROM events) WHERE rn = 1""",
+    "dedup_any_survivor": "SELECT DISTINCT user_id FROM events",
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "quality_report": _quality_report(),

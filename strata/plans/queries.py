@@ -109,6 +109,15 @@ def enrich_lookup(spark, sf):
                                       value_col="customer_segment")
 
 
+def enrich_orders_segment(spark, sf):
+    """Fact -> dimension lookup: every order gets its customer's segment (UNKNOWN for customers
+    missing from the lookup, here every tenth)."""
+    customers = base(spark, sf, "customer").where(F.col("c_custkey") % 10 != 0)
+    return enrich_with_reference_data(base(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
+                                      customers, join_key="o_custkey", lookup_key="c_custkey",
+                                      value_col="c_mktsegment")
+
+
 def cdc_delta(spark, sf):
     current = staged(spark, sf, "cdc_current")
     incoming = staged(spark, sf, "cdc_incoming")
@@ -162,6 +171,11 @@ def dedup_latest(spark, sf):
     return deduplicate_customer_records(base(spark, sf, "events"), ["user_id"], order_by=["ts"])
 
 
+def dedup_any_survivor(spark, sf):
+    """F1 without an order (dropDuplicates): the survivor is arbitrary, the key set is not."""
+    return deduplicate_customer_records(base(spark, sf, "events"), ["user_id"]).select("user_id")
+
+
 def duplicate_keys(spark, sf):
     return Q.duplicate_keys(base(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -306,6 +320,7 @@ QUERIES = {
     "load_markers": load_markers,
     "sales_orders": sales_orders,
     "enrich_lookup": enrich_lookup,
+    "enrich_orders_segment": enrich_orders_segment,
     "cdc_delta": cdc_delta,
     "scd2_full": scd2_full,
     "scd2_current": scd2_current,
@@ -315,6 +330,7 @@ QUERIES = {
     "curated_metrics": curated_metrics,
     "curated_metrics_loader": curated_metrics_loader,
     "dedup_latest": dedup_latest,
+    "dedup_any_survivor": dedup_any_survivor,
     "duplicate_keys": duplicate_keys,
     "quality_report": quality_report,
     "reconciliation_checks": reconciliation_checks,
