@@ -25,23 +25,29 @@ from strata.sources.sinks import create_layer_schemas, write_table
 
 def run_medallion(spark: SparkSession, source_df: DataFrame, tables: LayerTables | None = None,
                   location_root: str | None = None, as_of=None, thresholds: Thresholds | None = None,
-                  fmt: str = "parquet") -> dict[str, DataFrame]:
+                  fmt: str = "parquet", layer_options: dict | None = None) -> dict[str, DataFrame]:
     """Load the three layers from ``source_df``; returns the written tables.
 
     ``location_root`` defaults to a folder under the session's shared
-    checkpoint location.
+    checkpoint location.  ``layer_options`` maps ``raw`` / ``operational`` /
+    ``curated`` to extra :func:`write_table` arguments, e.g.
+    ``{"operational": {"partition_by": ["signup_month"]}}`` for partition
+    pruning downstream, or ``{"curated": {"bucket_by": (512, ["customer_id"])}}``
+    so later joins on the key read that side without a shuffle.
     """
+    opts = {k: dict(v) for k, v in (layer_options or {}).items()}
     t = tables or LayerTables()
     root = location_root or scratch_path(spark, "layers")
     create_layer_schemas(spark, sorted({n.split(".")[0] for n in (t.raw, t.operational, t.curated) if "." in n}),
                          location_root=root)
 
     write_table(standardize_raw_df(source_df), t.raw, schema=RAW_CUSTOMER_SCHEMA, fmt=fmt,
-                path=f"{root}/{t.raw.replace('.', '/')}")
+                path=f"{root}/{t.raw.replace('.', '/')}", **opts.get("raw", {}))
     raw = spark.table(t.raw)
     write_table(create_operational_df(raw, as_of, thresholds), t.operational,
-                schema=OPERATIONAL_CUSTOMER_SCHEMA, fmt=fmt, path=f"{root}/{t.operational.replace('.', '/')}")
+                schema=OPERATIONAL_CUSTOMER_SCHEMA, fmt=fmt, path=f"{root}/{t.operational.replace('.', '/')}",
+                **opts.get("operational", {}))
     operational = spark.table(t.operational)
     write_table(create_curated_df(operational, thresholds), t.curated, schema=CURATED_CUSTOMER_SCHEMA,
-                fmt=fmt, path=f"{root}/{t.curated.replace('.', '/')}")
+                fmt=fmt, path=f"{root}/{t.curated.replace('.', '/')}", **opts.get("curated", {}))
     return {"raw": raw, "operational": operational, "curated": spark.table(t.curated)}

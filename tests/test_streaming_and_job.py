@@ -41,3 +41,19 @@ def test_medallion_layers_round_trip(spark):
                                             "first_signup_date", "total_records", "active_record_count",
                                             "high_value_record_count", "customer_tier", "review_flag"]
     assert cur.where(F.col("customer_id").isNull()).first()["total_records"] == 0   # blank ids collapse, count 0
+
+
+def test_medallion_with_partitioned_and_bucketed_layers(spark):
+    src = generate_customers(spark, rows=300)
+    tables = LayerTables("bronze.raw_p", "silver.op_p", "gold.cur_p")
+    layers = run_medallion(spark, src, tables, location_root=scratch_path(spark, "medallion_p"), as_of="2026-01-01",
+                           layer_options={"operational": {"partition_by": ["signup_month"]},
+                                          "curated": {"bucket_by": (4, ["customer_id"])}})
+    op = layers["operational"]
+    pruned = op.where(F.col("signup_month") == "2022-03")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(signup_month" in plan
+    assert pruned.count() == src.where(F.date_format("signup_date", "yyyy-MM") == "2022-03").count()
+    cur = layers["curated"]
+    agg_plan = cur.groupBy("customer_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in agg_plan       # bucketed on the key: no shuffle
