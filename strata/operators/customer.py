@@ -212,11 +212,12 @@ def create_operational_df(raw_df: DataFrame, as_of=None, thresholds: Thresholds
         "updated_at": as_timestamp("updated_at"),
     })
     status_ok = F.col("status").isin(*ACTIVE_STATUSES)
+    signup = as_date("signup_date")   # safe even when called on raw text dates
     df = df.withColumns({
         "is_active": flag(status_ok) if rules.null_status_inactive else status_ok,
         "is_high_value": F.col("amount") >= th.high_value_amount,
-        "signup_month": month_of("signup_date"),
-        "customer_age_days": F.datediff(today(as_of), F.col("signup_date")),
+        "signup_month": month_of(signup),
+        "customer_age_days": F.datediff(today(as_of), signup),
     })
     df = df.withColumns({
         "customer_tier": tier_of("amount", th),
@@ -224,4 +225,4 @@ def create_operational_df(raw_df: DataFrame, as_of=None, thresholds: Thresholds
         "customer_segment": (segment_by_activity("is_high_value", "is_active", "amount", th)
                              if rules.segment_by_activity else segment_by_amount("amount", th)),
     })
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in OPERATIONAL_CUSTOMER_SCHEMA])
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in OPERATIONAL_CUSTOMER_SCHEMA])
