@@ -131,7 +131,7 @@ def flag(cond: Column) -> Column:
 
 def cents(c) -> Column:
     """Amount in whole cents as a long (exact for 2-decimal money)."""
-    return F.round(col_of(c) * 100).cast("long")
+    return F.round(as_double(c) * 100).cast("long")
 
 
 def money_sum(c) -> Column:

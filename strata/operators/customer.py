@@ -27,6 +27,7 @@ from strata.config import (
 from strata.functions.columns import (
     abs_money,
     as_date,
+    as_double,
     as_timestamp,
     clean_lower,
     clean_upper,
@@ -153,8 +154,8 @@ def add_business_flags(df: DataFrame, as_of=None, thresholds: Thresholds | None
     valid = is_valid_email("email")
     return df.withColumns({
         "has_valid_email": valid,
-        "is_recent_signup": flag(F.col("signup_date") >= F.date_sub(today(as_of), th.recent_signup_days)),
-        "is_high_value": F.col("amount") >= th.high_value_amount,
+        "is_recent_signup": flag(as_date("signup_date") >= F.date_sub(today(as_of), th.recent_signup_days)),
+        "is_high_value": as_double("amount") >= th.high_value_amount,
         # NULL validity is not a reason for review: (NULL OR false) -> otherwise(false)
         "needs_review": flag((valid == F.lit(False)) | (F.col("status") == "PENDING")),
     })
