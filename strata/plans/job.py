@@ -25,7 +25,7 @@ from strata.sources.sinks import create_layer_schemas, write_table
 
 def run_medallion(spark: SparkSession, source_df: DataFrame, tables: LayerTables | None = None,
                   location_root: str | None = None, as_of=None, thresholds: Thresholds | None = None,
-                  fmt: str = "parquet", layer_options: dict | None = None) -> dict[str, DataFrame]:
+                  fmt: str | None = None, layer_options: dict | None = None) -> dict[str, DataFrame]:
     """Load the three layers from ``source_df``; returns the written tables.
 
     ``location_root`` defaults to a folder under the session's shared

@@ -1,8 +1,8 @@
 """Layer schemas, table DDL and table sinks (A6-A9).
 
 One ``StructType`` per layer drives both the DDL and the final projection
-of the writer.  Tables are written as parquet (Delta when its package is on
-the classpath and ``fmt="delta"`` is asked for).  Every writer can place
+of the writer.  Tables are Delta when the session has the Delta extension
+configured and parquet otherwise (``fmt`` overrides).  Every writer can place
 the table files explicitly (``path``), which is how jobs keep their data in
 the shared folder of the cluster.
 """
@@ -26,6 +26,12 @@ LAYER_SCHEMAS = {"raw": RAW_CUSTOMER_SCHEMA, "operational": OPERATIONAL_CUSTOMER
                  "curated": CURATED_CUSTOMER_SCHEMA}
 
 
+def default_table_format(spark: SparkSession) -> str:
+    """``delta`` when the session has the Delta extension configured, else ``parquet``."""
+    extensions = spark.conf.get("spark.sql.extensions", "") or ""
+    return "delta" if "delta" in extensions.lower() else "parquet"
+
+
 def create_layer_schemas(spark: SparkSession, schemas: Iterable[str] = ("bronze", "silver", "gold"),
                          location_root: str | None = None) -> None:
     """CREATE SCHEMA IF NOT EXISTS per layer (catalog creation is a platform command)."""
@@ -38,14 +44,15 @@ def ddl_columns(schema: T.StructType) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in schema)
 
 
-def create_layer_table(spark: SparkSession, table_name: str, schema: T.StructType, fmt: str = "parquet",
+def create_layer_table(spark: SparkSession, table_name: str, schema: T.StructType, fmt: str | None = None,
                        location: str | None = None, partition_by: Iterable[str] = ()) -> None:
+    fmt = fmt or default_table_format(spark)
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name} ({ddl_columns(schema)}) USING {fmt}{part}{loc}")
 
 
-def create_layer_tables(spark: SparkSession, tables: LayerTables | None = None, fmt: str = "parquet",
+def create_layer_tables(spark: SparkSession, tables: LayerTables | None = None, fmt: str | None = None,
                         location_root: str | None = None) -> None:
     t = tables or LayerTables()
     for layer, name in (("raw", t.raw), ("operational", t.operational), ("curated", t.curated)):
@@ -59,7 +66,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_table(df: DataFrame, table_name: str, mode: str = "overwrite", schema: T.StructType | None = None,
-                fmt: str = "parquet", path: str | None = None, partition_by: Iterable[str] = (),
+                fmt: str | None = None, path: str | None = None, partition_by: Iterable[str] = (),
                 bucket_by: tuple[int, list[str]] | None = None, sort_by: Iterable[str] = ()) -> None:
     """Table sink, overwrite by default.
 
@@ -68,7 +75,7 @@ def write_table(df: DataFrame, table_name: str, mode: str = "overwrite", schema:
     it co-partitioned without a shuffle of this side.
     """
     out = conform(df, schema) if schema is not None else df
-    writer = out.write.format(fmt).mode(mode)
+    writer = out.write.format(fmt or default_table_format(df.sparkSession)).mode(mode)
     if path:
         writer = writer.option("path", path)
     if partition_by:
