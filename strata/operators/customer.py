@@ -54,11 +54,12 @@ def today(as_of=None) -> Column:
 
 
 def now(as_of=None) -> Column:
+    """The evaluation instant as a wall-clock ``timestamp_ntz`` (like every layer timestamp)."""
     if as_of is None:
-        return F.current_timestamp()
+        return F.localtimestamp()
     if isinstance(as_of, (_dt.date, _dt.datetime)):
         as_of = as_of.isoformat()
-    return F.lit(str(as_of)).cast("timestamp")
+    return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
 def _present(df: DataFrame, mapping: dict) -> dict:

@@ -39,7 +39,8 @@ b2 AS (SELECT customer_id, coalesce(first_name, 'UNKNOWN') AS first_name, coales
               updated_at, region FROM b1),
 op AS (
 SELECT customer_id, first_name, last_name, email, status, signup_date, amount, updated_at, region,
-       'CRM' AS source_system, 'BATCH_001' AS batch_id, {AS_OF} AS ingestion_date,
+       'CRM' AS source_system, 'BATCH_001' AS batch_id, TIMESTAMP '2002-01-01 00:00:00' AS ingested_at,
+       {AS_OF} AS ingestion_date,
        CAST(year(signup_date) AS INTEGER) AS signup_year,
        strftime(signup_date, '%Y-%m') AS signup_month,
        'Q' || CAST(quarter(signup_date) AS VARCHAR) AS signup_quarter,
@@ -230,7 +231,8 @@ ORACLES = {
        coalesce(last_name, 'UNKNOWN') AS last_name, coalesce(email, 'unknown@missing.com') AS email,
        coalesce(status, 'NEW') AS status, signup_date, amount, updated_at, region, source_system FROM raw_customer""",
     "audit_columns": cte("raw_customer") + f"""SELECT customer_id, first_name, last_name, email, status, signup_date,
-       amount, updated_at, region, 'CRM' AS source_system, 'BATCH_2024_09' AS batch_id, {AS_OF} AS ingestion_date
+       amount, updated_at, region, 'CRM' AS source_system, 'BATCH_2024_09' AS batch_id,
+       TIMESTAMP '2002-01-01 00:00:00' AS ingested_at, {AS_OF} AS ingestion_date
        FROM raw_customer""",
     "date_dimensions": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
        o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS signup_year, strftime(o_orderdate, '%Y-%m') AS signup_month,

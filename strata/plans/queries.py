@@ -78,8 +78,7 @@ def null_remediation(spark, sf):
 
 
 def audit_columns(spark, sf):
-    out = add_audit_columns(_raw(spark, sf), batch_id="BATCH_2024_09", source_system="CRM", as_of=CUSTOMER_AS_OF)
-    return out.drop("ingested_at")
+    return add_audit_columns(_raw(spark, sf), batch_id="BATCH_2024_09", source_system="CRM", as_of=CUSTOMER_AS_OF)
 
 
 def date_dimensions(spark, sf):
@@ -87,7 +86,7 @@ def date_dimensions(spark, sf):
 
 
 def customer_operational(spark, sf):
-    return _operational(spark, sf).drop("ingested_at")
+    return _operational(spark, sf)
 
 
 def customer_operational_loader(spark, sf):
