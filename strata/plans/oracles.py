@@ -128,7 +128,14 @@ def _check(name: str, column: str | None, violations: str, source: str | None =
             f"CAST({violations} AS BIGINT) = 0 AS passed{frm}")
 
 
+QUALITY_CTES = OPERATIONAL_CTES + ", cur AS (" + curated_sql("op", "needs_review") + ")\n"
+
+
 def _quality_report() -> str:
+    return QUALITY_CTES + "\nUNION ALL\n".join(_quality_parts())
+
+
+def _quality_parts() -> list[str]:
     parts = [
         _check("not_empty", None, "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END", "raw_customer"),
         _check("record_count", None, "abs((SELECT count(*) FROM raw_customer) - (SELECT count(*) FROM op))"),
@@ -163,8 +170,15 @@ def _quality_report() -> str:
                         "(SELECT count(*) FROM (SELECT customer_id, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS t "
                         "FROM op GROUP BY customer_id) e FULL OUTER JOIN cur ON e.customer_id = cur.customer_id "
                         "WHERE e.customer_id IS NULL OR cur.customer_id IS NULL OR e.t IS DISTINCT FROM cur.total_amount)"))
-    return (OPERATIONAL_CTES + ", cur AS (" + curated_sql("op", "needs_review") + ")\n"
-            + "\nUNION ALL\n".join(parts))
+    return parts
+
+
+def _dq_run_report() -> str:
+    """The quality report twice (batches B1, B2) with the run columns."""
+    return (QUALITY_CTES + ", report AS (" + "\nUNION ALL\n".join(_quality_parts()) + ")\n"
+            + "\nUNION ALL\n".join(
+                f"SELECT *, 'raw' AS layer, '{b}' AS batch_id, TIMESTAMP '2024-02-01 00:00:00' AS run_ts FROM report"
+                for b in ("B1", "B2")))
 
 
 def _synthetic() -> str:
@@ -295,6 +309,7 @@ SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, e
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "quality_report": _quality_report(),
+    "dq_run_report": _dq_run_report(),
     "reconciliation_checks": cte("fact_orders", "dim_keys") + "\n" + "\nUNION ALL\n".join([
         _check("keys_missing_in_target", "customer_id",
                "(SELECT count(*) FROM (SELECT DISTINCT customer_id FROM fact_orders) s "

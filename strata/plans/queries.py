@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.config import (
+    ACTIVE_STATUSES,
     ALLOWED_STATUSES,
     CUSTOMER_TIERS,
     MANDATORY_COLUMNS,
@@ -193,7 +194,7 @@ def quality_report(spark, sf):
     op_rules = [
         Q.allowed_values("status", ALLOWED_STATUSES),
         Q.predicate("active_status_is_active",
-                    F.col("status").isin(*("ACTIVE", "PENDING", "NEW")) & (F.col("is_active") == F.lit(False)),
+                    F.col("status").isin(*ACTIVE_STATUSES) & (F.col("is_active") == F.lit(False)),
                     "is_active"),
         Q.predicate("tier_not_null", "customer_tier IS NULL", "customer_tier"),
         Q.allowed_values("customer_tier", CUSTOMER_TIERS, null_is_violation=True),
@@ -215,6 +216,16 @@ def quality_report(spark, sf):
     return Q.union_checks(frames)
 
 
+def dq_run_report(spark, sf):
+    """V17: the quality report of two batches appended to a results table, read back."""
+    name = f"dq_results_{uuid.uuid4().hex[:10]}"
+    path = scratch_path(spark, name)
+    report = quality_report(spark, sf)
+    for batch in ("B1", "B2"):
+        Q.record_check_results(report, name, batch, "2024-02-01 00:00:00", layer="raw", path=path)
+    return read_table(spark, name)
+
+
 def reconciliation_checks(spark, sf):
     fact, dim = staged(spark, sf, "fact_orders"), staged(spark, sf, "dim_keys")
     return Q.union_checks([check_key_reconciliation(fact, dim, ["customer_id"]),
@@ -332,6 +343,7 @@ QUERIES = {
     "dedup_any_survivor": dedup_any_survivor,
     "duplicate_keys": duplicate_keys,
     "quality_report": quality_report,
+    "dq_run_report": dq_run_report,
     "reconciliation_checks": reconciliation_checks,
     "scd2_invariants": scd2_invariants,
     "csv_round_trip": csv_round_trip,
