@@ -15,7 +15,7 @@ from strata.operators.scd import apply_scd_type_2
 KEYS = st.sampled_from(["a", "b", "c", "d", None])
 VALS = st.sampled_from(["X", "Y", None])
 TS = st.sampled_from(["2024-01-01", "2024-02-01", "2024-03-01", None])
-SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 DIM = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("status", T.StringType()),
                     T.StructField("valid_from", T.StringType()), T.StructField("valid_to", T.StringType()),
