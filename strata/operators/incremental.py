@@ -58,8 +58,9 @@ def create_cdc_incremental_load(current_df: DataFrame, incoming_df: DataFrame, k
     to the keys of the incoming batch (one grouped pass with map-side
     combining over both sides), so duplicate current keys cannot fan out the
     delta and no incoming hot key can skew a shuffle.  That key map is
-    broadcast when proven small (the incoming batch is then never shuffled),
-    else joined by a shuffle.  Equal timestamps are not newer (strict ``>``).
+    broadcast when proven small (the incoming batch is then never shuffled);
+    otherwise hot keys are joined map-side and the rest by a shuffle (see
+    :mod:`strata.operators.keymap`).  Equal timestamps are not newer (strict ``>``).
     Incoming rows with a NULL key can never match and are kept.
     """
     cur_ts = f"{timestamp_col}_current"
@@ -67,6 +68,4 @@ def create_cdc_incremental_load(current_df: DataFrame, incoming_df: DataFrame, k
                    {cur_ts: F.max(cur_ts)})
     joined = join_key_map(incoming_df, key_col, kmap, "left", broadcast_max_rows=broadcast_max_rows)
     return (joined.where(F.col(cur_ts).isNull() | (F.col(timestamp_col) > F.col(cur_ts)))
-            .select(*incoming_df.columns)
-            .select(key_col, *[c for c in incoming_df.columns if c != key_col])
-            .withColumn("row_action", F.lit(UPSERT)))
+            .select(key_col, *[c for c in incoming_df.columns if c != key_col], F.lit(UPSERT).alias("row_action")))
