@@ -25,8 +25,9 @@ def enrich_with_reference_data(df: DataFrame, lookup_df: DataFrame, join_key: st
     (at most ``broadcast_max_rows`` rows) is broadcast as is.  A large one is
     first reduced to the keys ``df`` actually uses (one grouped pass with
     map-side combining, see :mod:`strata.operators.keymap`); that key map is
-    broadcast when proven small, else joined by a shuffle.  Rows whose key is
-    NULL never match and bypass the join.
+    broadcast when proven small, otherwise hot keys are joined map-side and
+    the rest by a shuffle.  Rows whose key is NULL never match and bypass the
+    join.
     """
     lk, lv = "_lookup_key", "_lookup_value"
     out_cols = [c for c in df.columns if c != value_col] + [value_col]
