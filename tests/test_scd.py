@@ -69,3 +69,27 @@ def test_nothing_to_apply_returns_dimension_unchanged(spark):
     empty = spark.createDataFrame([], INC)
     assert rows(apply_scd_type_2(closed, empty, keep_history=False)) == rows(closed)
     assert rows(apply_scd_type_2(closed, empty, keep_history=True)) == rows(closed)
+
+
+def test_bucketed_dimension_is_not_reshuffled(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from strata.sources.sinks import write_table
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dim = spark.createDataFrame([(f"K{i}", "A", "2023-01-01", None, True, i % 3) for i in range(200)], DIM)
+    inc = spark.createDataFrame([(f"K{i}", "B", "2024-01-01") for i in range(0, 300, 2)], INC)
+    write_table(dim, "scd_dim_bucketed", bucket_by=(parts, ["customer_id"]), path=str(tmp_path / "dimb"))
+    write_table(dim, "scd_dim_plain", path=str(tmp_path / "dimp"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def shuffles(name):
+            out = apply_scd_type_2(spark.table(name), inc, keep_history=False)
+            return out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"), out
+        bucketed, out_b = shuffles("scd_dim_bucketed")
+        plain, out_p = shuffles("scd_dim_plain")
+        assert bucketed == plain - 1
+        assert rows(out_b) == rows(out_p)
+        assert out_b.where(F.col("is_current")).count() == 200 + 50   # 100 changed (+1 each), 50 new
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
