@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.config import (
     ACTIVE_STATUSES,
+    DEFAULT_CONFIG,
     DEFAULT_FILLS,
     FRAMEWORK_RULES,
     LOADER_RULES,
@@ -166,7 +167,7 @@ def add_business_flags(df: DataFrame, as_of=None, thresholds: Thresholds | None
 def apply_advanced_customer_transformations(raw_df: DataFrame, as_of=None,
                                             config: PipelineConfig | None = None) -> DataFrame:
     """Full operational pipeline: B1 -> B2 -> B3 -> B4 -> B5 -> B6."""
-    cfg = config or PipelineConfig()
+    cfg = config or DEFAULT_CONFIG
     return (raw_df
             .transform(standardize_customer_columns)
             .transform(apply_null_remediation, cfg.fills)

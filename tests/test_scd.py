@@ -1,12 +1,8 @@
-from pyspark.sql import types as T
+from strata.config import SCD2_DIM_SCHEMA
 
 from strata.operators.scd import apply_scd_type_2
 
-DIM = T.StructType([
-    T.StructField("customer_id", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("valid_from", T.StringType()), T.StructField("valid_to", T.StringType()),
-    T.StructField("is_current", T.BooleanType()), T.StructField("version_no", T.LongType()),
-])
+DIM = SCD2_DIM_SCHEMA
 INC = "customer_id string, status string, updated_at string"
 
 

@@ -1,16 +1,13 @@
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strata.config import LayerTables
+from strata.config import ORDER_SCHEMA, LayerTables
 from strata.operators.orders import build_sales_order_transformations
 from strata.plans.job import run_medallion
 from strata.session import scratch_path
 from strata.sources.synth import generate_customers
 from strata.streaming.file_load import incremental_file_load
 
-ORDER = T.StructType([T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
-                      T.StructField("order_date", T.StringType()), T.StructField("order_status", T.StringType()),
-                      T.StructField("gross_amount", T.DoubleType()), T.StructField("discount_amount", T.DoubleType())])
+ORDER = ORDER_SCHEMA
 
 
 def test_file_stream_loads_each_file_once_with_row_transform(spark, tmp_path):
