@@ -50,7 +50,7 @@ from strata.operators.reconcile import (
 from strata.operators.scd import apply_scd_type_2
 from strata.plans.job import run_medallion
 from strata.plans.staged import CUSTOMER_AS_OF, _memo, base, staged
-from strata.session import scratch_path
+from strata.session import materialize, scratch_path
 from strata.sources.readers import read_csv, read_raw_csv, read_sql, read_table, read_txt
 from strata.sources.sinks import write_table
 from strata.sources.synth import synthesize_customers
@@ -220,7 +220,7 @@ def dq_run_report(spark, sf):
     """V17: the quality report of two batches appended to a results table, read back."""
     name = f"dq_results_{uuid.uuid4().hex[:10]}"
     path = scratch_path(spark, name)
-    report = quality_report(spark, sf)
+    report = materialize(quality_report(spark, sf))   # computed once, appended twice
     for batch in ("B1", "B2"):
         Q.record_check_results(report, name, batch, "2024-02-01 00:00:00", layer="raw", path=path)
     return read_table(spark, name)
