@@ -1,5 +1,4 @@
 from strata.config import SCD2_DIM_SCHEMA
-
 from strata.operators.scd import apply_scd_type_2
 
 DIM = SCD2_DIM_SCHEMA
