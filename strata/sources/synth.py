@@ -84,7 +84,9 @@ def synthesize_customers(df: DataFrame, record_col: str = "id", seed: int = 42)
     domain = pick(SYNTH_DOMAINS, h(5))
 
     def cid(x: Column) -> Column:
-        return F.format_string("C%05d", x)
+        # "C" + number zero-padded to at least 5 digits (same text as "C%05d"
+        # for non-negative numbers, without a per-row String.format)
+        return F.concat(F.lit("C"), F.when(x < 100000, F.lpad(x.cast("string"), 5, "0")).otherwise(x.cast("string")))
 
     valid_status = pick(SYNTH_VALID_STATUSES, h(6))
     invalid_status = pick(SYNTH_INVALID_STATUSES, h(6))
