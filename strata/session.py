@@ -2,12 +2,11 @@
 
 On a cluster the scratch location is the folder the cluster names in
 ``spark.checkpoint.dir`` (a shared filesystem); a private temporary folder
-is only created when the session has none, which is the case in tests.
+is only created for a single-process session that has none.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,35 +49,28 @@ def build_session(master: str | None = None, app_name: str = "strata",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir);
-    only when neither is set -- local runs and tests -- a private temporary
-    folder is created and registered.
+    Read from ``spark.checkpoint.dir`` or the context's checkpoint directory.
+    Only a single-process (``local``) session without either gets a private
+    temporary folder; on a cluster a folder that the executors do not share
+    would lose data, so its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # pragma: no cover - connect sessions have no context
-        current = None
+    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-        spark.conf.set("spark.checkpoint.dir", local)
-    except Exception:  # pragma: no cover - no context (remote client) or core config not settable
-        pass
-    return local
+    spark.sparkContext.setCheckpointDir(local)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
-    base = checkpoint_dir(spark)
-    path = f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique folder name under the shared checkpoint location (Spark's writers create it)."""
+    return f"{checkpoint_dir(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df):
@@ -86,11 +78,18 @@ def materialize(df):
 
     Cuts the lineage (a lost executor re-reads the written partitions
     instead of recomputing the plan) and lets several actions share one
-    computation.  Falls back to the lazy frame where the session offers no
-    checkpointing (e.g. a remote client).
+    computation.  A failing plan or an unwritable folder is an error.
     """
-    try:
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    except Exception:  # pragma: no cover - sessions without RDD checkpointing
-        return df
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def stored(df, name: str):
+    """``df`` written as Parquet in the shared scratch location and read back.
+
+    Like :func:`materialize`, but columnar and compressed: the form for
+    intermediate tables that grow with the input.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
