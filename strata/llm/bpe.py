@@ -2,9 +2,9 @@
 
 A text is cut by the tokenizer's pattern; each piece is encoded on its own.
 For a piece, an Aho-Corasick automaton over the vocabulary (bytes mapped to
-Latin-1 characters) lists the tokens that match at each position.  Encoding
-takes the longest token that may follow its left neighbour, and steps back
-when none can.  Two tokens may stand side by side when merging their bytes by
+Latin-1 characters) gives the longest matches.  Encoding
+takes the longest matches end to end as long as each may follow its left
+neighbour; from there on the longest token that may, stepping back when none can.  Two tokens may stand side by side when merging their bytes by
 rank would not cross the border; that is memoised per pair.  Every step either
 moves on or rules out one (position, token) choice for good, so the work is
 linear in the piece, and the result is the one that merging by rank gives.
@@ -13,6 +13,7 @@ linear in the piece, and the result is the one that merging by rank gives.
 from __future__ import annotations
 
 import base64
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -46,10 +47,12 @@ class BytePairs:
         self.left, self.right = list(range(len(tokens))), list(range(len(tokens)))
         self.memo: dict[tuple[int, int], bool] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.sizes = [len(t) for t in tokens]
+        self.longest = max(self.sizes)
         for i, token in enumerate(tokens):
             if len(token) > 1:
                 self._learn(i, token)
-                self.automaton.add_word(token.decode("latin-1"), i)
+            self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()
         self.memo.clear()
 
@@ -96,33 +99,38 @@ class BytePairs:
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        found: list[list[int]] = [[self.rank[piece[i:i + 1]]] for i in range(n)]   # per start, shortest to longest
-        tokens = self.tokens
-        for end, token in self.automaton.iter(piece.decode("latin-1")):
-            found[end - len(tokens[token]) + 1].append(token)
-        for options in found:
-            if len(options) > 2:
-                options.sort(key=lambda t: len(tokens[t]))
+        sizes, rank, known, compatible, n = self.sizes, self.rank, self.memo, self.compatible, len(piece)
         out: list[int] = []
-        at, compatible = 0, self.compatible
-        dead = bytearray(n + 1)                        # positions from which no way leads on
-        options = found[0][:]
+        at, last = 0, -1
+        for _, token in self.automaton.iter_long(piece.decode("latin-1")):   # longest matches, end to end
+            if at and not (known[last, token] if (last, token) in known else compatible(last, token)):
+                break
+            out.append(token)
+            at += sizes[token]
+            last = token
+        if at == n:
+            return out
+        dead = set()                                   # positions from which no way leads on
+        size = min(self.longest, n - at)
         while True:
-            while options:
-                token = options.pop()
-                to = at + len(tokens[token])
-                if not dead[to] and (not out or compatible(out[-1], token)):
+            while size:
+                token = rank.get(piece[at:at + size])
+                if token is not None and at + size not in dead and (
+                        not out or (known[last, token] if (last, token) in known else compatible(last, token))):
                     out.append(token)
-                    if to == n:
+                    last = token
+                    at += size
+                    if at == n:
                         return out
-                    at, options = to, found[to][:]
+                    size = min(self.longest, n - at)
                     break
+                size -= 1
             else:
-                dead[at] = 1
-                token = out.pop()
-                at -= len(tokens[token])
-                options = [t for t in found[at] if len(tokens[t]) < len(tokens[token])]
+                dead.add(at)
+                size = sizes[out.pop()]
+                last = out[-1] if out else -1
+                at -= size
+                size -= 1
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -142,35 +150,48 @@ class _Worker:
             cls.kept[path, pattern] = cls(path, pattern)
         return cls.kept[path, pattern]
 
-    def encode(self, text: str) -> np.ndarray:
-        known, encode = self.pieces, self.pairs.encode_piece
-        ids: list[int] = []
-        found = self.pattern.findall(text) if len(text) < LONG_TEXT else (m[0] for m in self.pattern.finditer(text))
-        for piece in found:
-            got = known.get(piece)
-            if got is None:
-                got = encode(piece.encode())
-                if len(piece) < 64:
-                    if len(known) >= PIECES:
-                        known.clear()
-                    known[piece] = got
-            ids += got
-        return ids
+    def encode(self, text: str) -> bytes:
+        """Ids as native 32-bit integers, end to end."""
+        if len(text) < LONG_TEXT:
+            return self._pieces(self.pattern.findall(text))
+        parts, pieces = [], []
+        for m in self.pattern.finditer(text):
+            pieces.append(m[0])
+            if len(pieces) == LONG_TEXT // 8:
+                parts.append(self._pieces(pieces))
+                pieces = []
+        return b"".join([*parts, self._pieces(pieces)])
+
+    def _pieces(self, pieces: list[str]) -> bytes:
+        known = self.pieces
+        got = [*map(known.get, pieces)]
+        if None in got:
+            for i, ids in enumerate(got):
+                if ids is None:
+                    piece = pieces[i]
+                    got[i] = ids = known.get(piece) or array("i", self.pairs.encode_piece(piece.encode())).tobytes()
+                    if len(piece) < 64:
+                        if len(known) >= PIECES:
+                            known.clear()
+                        known[piece] = ids
+        return b"".join(got)
 
 
 def _encode(path, pattern, decoded):
     def run(batches):
         worker = _Worker.get(path, pattern)
-        kind = pa.list_(pa.int32())
+        decode = worker.pairs.decode
         for batch in batches:
             first, ids, held, column = 0, [], 0, batch.column(1)
             for i in range(len(column)):
                 ids.append(worker.encode(column[i].as_py() or ""))
                 held += len(ids[-1])
-                if held >= TOKENS_OUT or i + 1 == len(column):
-                    out = [batch.column(0).slice(first, len(ids)), pa.array(ids, kind)]
+                if held >= 4 * TOKENS_OUT or i + 1 == len(column):
+                    ends = np.cumsum([0, *map(len, ids)]) // 4
+                    flat = np.frombuffer(b"".join(ids), np.int32)
+                    out = [batch.column(0).slice(first, len(ids)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
                     if decoded:
-                        out.append(pa.array(map(worker.pairs.decode, ids), pa.binary()))
+                        out.append(pa.array([decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.binary()))
                     yield pa.RecordBatch.from_arrays(out, ["id", "ids", "decoded"][:len(out)])
                     first, ids, held = i + 1, [], 0
     return run
