@@ -29,6 +29,38 @@ def op3_url_filter(spark, sf_dir):
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op5_decontaminate(spark, sf_dir):
+    from strata.llm.decontaminate import find_contamination
+    out = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+OP5_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+grams AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM grams),
+spots AS (
+  SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n)),
+hits AS (SELECT s.doc_id, s.i, s.n, g.item_id FROM spots s JOIN grams g ON s.n = g.n AND s.g = g.g),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+       sha256(coalesce(t.listed, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM docs d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items t USING (doc_id)"""
+
+
 def op6_line_dedup(spark, sf_dir):
     from strata.llm.lines import dedup_lines
     out = dedup_lines(_table(spark, sf_dir, "documents"))
@@ -62,10 +94,12 @@ def op10_quality_classifier(spark, sf_dir):
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_url_filter": op3_url_filter,
+    "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES = {
+    "op5_decontaminate": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
 }
