@@ -83,6 +83,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id"""
 
 
+def op8_license_scan(spark, sf_dir):
+    from strata.llm.licenses import scan_licenses
+    out = scan_licenses(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                      F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op9_quality_rules(spark, sf_dir):
+    import public_tokenizers as P
+
+    from strata.llm.rules import judge_texts
+    out = judge_texts(_table(spark, sf_dir, "documents"), P.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                      "chars_per_token", "fallback_share", "token_entropy")
+
+
 def op10_quality_classifier(spark, sf_dir):
     from strata.llm.quality import held_out, score_texts, train
     docs = _table(spark, sf_dir, "documents")
@@ -96,6 +112,8 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
+    "op8_license_scan": op8_license_scan,
+    "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
