@@ -29,6 +29,11 @@ def op3_url_filter(spark, sf_dir):
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op4_jaccard_join(spark, sf_dir):
+    from strata.llm.jaccard import similar_components
+    return similar_components(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op5_decontaminate(spark, sf_dir):
     from strata.llm.decontaminate import find_contamination
     out = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -110,6 +115,7 @@ def op10_quality_classifier(spark, sf_dir):
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_url_filter": op3_url_filter,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op8_license_scan": op8_license_scan,
