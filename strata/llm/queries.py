@@ -24,6 +24,12 @@ def op1_byte_bpe(spark, sf_dir):
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_suffix_array_dedup(spark, sf_dir):
+    from strata.llm.suffix_array import remove_repeats
+    out = remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_url_filter(spark, sf_dir):
     from strata.llm.urls import filter_urls
     return filter_urls(_table(spark, sf_dir, "pages"))
@@ -88,6 +94,12 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id"""
 
 
+def op7_substring_dedup(spark, sf_dir):
+    from strata.llm.suffix_tree import remove_later_repeats
+    out = remove_later_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_license_scan(spark, sf_dir):
     from strata.llm.licenses import scan_licenses
     out = scan_licenses(_table(spark, sf_dir, "documents"))
@@ -114,10 +126,12 @@ def op10_quality_classifier(spark, sf_dir):
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
