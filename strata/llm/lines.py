@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.text import LOWER, SPACES, ship
 
@@ -37,46 +38,53 @@ def _keys(min_chars):
     return run
 
 
-def _reassemble(min_chars):
+def _reassemble(min_chars, at):
+    """Rows with the text (column ``at``) replaced by its other lines, and the line counts at the end."""
     def run(batches):
         for batch in batches:
             kept, n_lines, n_dropped = [], [], []
-            for text, drop in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for text, drop in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 lines = (text or "").encode().split(b"\n")
                 drop = set(drop or ())
                 stay = [x for x in lines if line_key(x, min_chars) not in drop] if drop else lines
-                kept.append(b"\n".join(stay).decode())
+                kept.append(b"\n".join(stay).decode() if text is not None else None)
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(stay))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
-                ["doc", "kept", "n_lines", "n_dropped"])
+            columns = [*batch.columns[:-1], pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
+            columns[at] = pa.array(kept, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "n_lines", "n_dropped"])
     return run
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
-                min_docs: int = 3) -> DataFrame:
-    """Lines whose key is in at least ``min_docs`` documents stay only in the largest id that holds it.
+def drop_shared_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
+                      min_docs: int = 3) -> DataFrame:
+    """``df`` with the text without its shared lines, all other columns as they are, then ``n_lines`` and ``n_dropped``.
 
-    Returns ``id_col, kept (string), n_lines (before dropping), n_dropped``, one row per input row.
-    Lines end at ``\\n`` alone; keys of fewer than ``min_chars`` code points never count.  A null or empty
-    text is one empty line.  Each row is a document: rows that repeat an id count once each and share its
-    decisions.  A row without an id counts, but is never the one that keeps a line.  If no
-    document that holds a line has an id, no row keeps it.  An empty table gives no rows.
+    Lines whose key is in at least ``min_docs`` documents stay only in the largest id that holds it.  Lines end at
+    ``\\n`` alone; keys of fewer than ``min_chars`` code points never count.  A null text stays null and is one empty
+    line, as an empty one is.  Each row is a document: rows that repeat an id count once each and share its decisions.
+    A row without an id counts, but is never the one that keeps a line; if no document that holds a line has an id,
+    no row keeps it.  An empty table gives no rows.
     """
     ship(df.sparkSession)
-    kind = df.schema[id_col].dataType
-    type_name = kind.simpleString()
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                     F.coalesce(F.col(id_col), F.xxhash64(text_col).cast(kind)).alias("doc"))
-    lines = docs.select(F.struct("doc", F.col("id").isNull().alias("anonymous")).alias("doc"), "text").mapInArrow(
-        _keys(min_chars), f"doc struct<doc:{type_name},anonymous:boolean>, key binary").select("doc.*", "key")
+    names = [f"c{i}" for i in range(len(df.columns))]
+    plain = df.toDF(*names)
+    own, text = (names[df.columns.index(c)] for c in (id_col, text_col))
+    kind = plain.schema[own].dataType
+    docs = plain.withColumn("doc", F.coalesce(F.col(own), F.xxhash64(text).cast(kind))).withColumn("anonymous", F.col(own).isNull())
+    lines = docs.select(F.struct("doc", "anonymous").alias("doc"), F.col(text).alias("text")).mapInArrow(
+        _keys(min_chars), f"doc struct<doc:{kind.simpleString()},anonymous:boolean>, key binary").select("doc.*", "key")
     shared = (lines.groupBy("key")
               .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("anonymous"), F.col("doc"))).alias("keeper"))
               .where(F.col("n") >= min_docs).select("key", "keeper"))
     drops = (lines.join(shared, "key").where(F.col("anonymous") | F.col("keeper").isNull() | (F.col("doc") != F.col("keeper")))
              .groupBy("doc", "anonymous").agg(F.collect_set("key").alias("drop")))
-    joined = docs.withColumn("anonymous", F.col("id").isNull()).join(drops, ["doc", "anonymous"], "left")
-    return joined.select("id", "text", "drop").mapInArrow(
-        _reassemble(min_chars), f"doc {type_name}, kept string, n_lines long, n_dropped long"
-    ).withColumnRenamed("doc", id_col)
+    joined = docs.join(drops, ["doc", "anonymous"], "left").select(*names, "drop")
+    schema = T.StructType([*plain.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    return joined.mapInArrow(_reassemble(min_chars, names.index(text)), schema).toDF(*df.columns, "n_lines", "n_dropped")
+
+
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``id_col, kept (string), n_lines (before dropping), n_dropped`` of every row, as :func:`drop_shared_lines` decides."""
+    out = drop_shared_lines(df.select(id_col, text_col), id_col, text_col, **options)
+    return out.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("kept"), "n_lines", "n_dropped")
