@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.text import LOWER, SPACES, ship
+from strata.session import stored
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -74,9 +75,10 @@ def drop_shared_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = plain.withColumn("doc", F.coalesce(F.col(own), F.xxhash64(text).cast(kind))).withColumn("anonymous", F.col(own).isNull())
     lines = docs.select(F.struct("doc", "anonymous").alias("doc"), F.col(text).alias("text")).mapInArrow(
         _keys(min_chars), f"doc struct<doc:{kind.simpleString()},anonymous:boolean>, key binary").select("doc.*", "key")
-    shared = (lines.groupBy("key")
-              .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("anonymous"), F.col("doc"))).alias("keeper"))
-              .where(F.col("n") >= min_docs).select("key", "keeper"))
+    # written, so that the join below has nothing but exchanges under it and adaptive execution can split its hot keys
+    shared = stored(lines.groupBy("key")
+                    .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("anonymous"), F.col("doc"))).alias("keeper"))
+                    .where(F.col("n") >= min_docs).select("key", "keeper"), "shared-lines")
     drops = (lines.join(shared, "key").where(F.col("anonymous") | F.col("keeper").isNull() | (F.col("doc") != F.col("keeper")))
              .groupBy("doc", "anonymous").agg(F.collect_set("key").alias("drop")))
     joined = docs.join(drops, ["doc", "anonymous"], "left").select(*names, "drop")
