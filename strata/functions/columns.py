@@ -23,7 +23,7 @@ __all__ = [
     "col_of", "clean_upper", "clean_lower", "collapse_spaces", "as_date", "as_double",
     "as_timestamp", "abs_money", "month_of", "weekday_of", "email_domain", "is_valid_email",
     "tier_of", "risk_of", "segment_by_amount", "segment_by_activity", "flag",
-    "cents", "money_sum", "money_avg", "count_true", "any_true", "null_safe_differs",
+    "money_sum", "money_avg", "count_true", "any_true", "null_safe_differs",
 ]
 
 
@@ -49,9 +49,20 @@ def as_date(c) -> Column:
     return col_of(c).try_cast("date")
 
 
+#: Text timestamps that name a zone or an offset after the time of day.
+_ZONED = r":\d{2}(\.\d+)?\s*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)$"
+
+
 def as_timestamp(c) -> Column:
-    """Wall-clock timestamp (no zone) from text, date or timestamp."""
-    return col_of(c).try_cast("timestamp_ntz")
+    """Wall-clock timestamp from text, date or timestamp; NULL when unparseable.
+
+    Text with an offset (``+02:00``, ``Z``) is an instant: its UTC wall clock counts, so that rows with different
+    offsets order as they happened.  Text without one is taken as it is.
+    """
+    plain = col_of(c).try_cast("timestamp_ntz")
+    text = F.trim(col_of(c).cast("string"))
+    instant = F.to_utc_timestamp(text.try_cast("timestamp"), F.current_timezone()).cast("timestamp_ntz")
+    return F.when(text.rlike(_ZONED), instant).otherwise(plain)
 
 
 def as_double(c) -> Column:
@@ -129,23 +140,24 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(True)).otherwise(F.lit(False))
 
 
-def cents(c) -> Column:
-    """Amount in whole cents as a long (exact for 2-decimal money)."""
-    return F.round(as_double(c) * 100).cast("long")
-
-
 def money_sum(c) -> Column:
-    """Exact sum of 2-decimal amounts.
+    """Sum of amounts as they are, as a double; NULL without any amount.
 
-    Summing long cents is associative, so the result does not depend on
-    partitioning or task order (a double sum does), and it stays on the
-    fast long-arithmetic path of the hash aggregate.
+    Amounts that ten decimals write exactly are summed as decimals, so their total does not depend on partitioning
+    or task order.  The rest (finer, huge, infinite or NaN) is summed as doubles and added: NaN and infinities
+    carry through as they do in a double sum, and none fails the job.
     """
-    return (F.sum(cents(c)) / F.lit(100.0))
+    x = as_double(c)
+    decimal = F.when(F.abs(x) < 1e15, x).try_cast("decimal(38,10)")
+    exact = decimal.cast("double") == x
+    finer = F.sum(F.when(~F.coalesce(exact, F.lit(False)), x))
+    total = F.try_sum(F.when(exact, decimal)).cast("double")
+    return F.when(finer.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + finer)
 
 
 def money_avg(c) -> Column:
-    return F.try_divide(F.sum(cents(c)) / F.lit(100.0), F.count(col_of(c)).cast("double"))
+    """:func:`money_sum` by the number of amounts; NULL without any."""
+    return F.try_divide(money_sum(c), F.count(as_double(c)).cast("double"))
 
 
 def count_true(cond: Column) -> Column:

@@ -2,8 +2,8 @@
 
 Written independently of the Spark operators, from the business rules:
 plain SQL over the driver tables (pre-registered views) with the staged
-views of :mod:`strata.plans.staged` as CTEs.  Money sums are exact
-(``DECIMAL(18,2)``), matching the operators' exact cent sums.
+views of :mod:`strata.plans.staged` as CTEs.  Money sums do not round: finite
+amounts are summed as ``DECIMAL(38,10)``; a NaN or infinity makes the total.
 """
 
 from __future__ import annotations
@@ -85,8 +85,16 @@ FROM b10)
 """
 
 
+def total_of(amount: str) -> str:
+    """Sum of a double column with NaN and infinities as in a double sum, else exact."""
+    nan = f"(bool_or(isnan({amount})) OR (bool_or({amount} = 'inf'::DOUBLE) AND bool_or({amount} = '-inf'::DOUBLE)))"
+    exact = f"CAST(sum(CAST(CASE WHEN isfinite({amount}) THEN {amount} END AS DECIMAL(38,10))) AS DOUBLE)"
+    return (f"CASE WHEN {nan} THEN 'nan'::DOUBLE WHEN bool_or({amount} = 'inf'::DOUBLE) THEN 'inf'::DOUBLE "
+            f"WHEN bool_or({amount} = '-inf'::DOUBLE) THEN '-inf'::DOUBLE ELSE {exact} END")
+
+
 def curated_sql(source: str, review_expr: str) -> str:
-    total = "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+    total = total_of("amount")
     return f"""SELECT customer_id, {total} AS total_amount, {total} / count(amount) AS avg_amount,
        max(signup_date) AS latest_signup_date, min(signup_date) AS first_signup_date,
        count(customer_id) AS total_records,
@@ -167,9 +175,10 @@ def _quality_parts() -> list[str]:
     parts.append(_check("allowed_values", "customer_tier",
                         "count(*) FILTER (WHERE customer_tier NOT IN ('BRONZE', 'SILVER', 'GOLD'))", "cur"))
     parts.append(_check("curated_total_matches", "total_amount",
-                        "(SELECT count(*) FROM (SELECT customer_id, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS t "
-                        "FROM op GROUP BY customer_id) e FULL OUTER JOIN cur ON e.customer_id = cur.customer_id "
-                        "WHERE e.customer_id IS NULL OR cur.customer_id IS NULL OR e.t IS DISTINCT FROM cur.total_amount)"))
+                        "(SELECT count(*) FROM (SELECT customer_id, " + total_of("amount") + " AS t, TRUE AS e "
+                        "FROM op GROUP BY customer_id) e FULL OUTER JOIN (SELECT *, TRUE AS c FROM cur) c "
+                        "ON e.customer_id IS NOT DISTINCT FROM c.customer_id "
+                        "WHERE e.e IS NULL OR c.c IS NULL OR e.t IS DISTINCT FROM c.total_amount)"))
     return parts
 
 

@@ -58,7 +58,9 @@ SELECT ' o' || CAST(o_orderkey AS STRING) AS order_id, ' c' || CAST(o_custkey AS
        CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(o_orderkey % 40 AS DOUBLE) * 5 END AS discount_amount
 FROM {orders}""",
     "event_amounts": """
-SELECT user_id AS customer_id, value AS amount, CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value,
+SELECT user_id AS customer_id,
+       CASE WHEN user_id % 97 = 0 AND event_id % 3 = 0 THEN CAST('NaN' AS DOUBLE) WHEN user_id % 89 = 0 AND event_id % 3 = 0 THEN CAST('Infinity' AS DOUBLE)
+            WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount, CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value,
        event_type = 'error' AS needs_review, CASE WHEN value >= 200 THEN 'HIGH' ELSE 'LOW' END AS risk_flag, 'BRONZE' AS customer_tier
 FROM {events}""",
     "nation_lookup": """

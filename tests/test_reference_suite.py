@@ -5,7 +5,7 @@ from tests import reference_suite as RS
 
 @pytest.fixture(scope="module")
 def fx(spark):
-    return RS.fixtures(spark)
+    return RS.layers(spark)
 
 
 @pytest.mark.parametrize("case", RS.CASES, ids=[c.__name__ for c in RS.CASES])
