@@ -130,7 +130,7 @@ def _prefix_tokens(keep):
                     if (f1[i], f2[i]) in seen:
                         continue
                     seen.add((f1[i], f2[i]))
-                    own = np.frombuffer(prefixes[i].as_py(), U)
+                    own = mix(np.frombuffer(prefixes[i].as_py(), U))   # prefixes hold the least hashes; buckets want even ones
                     if keep is not None:
                         slot = (own >> U(64 - FILTER_BITS)).astype(np.int64)
                         own = own[(keep[slot >> 3] >> (slot & 7)) & 1 == 1]

@@ -23,6 +23,8 @@ from strata.llm.text import NON_SPACE, U, Chunk, Words, between, byte_sums, chun
 from strata.session import stored
 
 FILTER_BITS = 26
+#: Texts of so many bytes are cut to windows at once (a window of bytes costs some 100 bytes of arrays).
+SCAN_BYTES = 1 << 18
 #: Segments of about so many bytes are compared at once in a task; an anchor with more is split by its windows.
 GROUP_BYTES = 4 << 20
 
@@ -96,13 +98,14 @@ def segments(s: Sequence, unit: Unit) -> Segments:
     new[1:] = (at[1:] != at[:-1]) | (window[1:] != window[:-1] + 1)
     low = window[new]
     high = window[np.append(np.flatnonzero(new)[1:] - 1, len(window) - 1)]
-    return Segments(h[at[new]], at[new], low, high)
+    # scrambled once more: anchors are the least hashes of their windows, and partitions and filters want even ones
+    return Segments(mix(h[at[new]] ^ _SALT), at[new], low, high)
 
 
 def _anchors(unit: Unit):
     def run(batches):
         for batch in batches:
-            for chunk in chunks(batch.column(0)):
+            for chunk in chunks(batch.column(0), SCAN_BYTES):
                 token, n = np.unique(segments(sequence(chunk, unit.kind), unit).anchor, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["anchor", "n"])
     return run
@@ -111,7 +114,7 @@ def _anchors(unit: Unit):
 def _occurrences(unit: Unit, keep: np.ndarray):
     def run(batches):
         for batch in batches:
-            for chunk in chunks(batch.column(batch.num_columns - 1)):
+            for chunk in chunks(batch.column(batch.num_columns - 1), SCAN_BYTES):
                 s = sequence(chunk, unit.kind)
                 g = segments(s, unit)
                 slot = (g.anchor >> U(64 - FILTER_BITS)).astype(np.int64)
