@@ -31,7 +31,7 @@ from strata.session import stored
 #: Slots of the count signature; frequent tokens that are told apart in the global order.
 SLOTS, FREQUENT = 128, 1 << 18
 #: Tokens counted at once in a task; a token is reported as frequent from so many documents among them.
-COUNT_AT_ONCE, REPORT_FROM = 1 << 22, 8
+COUNT_AT_ONCE, REPORT_FROM = 1 << 20, 4
 FILTER_BITS = 24
 
 

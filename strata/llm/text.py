@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 #: Bytes that separate words: space and tab, line feed, vertical tab, form feed, carriage return.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
