@@ -1,16 +1,59 @@
-"""Slowly changing dimension, type 2 (D5), as one null-safe full outer join.
+"""Slowly changing dimension, type 2 (D5), with every change of a batch.
 
-No row leaves the executors: the incoming batch is reduced to its latest
-row per key (partial aggregation, so hot keys collapse map-side), joined
-null-safely with the current dimension rows, and every joined row expands
-into one or two output rows with ``inline`` over an array of structs.
+The batch is reduced to one row per key and instant, range-partitioned by
+(key, instant) and written.  A key that holds much of the batch spreads over
+several ranges: neighbours are compared within a range by a window over
+(key, range), and across ranges through one summary row per key and range.  So
+no task has to hold all rows of one key, and no row leaves the executors.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import stored
+
+
+def _with(rows: DataFrame, side: DataFrame, *keys: str, how: str = "left") -> DataFrame:
+    """``rows`` joined null-safely on ``keys`` with ``side``, whose keys are dropped."""
+    right = side.withColumnsRenamed({c: f"{c}_side" for c in keys})
+    on = [F.col(c).eqNullSafe(F.col(f"{c}_side")) for c in keys]
+    condition = on[0]
+    for part in on[1:]:
+        condition = condition & part
+    return rows.join(right, condition, how).drop(*[f"{c}_side" for c in keys])
+
+
+def _changes(dim: DataFrame, incoming: DataFrame, key: str, attribute: str, ts: str, current: Column, version: str) -> DataFrame:
+    """``_k, _ts, _val, _until, _version, _last``: the versions that the batch opens, in the dimension's types."""
+    rows = incoming.groupBy(F.col(key).alias("_k"), F.col(ts).alias("_ts")).agg(F.max(attribute).alias("_val"))
+    rows = rows.withColumns({"_k": F.col("_k").cast(dim.schema[key].dataType), "_val": F.col("_val").cast(dim.schema[attribute].dataType)})
+    order = (F.col("_k").asc_nulls_first(), F.col("_ts").asc_nulls_first())
+    rows = stored(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "scd-changes")
+
+    within = Window.partitionBy("_k", "_range").orderBy(F.col("_ts").asc_nulls_first())
+    across = Window.partitionBy("_k").orderBy("_range")
+    before = dim.where(current).groupBy(F.col(key).alias("_k")).agg(
+        F.max(F.struct(F.coalesce(F.col(version), F.lit(1)).cast("long").alias("version"), F.col(attribute).alias("val"))).alias("_current"))
+    ends = rows.groupBy("_k", "_range").agg(F.max(F.struct("_ts", "_val")).alias("_end"))
+    ends = _with(ends, before, "_k").select("_k", "_range", "_current", F.lag("_end").over(across).alias("_earlier"))
+    # the struct tells "no earlier row" from "an earlier NULL"
+    compared = rows.withColumn("_previous", F.lag(F.struct("_val")).over(within))
+    compared = _with(compared, ends, "_k", "_range").select(
+        "_k", "_range", "_ts", "_val", F.col("_current.version").alias("_base"),
+        F.coalesce("_previous", F.when(F.col("_earlier").isNotNull(), F.struct(F.col("_earlier._val").alias("_val"))),
+                   F.when(F.col("_current").isNotNull(), F.struct(F.col("_current.val").alias("_val")))).alias("_before"))
+    kept = stored(compared.where(F.col("_before").isNull() | ~F.col("_val").eqNullSafe(F.col("_before._val"))).drop("_before"), "scd-versions")
+
+    counts = kept.groupBy("_k", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_ts")).alias("_first"))
+    counts = counts.select("_k", "_range", (F.sum("_n").over(across) - F.col("_n")).alias("_passed"), F.lead("_first").over(across).alias("_next_first"))
+    numbered = kept.withColumns({"_row": F.row_number().over(within), "_next": F.lead(F.struct("_ts")).over(within)})
+    numbered = _with(numbered, counts, "_k", "_range").select(
+        "_k", "_ts", "_val", F.coalesce("_next", "_next_first").alias("_after"),
+        (F.coalesce("_base", F.lit(0)) + F.col("_passed") + F.col("_row")).alias("_version"))
+    return numbered.select("_k", "_ts", "_val", F.col("_after._ts").alias("_until"), "_version", F.col("_after").isNull().alias("_last"))
+
 
 def apply_scd_type_2(
     dim_df: DataFrame,
@@ -26,67 +69,54 @@ def apply_scd_type_2(
 ) -> DataFrame:
     """Apply an incoming batch to a type-2 dimension.
 
-    * new key: version 1, open, current, ``valid_from`` = incoming timestamp;
-    * changed attribute (null-safe compare): the current row is closed at the
-      incoming timestamp and version n+1 (NULL version counts as 1) opens;
-    * unchanged key, and current key absent from the batch: carried through;
-    * ``keep_history``: already-closed rows of ``dim_df`` are kept as well
-      (``False`` returns only current rows and the new transitions, or
-      ``dim_df`` unchanged when it has no current row and the batch is empty).
-
-    Several incoming rows for one key: the one with the greatest incoming
-    timestamp wins (ties: greatest attribute value).  The output keeps the
-    dimension's schema and column order.
+    * a key's incoming rows count in the order of their timestamps (of one instant the greatest attribute); rows that
+      repeat the attribute before them open nothing;
+    * every other row opens a version, numbered on from the current one (NULL counts as 1; a new key starts at 1), which
+      the next one closes; the last one is open and current;
+    * the current row is closed at the first such version; unchanged and absent keys are carried through;
+    * ``keep_history``: already-closed rows of ``dim_df`` are kept as well (``False``: only current rows and the
+      transitions, or ``dim_df`` unchanged when it has no current row and the batch is empty).
+
+    Keys and attributes compare null-safely.  The output keeps the dimension's schema and column order; columns that
+    the batch has too are filled from the row that opens a new key, other columns of a further version are carried from
+    the current row.  A batch row older than the current row makes an interval that ends before it starts, which
+    :func:`strata.operators.quality.check_scd2` reports.
     """
-    schema = dim_df.schema
-    cols = dim_df.columns
-    k, c = business_key, change_col
-
-    def latest(frame: DataFrame) -> DataFrame:
-        return (frame.groupBy(F.col(k).alias("_in_key"))
-                .agg(F.max(F.struct(F.col(incoming_ts_col).alias("ts"), F.col(c).alias("val"))).alias("_in"))
-                .select("_in_key",
-                        F.col("_in.ts").cast(schema[effective_start_col].dataType).alias("_in_ts"),
-                        F.col("_in.val").cast(schema[c].dataType).alias("_in_val"),
-                        F.lit(True).alias("_in_present")))
-
-    is_current = F.col(is_current_col).eqNullSafe(F.lit(True))
-    current = dim_df.where(is_current).withColumn("_cur_present", F.lit(True))
-    # Non-NULL keys: a plain equi full outer join.  The incoming side is
-    # already hash-partitioned on the key by its aggregation, so only the
-    # current side is shuffled (or none, when the dimension is bucketed).
-    inc_keyed = latest(incoming_df.where(F.col(k).isNotNull()))
-    cur_keyed = current.where(F.col(k).isNotNull())
-    joined = cur_keyed.join(inc_keyed, cur_keyed[k] == inc_keyed["_in_key"], "full_outer")
-    # NULL keys match each other (null-safe); both sides are tiny after the
-    # incoming rows collapsed to one.
-    inc_null = latest(incoming_df.where(F.col(k).isNull()))
-    cur_null = current.where(F.col(k).isNull())
-    joined = joined.unionByName(cur_null.join(inc_null, cur_null[k].eqNullSafe(inc_null["_in_key"]), "full_outer"))
-
-    def row(overrides: dict) -> Column:
-        return F.struct(*[
-            (overrides[n] if n in overrides else F.col(n)).cast(schema[n].dataType).alias(n) for n in cols
-        ])
-
-    null_end = F.lit(None).cast(schema[effective_end_col].dataType)
-    new_key = row({k: F.col("_in_key"), c: F.col("_in_val"), effective_start_col: F.col("_in_ts"),
-                   effective_end_col: null_end, is_current_col: F.lit(True), version_col: F.lit(1)})
-    carried = row({})
-    expired = row({effective_end_col: F.col("_in_ts"), is_current_col: F.lit(False)})
-    next_version = row({c: F.col("_in_val"), effective_start_col: F.col("_in_ts"), effective_end_col: null_end,
-                        is_current_col: F.lit(True),
-                        version_col: F.coalesce(F.col(version_col), F.lit(1)) + F.lit(1)})
-
-    rows = (F.when(F.col("_cur_present").isNull(), F.array(new_key))
-            .when(F.col("_in_present").isNull() | F.col(c).eqNullSafe(F.col("_in_val")), F.array(carried))
-            .otherwise(F.array(expired, next_version)))
-    result = joined.select(F.inline(rows))
+    schema, cols, k, c = dim_df.schema, dim_df.columns, business_key, change_col
+    current = F.col(is_current_col).eqNullSafe(F.lit(True))
+    managed = {k, c, effective_start_col, effective_end_col, is_current_col, version_col}
+    others = [x for x in cols if x not in managed]
+    opened = _changes(dim_df, incoming_df, k, c, incoming_ts_col, current, version_col)
+    opened = stored(opened, "scd-opened")
+    first = opened.groupBy(F.col("_k").alias("_fk")).agg(F.min(F.struct("_ts")).alias("_closed_at"))
+
+    def row(frame: DataFrame, overrides: dict) -> DataFrame:
+        return frame.select(*[(overrides[n] if n in overrides else F.col(n)).cast(schema[n].dataType).alias(n) for n in cols])
+
+    now = dim_df.where(current)
+    now = now.join(first, now[k].eqNullSafe(first["_fk"]), "left")
+    closes = F.col("_closed_at").isNotNull()
+    carried = row(now, {effective_end_col: F.when(closes, F.col("_closed_at._ts").cast(schema[effective_end_col].dataType)).otherwise(F.col(effective_end_col)),
+                        is_current_col: ~closes})
+    extra = {x: F.lit(None) for x in others}
+    if others:
+        filled = [x for x in others if x in incoming_df.columns]
+        kept = dim_df.where(current).groupBy(F.col(k).alias("_ok")).agg(
+            F.max_by(F.struct(*others), F.struct(F.coalesce(F.col(version_col), F.lit(1)), F.col(c))).alias("_kept"))
+        opened = opened.join(kept, opened["_k"].eqNullSafe(kept["_ok"]), "left")
+        extra = {x: F.col(f"_kept.{x}") for x in others}
+        if filled:
+            given = incoming_df.groupBy(F.col(k).cast(schema[k].dataType).alias("_gk"), F.col(incoming_ts_col).alias("_gts")).agg(
+                F.max_by(F.struct(*filled), F.col(c)).alias("_given"))
+            opened = opened.join(given, opened["_k"].eqNullSafe(given["_gk"]) & opened["_ts"].eqNullSafe(given["_gts"]), "left")
+            extra |= {x: F.when(F.col("_kept").isNull(), F.col(f"_given.{x}")).otherwise(extra[x]) for x in filled}
+    versions = row(opened, extra | {k: F.col("_k"), c: F.col("_val"), effective_start_col: F.col("_ts"), effective_end_col: F.col("_until"),
+                                    is_current_col: F.col("_last"), version_col: F.col("_version")})
+    result = carried.unionByName(versions)
     if keep_history:
-        return result.unionByName(dim_df.where(~is_current))
-    # Nothing is produced exactly when there is no current row and no incoming
-    # row; then the dimension is returned unchanged.  Two incremental
-    # emptiness probes (each stops at the first row found) decide it.
-    if incoming_df.isEmpty() and dim_df.where(is_current).isEmpty():
+        return result.unionByName(dim_df.where(~current))
+    # Nothing comes out exactly when there is no current row and no incoming row; then the dimension is returned
+    # unchanged.  Two emptiness probes (each stops at the first row found) decide it.
+    if incoming_df.isEmpty() and dim_df.where(current).isEmpty():
         return dim_df
     return result

@@ -17,7 +17,7 @@ from strata.config import (
     SYNTH_SOURCE_SYSTEMS,
     SYNTH_VALID_STATUSES,
 )
-from strata.plans.staged import STAGED_SQL, cte
+from strata.plans.staged import cte
 
 EMAIL_RE = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 AS_OF = "DATE '2002-01-01'"
@@ -106,23 +106,21 @@ FROM {source} GROUP BY customer_id"""
 
 
 SCD_CTES = cte("dim_customer", "scd_incoming") + """,
-inc AS (SELECT customer_id AS in_key, updated_at AS in_ts, status AS in_val, TRUE AS in_present FROM (
-          SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC NULLS LAST, status DESC NULLS LAST) AS rn
-          FROM scd_incoming) WHERE rn = 1),
-cur AS (SELECT *, TRUE AS cur_present FROM dim_customer WHERE is_current IS NOT DISTINCT FROM TRUE),
-j AS (SELECT * FROM cur FULL OUTER JOIN inc ON cur.customer_id IS NOT DISTINCT FROM inc.in_key),
+cur AS (SELECT * FROM dim_customer WHERE is_current),
+inc AS (SELECT customer_id AS k, updated_at AS ts, max(status) AS val FROM scd_incoming GROUP BY ALL),
+steps AS (
+SELECT i.k, i.ts, i.val, c.is_current IS NOT NULL AS known, coalesce(c.version_no, 1) AS base,
+       row_number() OVER w = 1 AS leads, CASE WHEN row_number() OVER w = 1 THEN c.status ELSE lag(i.val) OVER w END AS before
+FROM inc i LEFT JOIN cur c ON i.k IS NOT DISTINCT FROM c.customer_id WINDOW w AS (PARTITION BY i.k ORDER BY i.ts)),
+opened AS (
+SELECT k, ts, val, lead(ts) OVER w AS until, lead(ts) OVER w IS NULL AS is_last,
+       CASE WHEN known THEN base ELSE 0 END + row_number() OVER w AS version_no, row_number() OVER w = 1 AS leads
+FROM steps WHERE (leads AND NOT known) OR val IS DISTINCT FROM before WINDOW w AS (PARTITION BY k ORDER BY ts)),
 scd_current AS (
-SELECT in_key AS customer_id, in_val AS status, CAST(in_ts AS DATE) AS valid_from, CAST(NULL AS DATE) AS valid_to,
-       TRUE AS is_current, 1 AS version_no FROM j WHERE cur_present IS NULL
+SELECT c.customer_id, c.status, c.valid_from, CAST(coalesce(o.ts, c.valid_to) AS DATE) AS valid_to, o.ts IS NULL AS is_current, c.version_no
+FROM cur c LEFT JOIN opened o ON c.customer_id IS NOT DISTINCT FROM o.k AND o.leads
 UNION ALL
-SELECT customer_id, status, valid_from, valid_to, is_current, version_no FROM j
-WHERE cur_present AND (in_present IS NULL OR status IS NOT DISTINCT FROM in_val)
-UNION ALL
-SELECT customer_id, status, valid_from, CAST(in_ts AS DATE), FALSE, version_no FROM j
-WHERE cur_present AND in_present AND status IS DISTINCT FROM in_val
-UNION ALL
-SELECT customer_id, in_val, CAST(in_ts AS DATE), CAST(NULL AS DATE), TRUE, coalesce(version_no, 1) + 1 FROM j
-WHERE cur_present AND in_present AND status IS DISTINCT FROM in_val),
+SELECT k, val, CAST(ts AS DATE), CAST(until AS DATE), is_last, CAST(version_no AS INTEGER) FROM opened),
 scd_full AS (SELECT * FROM scd_current UNION ALL
              SELECT customer_id, status, valid_from, valid_to, is_current, version_no FROM dim_customer
              WHERE is_current IS DISTINCT FROM TRUE)
@@ -282,10 +280,9 @@ FROM n""",
 SELECT lookup_key, max(customer_segment) AS v FROM nation_lookup WHERE lookup_key IS NOT NULL GROUP BY lookup_key)
 SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, coalesce(lk.v, 'UNKNOWN') AS customer_segment
 FROM customer c LEFT JOIN lk ON c.c_nationkey = lk.lookup_key""",
-    "enrich_orders_segment": """WITH lk AS (SELECT c_custkey, max(c_mktsegment) AS seg FROM customer
-                                  WHERE c_custkey % 10 <> 0 GROUP BY c_custkey)
-SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, coalesce(lk.seg, 'UNKNOWN') AS c_mktsegment
-FROM orders o LEFT JOIN lk ON o.o_custkey = lk.c_custkey""",
+    "enrich_orders_segment": cte("segment_lookup") + """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, coalesce(lk.c_mktsegment, 'UNKNOWN') AS c_mktsegment
+FROM orders o LEFT JOIN segment_lookup lk ON o.o_custkey = lk.lookup_key""",
     "cdc_delta": cte("cdc_incoming") + """, cur AS (
 SELECT customer_id, max(updated_at) AS cts FROM cdc_current WHERE customer_id IS NOT NULL GROUP BY customer_id)
 SELECT i.customer_id, i.updated_at, i.status, i.amount, 'UPSERT' AS row_action
@@ -314,7 +311,7 @@ WHERE a.customer_id IS NULL OR e.customer_id IS NULL OR e.updated_at IS DISTINCT
     "dedup_latest": """SELECT event_id, ts, user_id, event_type, value, props FROM (
 SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST,
        event_type DESC NULLS LAST, value DESC NULLS LAST, props DESC NULLS LAST) AS rn FROM events) WHERE rn = 1""",
-    "dedup_any_survivor": "SELECT DISTINCT user_id FROM events",
+    "dedup_any_survivor": cte("repeated_users") + "SELECT DISTINCT user_id, account, name FROM repeated_users",
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "quality_report": _quality_report(),
@@ -337,6 +334,10 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
         _check("unique_version_per_key", "version_no",
                "(SELECT count(*) FROM (SELECT customer_id, version_no FROM scd_full GROUP BY customer_id, version_no "
                "HAVING count(*) > 1))"),
+        _check("closed_row_has_successor", "version_no",
+               "(SELECT count(*) FROM (SELECT customer_id FROM scd_full GROUP BY customer_id "
+               "HAVING bool_or(is_current IS DISTINCT FROM TRUE) AND (count(*) < 2 OR max(coalesce(version_no, 1)) < 2)))"),
+        _check("interval_not_backwards", "valid_to", "(SELECT count(*) FROM scd_full WHERE valid_to < valid_from)"),
     ]),
     "csv_round_trip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "txt_round_trip": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
@@ -348,5 +349,3 @@ FROM customer WHERE c_acctbal >= 0.0 GROUP BY c_mktsegment""",
     "medallion_load": LOADER_CTES + curated_sql("lop", "risk_flag = 'HIGH'"),
     "incremental_file_load": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 }
-
-assert set(STAGED_SQL)  # staged views are shared with the Spark side

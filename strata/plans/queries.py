@@ -111,10 +111,10 @@ def enrich_lookup(spark, sf):
 
 def enrich_orders_segment(spark, sf):
     """Fact -> dimension lookup: every order gets its customer's segment (UNKNOWN for customers
-    missing from the lookup, here every tenth)."""
-    customers = base(spark, sf, "customer").where(F.col("c_custkey") % 10 != 0)
+    whose key the lookup lacks, here every tenth)."""
+    customers = staged(spark, sf, "segment_lookup")
     return enrich_with_reference_data(base(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
-                                      customers, join_key="o_custkey", lookup_key="c_custkey",
+                                      customers, join_key="o_custkey", lookup_key="lookup_key",
                                       value_col="c_mktsegment")
 
 
@@ -147,7 +147,7 @@ def orphan_facts(spark, sf):
 
 
 def compare_latest_activity(spark, sf):
-    """Expected (latest even-event time per user) vs actual (latest over all events)."""
+    """Expected (the re-keyed current side, odd events 30 days early) vs actual (latest over all events)."""
     expected = staged(spark, sf, "cdc_current")
     actual = (base(spark, sf, "events").groupBy(F.col("user_id").alias("customer_id"))
               .agg(F.max("ts").alias("updated_at")))
@@ -172,8 +172,8 @@ def dedup_latest(spark, sf):
 
 
 def dedup_any_survivor(spark, sf):
-    """F1 without an order (dropDuplicates): the survivor is arbitrary, the key set is not."""
-    return deduplicate_customer_records(base(spark, sf, "events"), ["user_id"]).select("user_id")
+    """F1 without an order (dropDuplicates): any of a key's rows survives whole; here they are all alike."""
+    return deduplicate_customer_records(staged(spark, sf, "repeated_users"), ["user_id"])
 
 
 def duplicate_keys(spark, sf):

@@ -5,8 +5,8 @@ these views inject them with fixed arithmetic.  Each statement is plain SQL
 accepted by Spark and DuckDB alike, with ``{table}`` placeholders: Spark binds
 DataFrames to them, a DuckDB oracle fills in the view names and prefixes the
 statements as CTEs.  They read whole
-tables: the modulo terms only decide which rows get a NULL / orphan /
-change, or which half of ``events`` is "current" and which "incoming".
+tables: the modulo terms only decide which rows get another key, a NULL, a
+change or an earlier time.
 """
 
 from __future__ import annotations
@@ -31,23 +31,30 @@ SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE '  c' || lpad(CAST(c_custkey %
        ' north ' AS region, 'erp' AS source_system
 FROM {customer}""",
     "cdc_current": """
-SELECT user_id AS customer_id, max(ts) AS updated_at FROM {events} WHERE event_id % 2 = 0 AND user_id % 5 <> 0 GROUP BY user_id""",
+SELECT CASE WHEN user_id % 5 = 0 THEN -1 - user_id ELSE user_id END AS customer_id,
+       max(CASE WHEN event_id % 2 = 0 THEN ts ELSE ts - INTERVAL 30 DAY END) AS updated_at FROM {events} GROUP BY user_id""",
     "cdc_incoming": """
-SELECT CASE WHEN event_id % 997 = 0 THEN NULL ELSE user_id END AS customer_id,
+SELECT CASE WHEN event_id % 997 = 0 THEN NULL WHEN event_id % 2 = 0 THEN 1000000 + user_id ELSE user_id END AS customer_id,
        CASE WHEN event_id % 991 = 0 THEN NULL ELSE ts END AS updated_at, event_type AS status, value AS amount
-FROM {events} WHERE event_id % 2 = 1 OR event_id % 997 = 0
+FROM {events}
 UNION ALL
 SELECT customer_id, updated_at, 'tie', 0.0 FROM {cdc_current} WHERE customer_id % 3 = 0""",
     "dim_customer": """
-SELECT c_custkey AS customer_id, c_mktsegment AS status, DATE '2023-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, TRUE AS is_current, 1 AS version_no
-FROM {customer} WHERE c_custkey % 10 <> 0
+SELECT CASE WHEN c_custkey = 5 THEN NULL WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END AS customer_id, c_mktsegment AS status,
+       CASE WHEN c_custkey % 50 = 7 THEN DATE '2024-01-15' ELSE DATE '2023-01-01' END AS valid_from, CAST(NULL AS DATE) AS valid_to, TRUE AS is_current,
+       CASE WHEN c_custkey % 10 = 1 THEN 2 WHEN c_custkey % 10 = 3 THEN NULL ELSE 1 END AS version_no
+FROM {customer}
 UNION ALL
-SELECT c_custkey, 'OLD', DATE '2022-01-01', DATE '2023-01-01', FALSE, 0 FROM {customer} WHERE c_custkey % 10 = 1""",
+SELECT c_custkey, 'OLD', DATE '2022-01-01', DATE '2023-01-01', FALSE, 1 FROM {customer} WHERE c_custkey % 10 = 1""",
     "scd_incoming": """
-SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 3 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS status, DATE '2024-01-01' AS updated_at
-FROM {customer} WHERE c_custkey % 4 <> 0""",
+SELECT CASE WHEN c_custkey % 40 = 5 THEN NULL WHEN c_custkey % 4 = 0 THEN -c_custkey ELSE c_custkey END AS customer_id,
+       CASE WHEN c_custkey % 3 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS status, DATE '2024-01-01' AS updated_at FROM {customer}
+UNION ALL
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 6 = 0 THEN 'CHANGED' ELSE c_mktsegment END, DATE '2024-02-01' FROM {customer} WHERE c_custkey % 2 = 0
+UNION ALL
+SELECT c_custkey, 'LATE', DATE '2024-03-01' FROM {customer} WHERE c_custkey % 6 = 0""",
     "dim_keys": """
-SELECT c_custkey AS customer_id FROM {customer} WHERE c_custkey % 10 <> 0""",
+SELECT CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END AS customer_id FROM {customer}""",
     "fact_orders": """
 SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_custkey END AS customer_id, o_orderkey AS order_id, o_totalprice AS amount FROM {orders}""",
     "orders_in": """
@@ -64,7 +71,11 @@ SELECT user_id AS customer_id,
        event_type = 'error' AS needs_review, CASE WHEN value >= 200 THEN 'HIGH' ELSE 'LOW' END AS risk_flag, 'BRONZE' AS customer_tier
 FROM {events}""",
     "nation_lookup": """
-SELECT n_nationkey AS lookup_key, n_name AS customer_segment FROM {nation} WHERE n_nationkey % 4 <> 0""",
+SELECT CASE WHEN n_nationkey % 4 = 0 THEN -1 - n_nationkey ELSE n_nationkey END AS lookup_key, n_name AS customer_segment FROM {nation}""",
+    "segment_lookup": """
+SELECT CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END AS lookup_key, c_mktsegment FROM {customer}""",
+    "repeated_users": """
+SELECT user_id, user_id * 3 + 1 AS account, 'user ' || CAST(user_id AS STRING) AS name FROM {events}""",
 }
 
 # Which staged views each staged view reads (for CTE prefixes).
@@ -72,7 +83,6 @@ STAGED_DEPS = {"cdc_incoming": ("cdc_current",)}
 
 # Fixed evaluation dates of the staged data.
 CUSTOMER_AS_OF = "2002-01-01"
-EVENT_AS_OF = "2024-02-01"
 
 
 def _memo(spark: SparkSession) -> dict:

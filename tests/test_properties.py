@@ -24,35 +24,31 @@ INC = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField(
                     T.StructField("updated_at", T.StringType())])
 
 
-def _order(ts, val):
-    # struct ordering of (ts, val): NULL below any value, field by field
-    return (ts is not None, ts or "", val is not None, val or "")
+def _low(x):
+    """NULL sorts below any value."""
+    return (x is not None, x if x is not None else "")
 
 
 def scd_model(dim, inc):
-    latest = {}
-    for k, val, ts in inc:
-        if k not in latest or _order(ts, val) > _order(*latest[k]):
-            latest[k] = (ts, val)
-    out, current_keys = [], set()
-    for row in dim:
-        k, status, vf, vt, cur, ver = row
-        if cur is not True:
-            out.append(row)                              # closed history kept
-            continue
-        current_keys.add(k)
-        if k not in latest:
-            out.append(row)
-            continue
-        ts, val = latest[k]
-        if status == val:
-            out.append(row)
-        else:
-            out.append((k, status, vf, ts, False, ver))
-            out.append((k, val, ts, None, True, (ver if ver is not None else 1) + 1))
-    for k, (ts, val) in latest.items():
-        if k not in current_keys:
-            out.append((k, val, ts, None, True, 1))
+    out = [row for row in dim if row[4] is not True]
+    for key in {r[0] for r in dim if r[4] is True} | {r[0] for r in inc}:
+        current = [r for r in dim if r[0] == key and r[4] is True]
+        at = {}
+        for k, val, ts in inc:
+            if k == key and (ts not in at or _low(val) > _low(at[ts])):
+                at[ts] = val
+        base, last = (0, object())
+        if current:
+            base, last = max(((r[5] if r[5] is not None else 1, r[1]) for r in current), key=lambda x: (x[0], _low(x[1])))
+        opened = []
+        for ts in sorted(at, key=_low):
+            if at[ts] != last:
+                opened.append((ts, at[ts]))
+                last = at[ts]
+        out += [(k, v, f, opened[0][0], False, n) if opened else (k, v, f, t, c, n) for k, v, f, t, c, n in current]
+        for i, (ts, val) in enumerate(opened):
+            final = i + 1 == len(opened)
+            out.append((key, val, ts, None if final else opened[i + 1][0], final, base + i + 1))
     return Counter(out)
 
 
