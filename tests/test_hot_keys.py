@@ -101,7 +101,7 @@ def test_orphans_and_key_differences_with_hot_key(spark, hot, duck):
 def test_enrich_and_scd_with_hot_key(spark, hot, duck):
     lookup = hot.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.max("event_type").alias("seg"))
     out = enrich_with_reference_data(hot, lookup.where(F.col("user_id") != 1), join_key="user_id",
-                                     lookup_key="user_id", value_col="seg", broadcast_max_rows=0)
+                                     lookup_key="user_id", value_col="seg", broadcast_max_bytes=0)
     assert out.count() == hot.count()
     assert out.where(F.col("user_id") == 1).where(F.col("seg") != "UNKNOWN").count() == 0
     dim = lookup.select(F.col("user_id").alias("customer_id"), F.col("seg").alias("status"),
@@ -124,7 +124,7 @@ def test_key_map_join_splits_hot_keys(spark, hot, duck, how):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = join_key_map(hot, "user_id", kmap, how, broadcast_max_rows=0, hot_key_rows=100)
+        out = join_key_map(hot, "user_id", kmap, how, broadcast_max_bytes=0, hot_key_rows=100)
         plan = plan_of(out)
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan      # hot map-side, cold shuffled
         rows = out.collect()

@@ -40,14 +40,14 @@ def test_compare_by_key(spark):
     assert got == [("b", "value_mismatch"), ("x", "missing_in_actual"), ("y", "missing_in_expected")]
 
 
-@pytest.mark.parametrize("max_rows", [10, 0])
-def test_enrichment_broadcast_and_shuffle_paths(spark, max_rows):
+@pytest.mark.parametrize("max_bytes", [1000, 0])
+def test_enrichment_broadcast_and_shuffle_paths(spark, max_bytes):
     df = spark.createDataFrame([("c1", "seg?"), ("c2", None), (None, None), ("c3", "x")], "customer_id string, customer_segment string")
     lookup = spark.createDataFrame([("c1", "VIP"), ("c1", "LOYAL"), ("c3", None)], "customer_id string, customer_segment string")
-    out = enrich_with_reference_data(df, lookup, broadcast_max_rows=max_rows)
+    out = enrich_with_reference_data(df, lookup, broadcast_max_bytes=max_bytes)
     assert out.columns == ["customer_id", "customer_segment"]
     got = sorted((r["customer_id"] or "-", r["customer_segment"]) for r in out.collect())
     assert got == [("-", "UNKNOWN"), ("c1", "VIP"), ("c2", "UNKNOWN"), ("c3", "UNKNOWN")]
     plan = out._jdf.queryExecution().executedPlan().toString()
-    if max_rows > 0:
+    if max_bytes > 0:
         assert "BroadcastExchange" in plan

@@ -62,16 +62,16 @@ def main() -> None:
             hot.where("l_linenumber % 2 = 0").select(F.col("k").alias("customer_id"), F.col("l_shipdate").alias("updated_at")),
             hot.where("l_linenumber % 2 = 1").select(F.col("k").alias("customer_id"), F.col("l_shipdate").alias("updated_at"),
                                                      "l_orderkey", "l_linenumber"),
-            broadcast_max_rows=0),
+            broadcast_max_bytes=0),
         "orphan facts": lambda: reconcile_fact_dimension(
             hot.select(F.col("k").alias("customer_id"), "l_orderkey"),
-            hot.where("k % 4 <> 0 AND k <> 1").select(F.col("k").alias("customer_id")), sort=False, broadcast_max_rows=0),
+            hot.where("k % 4 <> 0 AND k <> 1").select(F.col("k").alias("customer_id")), broadcast_max_bytes=0),
         "key-map left join, hot split": lambda: join_key_map(
             hot, "k", key_map(hot, "k", hot.where("l_linenumber = 1").select(F.col("k").alias("kk"), F.col("l_shipdate").alias("t")),
-                              "kk", {"t": F.max("t")}), "left", broadcast_max_rows=0),
+                              "kk", {"t": F.max("t")}), "left", broadcast_max_bytes=0),
         "lookup enrichment (large lookup)": lambda: enrich_with_reference_data(
             hot, hot.where("l_linenumber = 1").select("k", F.col("l_returnflag").alias("seg")),
-            join_key="k", lookup_key="k", value_col="seg", broadcast_max_rows=0),
+            join_key="k", lookup_key="k", value_col="seg", broadcast_max_bytes=0),
         "SCD2 apply": lambda: apply_scd_type_2(
             hot.where("l_linenumber = 1").groupBy("k").agg(F.max("l_returnflag").alias("status")).select(
                 F.col("k").alias("customer_id"), "status", F.lit("2023-01-01").alias("valid_from"),
