@@ -185,7 +185,7 @@ def _cut(batches):
              pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["id", "kept", "n_bytes", "n_removed", "n_spans", "spans"])
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 400, gram: int = 32, **options) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 400, gram: int = 64, **options) -> DataFrame:
     """Every byte that a ``size``-byte string covers which also starts anywhere else goes, first occurrence included.
 
     ``id_col, kept (binary: the other bytes), n_bytes, n_removed, n_spans, spans`` (maximal removed runs) per row.  Texts are
