@@ -196,14 +196,9 @@ class LayerTables:
 class PipelineConfig:
     """Everything a customer pipeline run needs besides the data."""
 
-    primary_key: tuple = PRIMARY_KEY
-    mandatory_columns: tuple = MANDATORY_COLUMNS
-    allowed_statuses: tuple = ALLOWED_STATUSES
-    allowed_tiers: tuple = CUSTOMER_TIERS
     fills: dict = field(default_factory=lambda: dict(DEFAULT_FILLS))
     thresholds: Thresholds = field(default_factory=Thresholds)
     rules: RuleSet = FRAMEWORK_RULES
-    tables: LayerTables = field(default_factory=LayerTables)
     batch_id: str = "BATCH_001"
     source_system: str = "CRM"
 

@@ -68,12 +68,25 @@ def _present(df: DataFrame, mapping: dict) -> dict:
 
 
 # -- B1 ---------------------------------------------------------------------
-def standardize_customer_columns(df: DataFrame) -> DataFrame:
-    """Id upper(trim); names whitespace-collapsed; e-mail lower(trim); status upper(trim)."""
+def _id(rules: RuleSet) -> Column:
+    return clean_upper("customer_id") if rules.upper_id else F.trim(F.col("customer_id").cast("string"))
+
+
+def _name(column: str, rules: RuleSet) -> Column:
+    return collapse_spaces(column) if rules.collapse_name_spaces else F.trim(F.col(column))
+
+
+def _full_name(rules: RuleSet) -> Column:
+    name = F.trim(F.concat_ws(" ", F.col("first_name"), F.col("last_name")))
+    return F.lower(name) if rules.lower_full_name else name
+
+
+def standardize_customer_columns(df: DataFrame, rules: RuleSet = FRAMEWORK_RULES) -> DataFrame:
+    """Id and names by the rule set (framework: id upper-cased, name whitespace collapsed); e-mail lower(trim); status upper(trim)."""
     return df.withColumns(_present(df, {
-        "customer_id": clean_upper("customer_id"),
-        "first_name": collapse_spaces("first_name"),
-        "last_name": collapse_spaces("last_name"),
+        "customer_id": _id(rules),
+        "first_name": _name("first_name", rules),
+        "last_name": _name("last_name", rules),
         "email": clean_lower("email"),
         "status": clean_upper("status"),
     }))
@@ -122,7 +135,7 @@ def apply_customer_transformations(raw_df: DataFrame, as_of=None, thresholds: Th
                                    rules: RuleSet = FRAMEWORK_RULES) -> DataFrame:
     """Core cleaning and enrichment: 17 column rules in three projection levels."""
     th = thresholds or Thresholds()
-    df = standardize_customer_columns(raw_df)
+    df = standardize_customer_columns(raw_df, rules)
     amount = F.col("amount")
     if rules.null_amount_as_zero:
         clean_amount = F.when(amount.isNull(), F.lit(0.0)).otherwise(abs_money(amount))
@@ -130,7 +143,7 @@ def apply_customer_transformations(raw_df: DataFrame, as_of=None, thresholds: Th
         clean_amount = abs_money(amount)
     status_ok = F.col("status").isin(*ACTIVE_STATUSES)
     df = df.withColumns({
-        "full_name": F.trim(F.concat_ws(" ", F.col("first_name"), F.col("last_name"))),
+        "full_name": _full_name(rules),
         "signup_date": as_date("signup_date"),
         "amount": clean_amount,
         "is_active": flag(status_ok) if rules.null_status_inactive else status_ok,
@@ -150,16 +163,18 @@ def apply_customer_transformations(raw_df: DataFrame, as_of=None, thresholds: Th
 
 
 # -- B6 ---------------------------------------------------------------------
-def add_business_flags(df: DataFrame, as_of=None, thresholds: Thresholds | None = None) -> DataFrame:
-    """has_valid_email, is_recent_signup, is_high_value, needs_review."""
+def add_business_flags(df: DataFrame, as_of=None, thresholds: Thresholds | None = None,
+                       rules: RuleSet = FRAMEWORK_RULES) -> DataFrame:
+    """has_valid_email, is_recent_signup, is_high_value, needs_review (by e-mail and status, or by high risk)."""
     th = thresholds or Thresholds()
     valid = is_valid_email("email")
+    # NULL validity is not a reason for review: (NULL OR false) -> otherwise(false)
+    review = (F.col("risk_flag") == "HIGH") if rules.review_on == "high_risk" else (valid == F.lit(False)) | (F.col("status") == "PENDING")
     return df.withColumns({
         "has_valid_email": valid,
         "is_recent_signup": flag(as_date("signup_date") >= F.date_sub(today(as_of), th.recent_signup_days)),
         "is_high_value": as_double("amount") >= th.high_value_amount,
-        # NULL validity is not a reason for review: (NULL OR false) -> otherwise(false)
-        "needs_review": flag((valid == F.lit(False)) | (F.col("status") == "PENDING")),
+        "needs_review": flag(review),
     })
 
 
@@ -169,12 +184,12 @@ def apply_advanced_customer_transformations(raw_df: DataFrame, as_of=None,
     """Full operational pipeline: B1 -> B2 -> B3 -> B4 -> B5 -> B6."""
     cfg = config or DEFAULT_CONFIG
     return (raw_df
-            .transform(standardize_customer_columns)
+            .transform(standardize_customer_columns, cfg.rules)
             .transform(apply_null_remediation, cfg.fills)
             .transform(add_audit_columns, cfg.batch_id, cfg.source_system, as_of)
             .transform(add_date_dimensions, "signup_date")
             .transform(apply_customer_transformations, as_of, cfg.thresholds, cfg.rules)
-            .transform(add_business_flags, as_of, cfg.thresholds))
+            .transform(add_business_flags, as_of, cfg.thresholds, cfg.rules))
 
 
 # -- B10 --------------------------------------------------------------------
@@ -203,11 +218,11 @@ def create_operational_df(raw_df: DataFrame, as_of=None, thresholds: Thresholds
     doubled backslash never matches a normal address).
     """
     th = thresholds or Thresholds()
-    full_name = F.trim(F.concat_ws(" ", F.col("first_name"), F.col("last_name")))
     status = clean_upper("status")
     amount = abs_money("amount")
     df = raw_df.withColumns({
-        "full_name": F.lower(full_name) if rules.lower_full_name else full_name,
+        "customer_id": _id(rules),
+        "full_name": _full_name(rules),
         "email_domain": email_domain("email", rules.email_domain_mode),
         "has_valid_email": is_valid_email("email"),
         "status": status,

@@ -35,7 +35,8 @@ FROM raw_customer"""
 OPERATIONAL_CTES = cte("raw_customer") + f""", b1 AS ({B1}),
 b2 AS (SELECT customer_id, coalesce(first_name, 'UNKNOWN') AS first_name, coalesce(last_name, 'UNKNOWN') AS last_name,
               coalesce(email, 'unknown@missing.com') AS email, coalesce(status, 'NEW') AS status,
-              signup_date, CASE WHEN amount IS NULL THEN 0.0 ELSE round(abs(amount), 2) END AS amount,
+              TRY_CAST(signup_date AS DATE) AS signup_date,
+              CASE WHEN amount IS NULL THEN 0.0 ELSE round(abs(TRY_CAST(amount AS DOUBLE)), 2) END AS amount,
               updated_at, region FROM b1),
 op AS (
 SELECT customer_id, first_name, last_name, email, status, signup_date, amount, updated_at, region,
@@ -64,10 +65,12 @@ FROM b2)
 """
 
 # loader operational rules (B10 -> B11)
-LOADER_CTES = cte("raw_customer") + f""", b10 AS (
+LOADER_CTES = cte("raw_customer") + rf""", b10 AS (
 SELECT trim(CAST(customer_id AS VARCHAR)) AS customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name,
-       lower(trim(email)) AS email, upper(trim(status)) AS status, signup_date,
-       round(abs(amount), 2) AS amount, CAST(updated_at AS TIMESTAMP) AS updated_at
+       lower(trim(email)) AS email, upper(trim(status)) AS status, TRY_CAST(signup_date AS DATE) AS signup_date,
+       round(abs(TRY_CAST(amount AS DOUBLE)), 2) AS amount, CASE WHEN regexp_matches(updated_at, ':\d{{2}}(Z|[+-]\d{{2}}:\d{{2}})$')
+            THEN make_timestamp(epoch_us(TRY_CAST(updated_at AS TIMESTAMPTZ))) ELSE TRY_CAST(updated_at AS TIMESTAMP) END AS updated_at,
+       upper(trim(region)) AS region, upper(trim(source_system)) AS source_system
 FROM raw_customer),
 lop AS (
 SELECT customer_id, lower(trim(concat_ws(' ', first_name, last_name))) AS full_name, email,
@@ -160,7 +163,7 @@ def _quality_parts() -> list[str]:
                         "(SELECT count(*) FROM (SELECT customer_id FROM raw_customer GROUP BY customer_id HAVING count(*) > 1))"))
     for c, v in (("customer_id", 0), ("first_name", 0), ("last_name", 0), ("email", 0), ("status", 0), ("full_name", 1)):
         parts.append(_check("columns_present", c, str(v)))
-    for c, v in (("customer_id", 0), ("status", 0), ("signup_date", 0), ("amount", 0), ("updated_at", 1), ("region", 0)):
+    for c, v in (("customer_id", 0), ("status", 0), ("signup_date", 0), ("amount", 1), ("updated_at", 1), ("region", 0)):
         parts.append(_check("expected_type", c, str(v)))
     parts.append(_check("allowed_values", "status",
                         "count(*) FILTER (WHERE status NOT IN ('ACTIVE', 'INACTIVE', 'PENDING', 'NEW'))", "op"))
@@ -190,12 +193,13 @@ def _dq_run_report() -> str:
 
 def _synthetic() -> str:
     """The synthetic generator restated in SQL: integer hash per (record, field)."""
-    fields = range(1, 13)
+    fields = range(1, 5)
     seed = 42
-    first = ", ".join(f"h{f}" for f in fields)
-    s0 = ", ".join(f"((c_custkey % 2147483648) * 1103515245 + {f * 12345 + seed}) % 4294967296 AS h{f}" for f in fields)
-    rnd = ", ".join(f"xor(h{f}, h{f} >> 16) * 73244475 % 4294967296 AS h{f}" for f in fields)
-    fin = ", ".join(f"xor(h{f}, h{f} >> 16) AS h{f}" for f in fields)
+    s0 = ", ".join(f"((c_custkey % 2147483648) * 1103515245 + {f * 12345 + seed}) % 4294967296 AS g{f}" for f in fields)
+    rnd = ", ".join(f"xor(g{f}, g{f} >> 16) * 73244475 % 4294967296 AS g{f}" for f in fields)
+    fin = ", ".join(f"xor(g{f}, g{f} >> 16) AS g{f}" for f in fields)
+    drawn = ("g1 AS h1, g1 // 29 AS h2, g1 // 783 AS h5, g2 AS h3, g2 // 29 AS h4, g2 // 783 AS h6, g2 // 3132 AS h11, g2 // 12528 AS h12, "
+             "g3 AS h7, g3 // 2192 AS h9, g3 // 4804864 AS h10, g4 AS h8")
 
     def lst(values):
         return "[" + ", ".join("'" + v + "'" for v in values) + "]"
@@ -214,7 +218,7 @@ def _synthetic() -> str:
     return f"""WITH s0 AS (SELECT c_custkey AS n, {s0} FROM customer),
 s1 AS (SELECT n, {rnd} FROM s0),
 s2 AS (SELECT n, {rnd} FROM s1),
-s3 AS (SELECT n, {fin} FROM s2),
+s3 AS (SELECT n, {drawn} FROM (SELECT n, {fin} FROM s2)),
 s AS (SELECT *, CASE WHEN n % 7 = 0 THEN 'blank_identity' WHEN n % 11 = 0 THEN 'invalid_email'
                      WHEN n % 13 = 0 THEN 'missing_email' WHEN n % 19 = 0 THEN 'invalid_status' ELSE 'normal' END AS scenario
       FROM s3),
@@ -264,10 +268,10 @@ ORACLES = {
     "customer_operational_loader": LOADER_CTES + "SELECT * FROM lop",
     "load_markers": cte("raw_customer") + f"SELECT {RAW_COLS}, '2024-09-25' AS load_date, TRUE AS is_latest_load FROM raw_customer",
     "sales_orders": cte("orders_in") + """, g AS (
-SELECT upper(trim(order_id)) AS order_id, upper(trim(customer_id)) AS customer_id, order_date,
+SELECT upper(trim(order_id)) AS order_id, upper(trim(customer_id)) AS customer_id, TRY_CAST(order_date AS DATE) AS order_date,
        upper(trim(order_status)) AS order_status,
-       CASE WHEN gross_amount IS NULL THEN 0.0 ELSE abs(gross_amount) END AS gross_amount,
-       CASE WHEN discount_amount IS NULL THEN 0.0 ELSE abs(discount_amount) END AS discount_amount
+       CASE WHEN gross_amount IS NULL THEN 0.0 ELSE abs(TRY_CAST(gross_amount AS DOUBLE)) END AS gross_amount,
+       CASE WHEN discount_amount IS NULL THEN 0.0 ELSE abs(TRY_CAST(discount_amount AS DOUBLE)) END AS discount_amount
 FROM orders_in), n AS (SELECT *, round(gross_amount - discount_amount, 2) AS raw_net FROM g)
 SELECT order_id, customer_id, order_date, order_status, gross_amount, discount_amount,
        CASE WHEN raw_net < 0 THEN 0.0 ELSE raw_net END AS net_amount, strftime(order_date, '%Y-%m') AS order_month,
@@ -346,6 +350,13 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 FROM customer WHERE c_acctbal >= 0.0 GROUP BY c_mktsegment""",
     "table_source": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "synthetic_customers": _synthetic(),
+    "medallion_raw": LOADER_CTES + "SELECT * FROM b10",
+    "medallion_operational": LOADER_CTES + "SELECT * FROM lop",
+    "layer_copy_into": LOADER_CTES + "SELECT * FROM b10",
+    "recompute_checks": "\nUNION ALL\n".join([
+        _check("stored_columns_agree", "full_name,status,amount", "0", "(SELECT 1)"),
+        _check("spoiled_columns_agree", "full_name,status,amount",
+               "count(*) FILTER (WHERE c_custkey % 9 = 0 OR c_custkey % 11 = 0 AND c_custkey % 53 <> 0)", "customer")]),
     "medallion_load": LOADER_CTES + curated_sql("lop", "risk_flag = 'HIGH'"),
     "incremental_file_load": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 }

@@ -18,6 +18,7 @@ from strata.config import (
     CUSTOMER_TIERS,
     MANDATORY_COLUMNS,
     PRIMARY_KEY,
+    RAW_CUSTOMER_SCHEMA,
     LayerTables,
 )
 from strata.functions.columns import money_sum
@@ -52,7 +53,7 @@ from strata.plans.job import run_medallion
 from strata.plans.staged import CUSTOMER_AS_OF, _memo, base, staged
 from strata.session import materialize, scratch_path
 from strata.sources.readers import read_csv, read_raw_csv, read_sql, read_table, read_txt
-from strata.sources.sinks import write_table
+from strata.sources.sinks import copy_into, create_layer_table, write_table
 from strata.sources.synth import synthesize_customers
 from strata.streaming.file_load import incremental_file_load
 
@@ -181,7 +182,7 @@ def duplicate_keys(spark, sf):
 
 
 # -- quality -------------------------------------------------------------------
-RAW_EXPECTED_TYPES = {"customer_id": "StringType()", "status": "string", "signup_date": "DateType()",
+RAW_EXPECTED_TYPES = {"customer_id": "StringType()", "status": "string", "signup_date": "StringType()",
                       "amount": "DoubleType()", "updated_at": "TimestampType()", "region": "string"}
 
 
@@ -290,11 +291,63 @@ def synthetic_customers(spark, sf):
     return synthesize_customers(base(spark, sf, "customer").select("c_custkey"), "c_custkey", seed=42)
 
 
-def medallion_load(spark, sf):
+RAW_CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _raw_csv(spark, sf) -> str:
+    """The staged raw customers as CSV text, as a source system delivers them."""
+    path = scratch_path(spark, "raw_csv")
+    _raw(spark, sf).write.option("header", "true").options(**RAW_CSV_OPTIONS).csv(path)
+    return path
+
+
+def _medallion(spark, sf):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in _raw(spark, sf).columns])
+    source = read_csv(spark, _raw_csv(spark, sf), schema=schema, **RAW_CSV_OPTIONS)
     tag = uuid.uuid4().hex[:10]
     tables = LayerTables(raw=f"bronze.raw_customer_data_{tag}", operational=f"silver.operational_customer_data_{tag}",
                          curated=f"gold.curated_customer_metrics_{tag}")
-    return run_medallion(spark, _raw(spark, sf), tables, as_of=CUSTOMER_AS_OF)["curated"]
+    return run_medallion(spark, source, tables, as_of=CUSTOMER_AS_OF)
+
+
+def medallion_load(spark, sf):
+    """A12 from a CSV source; the curated layer as written."""
+    return _medallion(spark, sf)["curated"]
+
+
+def medallion_raw(spark, sf):
+    return _medallion(spark, sf)["raw"]
+
+
+def medallion_operational(spark, sf):
+    return _medallion(spark, sf)["operational"]
+
+
+def layer_copy_into(spark, sf):
+    """A7 and A9 in one: the raw layer's table by DDL, then a CSV file set appended to it."""
+    name, path = f"raw_layer_{uuid.uuid4().hex[:10]}", scratch_path(spark, "raw_layer")
+    landing = scratch_path(spark, "raw_landing")
+    standardize_raw_df(_raw(spark, sf)).write.option("header", "true").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").options(
+        **RAW_CSV_OPTIONS).csv(landing)
+    create_layer_table(spark, name, RAW_CUSTOMER_SCHEMA, fmt="parquet", location=path)
+    copy_into(spark, landing, name, RAW_CUSTOMER_SCHEMA, path=path, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", **RAW_CSV_OPTIONS)
+    return read_table(spark, name)
+
+
+def recompute_checks(spark, sf):
+    """V10: name, status and amount derived again from the source, against the layer and against a spoiled copy of it."""
+    source = staged(spark, sf, "customer_text")
+    layer = apply_advanced_customer_transformations(source, as_of=CUSTOMER_AS_OF)
+    again = source.selectExpr(
+        "upper(trim(customer_id)) AS customer_id", "upper(trim(status)) AS status",
+        "trim(regexp_replace(first_name, '[ ]+', ' ')) || ' ' || coalesce(last_name, 'UNKNOWN') AS full_name",
+        "round(abs(try_cast(amount AS double)), 2) AS amount")
+    number = F.substring("customer_id", 2, 20).cast("long")
+    spoiled = layer.withColumns({"status": F.when(number % 9 == 0, "LOST").otherwise(F.col("status")),
+                                 "amount": F.when(number % 11 == 0, F.col("amount") + 0.01).otherwise(F.col("amount"))})
+    columns = ["full_name", "status", "amount"]
+    return Q.union_checks([check_compare_by_key(again, layer, ["customer_id"], columns, "stored_columns_agree"),
+                           check_compare_by_key(again, spoiled, ["customer_id"], columns, "spoiled_columns_agree")])
 
 
 EVENT_SCHEMA = T.StructType([
@@ -353,5 +406,9 @@ QUERIES = {
     "table_source": table_source,
     "synthetic_customers": synthetic_customers,
     "medallion_load": medallion_load,
+    "medallion_raw": medallion_raw,
+    "medallion_operational": medallion_operational,
+    "layer_copy_into": layer_copy_into,
+    "recompute_checks": recompute_checks,
     "incremental_file_load": incremental_file_load_events,
 }

@@ -25,10 +25,18 @@ SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE '  c' || lpad(CAST(c_custkey %
             ELSE ' User' || CAST(c_custkey AS STRING) || '@Example.COM ' END AS email,
        CASE c_mktsegment WHEN 'BUILDING' THEN ' active ' WHEN 'AUTOMOBILE' THEN 'inactive' WHEN 'MACHINERY' THEN 'Pending' WHEN 'HOUSEHOLD' THEN 'new'
             ELSE CASE WHEN c_custkey % 2 = 0 THEN 'BLOCKED' ELSE NULL END END AS status,
-       CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE make_date(CAST(1995 + c_custkey % 7 AS INT), CAST(1 + c_custkey % 12 AS INT), CAST(1 + c_custkey % 28 AS INT)) END AS signup_date,
-       CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE CASE WHEN c_custkey % 3 = 0 THEN CAST(floor(c_acctbal / 8) AS DOUBLE) + 0.003 ELSE c_acctbal END END AS amount,
-       make_date(CAST(2002 + c_custkey % 3 AS INT), CAST(1 + c_custkey % 12 AS INT), 1) AS updated_at,
+       CASE WHEN c_custkey % 29 = 0 THEN NULL WHEN c_custkey % 43 = 0 THEN 'not-a-date' WHEN c_custkey % 47 = 0 THEN '2024-13-45'
+            ELSE CAST(make_date(CAST(1995 + c_custkey % 7 AS INT), CAST(1 + c_custkey % 12 AS INT), CAST(1 + c_custkey % 28 AS INT)) AS STRING) END AS signup_date,
+       CASE WHEN c_custkey % 31 = 0 THEN NULL WHEN c_custkey % 53 = 0 THEN '12abc' WHEN c_custkey % 59 = 0 THEN 'NaN'
+            ELSE CAST(CASE WHEN c_custkey % 3 = 0 THEN CAST(floor(c_acctbal / 8) AS DOUBLE) + 0.003 ELSE c_acctbal END AS STRING) END AS amount,
+       CASE WHEN c_custkey % 37 = 0 THEN 'yesterday' ELSE CAST(make_date(CAST(2002 + c_custkey % 3 AS INT), CAST(1 + c_custkey % 12 AS INT), 1) AS STRING)
+            || CASE c_custkey % 4 WHEN 1 THEN ' 00:30:00+02:00' WHEN 2 THEN 'T23:30:00Z' WHEN 3 THEN ' 22:15:00-05:30' ELSE ' 10:00:00' END END AS updated_at,
        ' north ' AS region, 'erp' AS source_system
+FROM {customer}""",
+    "customer_text": """
+SELECT ' c' || CAST(c_custkey AS STRING) AS customer_id, ' ' || c_name || '   X ' AS first_name, CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE 'Nation' END AS last_name,
+       CASE WHEN c_custkey % 2 = 0 THEN ' active ' ELSE 'Pending' END AS status, CASE WHEN c_custkey % 53 = 0 THEN '12abc' ELSE CAST(c_acctbal AS STRING) END AS amount,
+       lower(c_name) || '@x.io' AS email, '2001-05-06' AS signup_date
 FROM {customer}""",
     "cdc_current": """
 SELECT CASE WHEN user_id % 5 = 0 THEN -1 - user_id ELSE user_id END AS customer_id,
@@ -58,11 +66,11 @@ SELECT CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END AS custom
     "fact_orders": """
 SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_custkey END AS customer_id, o_orderkey AS order_id, o_totalprice AS amount FROM {orders}""",
     "orders_in": """
-SELECT ' o' || CAST(o_orderkey AS STRING) AS order_id, ' c' || CAST(o_custkey AS STRING) || ' ' AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+SELECT ' o' || CAST(o_orderkey AS STRING) AS order_id, ' c' || CAST(o_custkey AS STRING) || ' ' AS customer_id, CASE WHEN o_orderkey % 43 = 0 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS order_date,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'delivered' WHEN '2-HIGH' THEN ' Shipped' WHEN '3-MEDIUM' THEN 'pending' WHEN '5-LOW' THEN 'PROCESSING'
             ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'RETURNED' ELSE NULL END END AS order_status,
-       CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_orderkey % 900 AS DOUBLE) - 100.25 END AS gross_amount,
-       CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(o_orderkey % 40 AS DOUBLE) * 5 END AS discount_amount
+       CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN 'n/a' ELSE CAST(CAST(o_orderkey % 900 AS DOUBLE) - 100.25 AS STRING) END AS gross_amount,
+       CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(CAST(o_orderkey % 40 AS DOUBLE) * 5 AS STRING) END AS discount_amount
 FROM {orders}""",
     "event_amounts": """
 SELECT user_id AS customer_id,

@@ -32,6 +32,14 @@ _U32 = 4294967296
 _U31 = 2147483648
 
 
+_N_FIRST, _N_LAST, _N_STATUS, _N_REGION, _DAYS = len(SYNTH_FIRST_NAMES), len(SYNTH_LAST_NAMES), 4, len(SYNTH_REGIONS), 2192
+#: Which of the four hashes a field is drawn from, and the divisor that passes over the fields before it.
+_DRAWS = {1: (1, 1), 2: (1, _N_FIRST), 5: (1, _N_FIRST * _N_LAST),
+          3: (2, 1), 4: (2, _N_FIRST), 6: (2, _N_FIRST * _N_LAST), 11: (2, _N_FIRST * _N_LAST * _N_STATUS),
+          12: (2, _N_FIRST * _N_LAST * _N_STATUS * _N_REGION),
+          7: (3, 1), 9: (3, _DAYS), 10: (3, _DAYS * _DAYS), 8: (4, 1)}
+
+
 def mix(n: Column, field: int, seed: int) -> Column:
     """32-bit integer hash of (n, field, seed); all steps stay below 2**63."""
     h = ((n % _U31) * 1103515245 + F.lit(field * 12345 + seed)) % _U32
@@ -66,17 +74,18 @@ def scenario_of(n: Column) -> Column:
 
 def synthesize_customers(df: DataFrame, record_col: str = "id", seed: int = 42) -> DataFrame:
     """Dirty raw customer rows, one per record number in ``record_col``."""
-    # The twelve per-field hashes are computed once, in their own projection;
-    # the field rules below only reference them (small expression trees, each
-    # hash evaluated once per row).
+    # Four hashes per row, computed once in their own projection; each is divided up between the fields
+    # drawn from it (the sizes of the pools before a field are its divisor), which keeps the generated code
+    # within what the JVM compiles.
     base = df.select(F.col(record_col).cast("long").alias("record_no"))
     base = base.select("record_no", scenario_of(F.col("record_no")).alias("scenario"),
-                       *[mix(F.col("record_no"), f, seed).alias(f"_h{f}") for f in range(1, 13)])
+                       *[mix(F.col("record_no"), f, seed).alias(f"_g{f}") for f in range(1, 5)])
     n = F.col("record_no")
     sc = F.col("scenario")
 
     def h(f: int) -> Column:
-        return F.col(f"_h{f}")
+        source, divisor = _DRAWS[f]
+        return F.col(f"_g{source}") if divisor == 1 else F.expr(f"_g{source} div {divisor}")
 
     d2020, d2021, d2025 = _dt.date(2020, 1, 1), _dt.date(2021, 1, 1), _dt.date(2025, 12, 31)
     first = pick(SYNTH_FIRST_NAMES, h(1))

@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.plans.oracles import ORACLES
+from strata.plans.queries import QUERIES
 from strata.plans.staged import BASE_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -38,10 +40,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_plan_and_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
