@@ -218,31 +218,40 @@ class OccurrenceIndex:
     def search(self, q: int, num: int, den: int) -> np.ndarray:
         """Sets still in the index whose Jaccard similarity to set ``q`` is at least ``num / den``."""
         least = int(least_overlap(self.sizes[q], num, den))
-        lists = []
-        for t in self.tokens[q]:
-            found = self.lists[self.starts[t]:self.starts[t + 1]]
-            found = found[self.left[found]]
-            if len(found):
-                lists.append(found)
-        if len(lists) < least:
-            return np.zeros(0, np.int64)
-        lists.sort(key=len)
-        n_long = min(int(least / (self.PROBE * np.log2(len(lists[-1]) + 1) + 1)), least - 1)
-        short, long = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
+        none = np.zeros(0, np.int64)
+        # the query's lists end to end, without the sets already taken out
+        tokens = self.tokens[q]
+        lengths = self.starts[tokens + 1] - self.starts[tokens]
+        number = np.repeat(np.arange(len(tokens)), lengths)
+        member = self.lists[np.arange(len(number)) + np.repeat(self.starts[tokens] - np.cumsum(lengths) + lengths, lengths)]
+        own = self.left[member]
+        number, member = number[own], member[own]
+        lengths = np.bincount(number, minlength=len(tokens))
+        full = np.flatnonzero(lengths)
+        if len(full) < least:
+            return none
+        by_length = full[np.argsort(lengths[full], kind="stable")]
+        n_long = min(int(least / (self.PROBE * np.log2(lengths[by_length[-1]] + 1) + 1)), least - 1)
+        long = np.zeros(len(tokens), bool)
+        long[by_length[len(by_length) - n_long:]] = True
+        probed = long[number]
+        short = np.split(member[~probed], np.cumsum(lengths[full][~long[full]])[:-1])
         held, counts = [], []
         for i, same in groupby(heapq.merge(*(x.tolist() for x in short))):
             n = sum(1 for _ in same)
             if n >= least - n_long:
                 held.append(i)
                 counts.append(n)
+        if not held:
+            return none
         held, counts = np.array(held, np.int64), np.array(counts, np.int64)
-        for i, found in enumerate(long):
-            if not len(held):
-                break
-            at = np.minimum(np.searchsorted(found, held), len(found) - 1)
-            counts += found[at] == held
-            enough = counts + (n_long - i - 1) >= least
-            held, counts = held[enough], counts[enough]
+        # each long list is sorted, and so are all of them with the list's number in front
+        span = len(self.sizes)
+        keys, starts = number[probed] * span + member[probed], np.flatnonzero(long) * span
+        for a in range(0, len(starts), 4096):
+            want = starts[a:a + 4096, None] + held
+            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            counts += (keys[at] == want).sum(0)
         return held[counts * (num + den) >= num * (self.sizes[held] + self.sizes[q])]
 
 
@@ -293,7 +302,7 @@ def _payload(k):
 
 
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100,
-                       bucket_rows: int = 20_000, block_tokens: int = 8_000_000) -> DataFrame:
+                       bucket_rows: int = 20_000, block_tokens: int = 1_000_000) -> DataFrame:
     """``id_col, n_shingles, component_id`` of every row: links are shingle sets of Jaccard similarity ``num / den`` or more.
 
     Words are runs of anything but ASCII space, A-Z lower-cased; shingles are ``k`` words, a shorter text is one shingle.
@@ -333,7 +342,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     edges = usual.mapInArrow(_may_link(num, den), "a long, b long")
     large = members.where(F.col("rows") > bucket_rows).select("token", "f1")
     star = large.join(large.groupBy("token").agg(F.min("f1").alias("b")), "token").select(F.col("f1").alias("a"), "b")
-    families = stored(connected_components(edges.union(star)), "families")
+    families = stored(connected_components(stored(edges.union(star), "may-link")), "families")
 
     chosen = (profiles.select("f1", "doc", "n").join(families, profiles.f1 == families.node)
               .groupBy("f1", "component").agg(F.min("doc").alias("doc"), F.first("n").alias("n")))
