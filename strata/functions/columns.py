@@ -91,7 +91,7 @@ def email_domain(email, mode: str = "second_part") -> Column:
     """
     e = col_of(email)
     if mode == "second_part":
-        return F.when(e.contains("@"), F.get(F.split(e, "@"), 1))
+        return F.get(F.split(e, "@"), 1)
     if mode == "after_first_at":
         return F.regexp_extract(e, "@(.+)$", 1)
     raise ValueError(f"unknown email_domain mode {mode!r}")

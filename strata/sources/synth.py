@@ -42,10 +42,10 @@ _DRAWS = {1: (1, 1), 2: (1, _N_FIRST), 5: (1, _N_FIRST * _N_LAST),
 
 def mix(n: Column, field: int, seed: int) -> Column:
     """32-bit integer hash of (n, field, seed); all steps stay below 2**63."""
-    h = ((n % _U31) * 1103515245 + F.lit(field * 12345 + seed)) % _U32
+    h = ((n % _U31) * 1103515245 + F.lit(field * 12345 + seed)).bitwiseAND(_U32 - 1)
     for _ in range(2):
         h = h.bitwiseXOR(F.shiftright(h, 16))
-        h = (h * 73244475) % _U32
+        h = (h * 73244475).bitwiseAND(_U32 - 1)
     return h.bitwiseXOR(F.shiftright(h, 16))
 
 
@@ -58,18 +58,17 @@ def random_date(h: Column, start: _dt.date, end: _dt.date) -> Column:
     return F.date_add(F.lit(start.isoformat()).cast("date"), (h % span).cast("int"))
 
 
-def uniform_cents(h: Column, low: int, high: int) -> Column:
-    """Uniform amount in [low, high] with 2 decimals."""
-    span = (high - low) * 100 + 1
-    return (F.lit(low * 100) + h % span).cast("double") / F.lit(100.0)
+SCENARIOS = ("blank_identity", "invalid_email", "missing_email", "invalid_status", "normal")
+BLANK, BAD_EMAIL, NO_EMAIL, BAD_STATUS, NORMAL = range(5)
 
 
 def scenario_of(n: Column) -> Column:
-    return (F.when(n % 7 == 0, F.lit("blank_identity"))
-            .when(n % 11 == 0, F.lit("invalid_email"))
-            .when(n % 13 == 0, F.lit("missing_email"))
-            .when(n % 19 == 0, F.lit("invalid_status"))
-            .otherwise(F.lit("normal")))
+    """Number of the scenario in :data:`SCENARIOS`."""
+    return (F.when(n % 7 == 0, F.lit(BLANK))
+            .when(n % 11 == 0, F.lit(BAD_EMAIL))
+            .when(n % 13 == 0, F.lit(NO_EMAIL))
+            .when(n % 19 == 0, F.lit(BAD_STATUS))
+            .otherwise(F.lit(NORMAL)))
 
 
 def synthesize_customers(df: DataFrame, record_col: str = "id", seed: int = 42) -> DataFrame:
@@ -78,61 +77,53 @@ def synthesize_customers(df: DataFrame, record_col: str = "id", seed: int = 42)
     # drawn from it (the sizes of the pools before a field are its divisor), which keeps the generated code
     # within what the JVM compiles.
     base = df.select(F.col(record_col).cast("long").alias("record_no"))
-    base = base.select("record_no", scenario_of(F.col("record_no")).alias("scenario"),
+    base = base.select("record_no", scenario_of(F.col("record_no")).alias("_scenario"),
                        *[mix(F.col("record_no"), f, seed).alias(f"_g{f}") for f in range(1, 5)])
     n = F.col("record_no")
-    sc = F.col("scenario")
+    sc = F.col("_scenario")
 
     def h(f: int) -> Column:
         source, divisor = _DRAWS[f]
         return F.col(f"_g{source}") if divisor == 1 else F.expr(f"_g{source} div {divisor}")
 
     d2020, d2021, d2025 = _dt.date(2020, 1, 1), _dt.date(2021, 1, 1), _dt.date(2025, 12, 31)
-    first = pick(SYNTH_FIRST_NAMES, h(1))
-    last = pick(SYNTH_LAST_NAMES, h(2))
-    domain = pick(SYNTH_DOMAINS, h(5))
 
     def cid(x: Column) -> Column:
         # "C" + number zero-padded to at least 5 digits (same text as "C%05d"
         # for non-negative numbers, without a per-row String.format)
         return F.concat(F.lit("C"), F.when(x < 100000, F.lpad(x.cast("string"), 5, "0")).otherwise(x.cast("string")))
 
-    valid_status = pick(SYNTH_VALID_STATUSES, h(6))
-    invalid_status = pick(SYNTH_INVALID_STATUSES, h(6))
-    signup = F.when(sc == "normal", random_date(h(7), d2021, d2025)).otherwise(
-        random_date(h(7), d2020, d2025))
-    other_day = random_date(h(9), d2020, d2025)
-    offset = h(10)
-    updated_day = (F.when(sc == "blank_identity", F.date_add(other_day, (offset % 365 + 1).cast("int")))
-                   .when(sc == "invalid_email", F.date_add(other_day, (offset % 220 + 1).cast("int")))
-                   .when(sc == "missing_email", F.date_add(other_day, (offset % 300 + 1).cast("int")))
-                   .when(sc == "invalid_status", F.date_add(other_day, (offset % 45 + 1).cast("int")))
-                   .otherwise(F.date_add(signup, (offset % 180 + 1).cast("int"))))
-    h_amt = h(8)
-    amount = (F.when(sc == "blank_identity", uniform_cents(h_amt, -1500, 800))
-              .when(sc == "invalid_email", uniform_cents(h_amt, -500, 3500))
-              .when(sc == "missing_email", uniform_cents(h_amt, -150, 2000))
-              .when(sc == "invalid_status", uniform_cents(h_amt, 0, 9000))
-              .otherwise(uniform_cents(h_amt, -120, 4200)))
-    status = F.when(sc.isin("blank_identity", "invalid_status"), invalid_status).otherwise(valid_status)
-    return base.select(
-        "record_no", "scenario",
-        (F.when(sc == "blank_identity", F.lit(None).cast("string"))
-         .when(sc == "invalid_email", cid(n % 12000 + 1))
-         .when(sc == "invalid_status", cid(n % 8000 + 1))
-         .otherwise(cid(n))).alias("customer_id"),
-        F.when(sc == "blank_identity", F.lit(None).cast("string")).otherwise(first).alias("first_name"),
-        F.when(sc == "blank_identity", F.lit("Guest")).otherwise(last).alias("last_name"),
-        (F.when(sc.isin("blank_identity", "missing_email"), F.lit(None).cast("string"))
-         .when(sc == "invalid_email", F.lit("invalid-email"))
-         .when(sc == "invalid_status",
-               F.concat(F.lower(pick(SYNTH_FIRST_NAMES, h(3))), F.lit("."),
-                        F.lower(pick(SYNTH_LAST_NAMES, h(4))), F.lit("@"), domain))
-         .otherwise(F.concat(F.lower(first), F.lit("."), F.lower(last), F.lit("@"), domain))).alias("email"),
-        F.when(status == "", F.lit(None).cast("string")).otherwise(status).alias("status"),
+    # Draws that several fields use have a projection of their own: an operator of its own is a method of its own.
+    amounts = {BLANK: (-1500, 800), BAD_EMAIL: (-500, 3500), NO_EMAIL: (-150, 2000), BAD_STATUS: (0, 9000), NORMAL: (-120, 4200)}
+    later = {BLANK: 365, BAD_EMAIL: 220, NO_EMAIL: 300, BAD_STATUS: 45, NORMAL: 180}
+
+    def by_scenario(values) -> Column:
+        return F.element_at(F.array(*[F.lit(values[i]) for i in range(len(SCENARIOS))]), sc + 1)
+
+    low, span = by_scenario({i: lo * 100 for i, (lo, _) in amounts.items()}), by_scenario({i: (hi - lo) * 100 + 1 for i, (lo, hi) in amounts.items()})
+    drawn = base.select(
+        "record_no", "_scenario", "_g2",
+        pick(SYNTH_FIRST_NAMES, h(1)).alias("_first"), pick(SYNTH_LAST_NAMES, h(2)).alias("_last"), pick(SYNTH_DOMAINS, h(5)).alias("_domain"),
+        F.when(sc == NORMAL, random_date(h(7), d2021, d2025)).otherwise(random_date(h(7), d2020, d2025)).alias("_signup"),
+        random_date(h(9), d2020, d2025).alias("_day"), (h(10) % by_scenario(later) + 1).cast("int").alias("_later"),
+        ((low + h(8) % span).cast("double") / F.lit(100.0)).alias("_amount"))
+    first, last, domain, signup = F.col("_first"), F.col("_last"), F.col("_domain"), F.col("_signup")
+    no_identity, no_email = sc == BLANK, (sc == BLANK) | (sc == NO_EMAIL)
+    status = F.when((sc == BLANK) | (sc == BAD_STATUS), pick(SYNTH_INVALID_STATUSES, h(6))).otherwise(pick(SYNTH_VALID_STATUSES, h(6)))
+    # the owner of the address: another drawn person where the status is invalid
+    given = F.when(sc == BAD_STATUS, pick(SYNTH_FIRST_NAMES, h(3))).otherwise(first)
+    family = F.when(sc == BAD_STATUS, pick(SYNTH_LAST_NAMES, h(4))).otherwise(last)
+    number = F.when(sc == BAD_EMAIL, n % 12000 + 1).when(sc == BAD_STATUS, n % 8000 + 1).otherwise(n)
+    return drawn.select(
+        "record_no", F.element_at(F.array(*map(F.lit, SCENARIOS)), sc + 1).alias("scenario"),
+        F.when(~no_identity, cid(number)).alias("customer_id"),
+        F.when(~no_identity, first).alias("first_name"),
+        F.when(no_identity, F.lit("Guest")).otherwise(last).alias("last_name"),
+        F.when(sc == BAD_EMAIL, F.lit("invalid-email")).when(~no_email, F.concat(F.lower(F.concat(given, F.lit("."), family)), F.lit("@"), domain)).alias("email"),
+        F.nullif(status, F.lit("")).alias("status"),
         signup.alias("signup_date"),
-        amount.alias("amount"),
-        updated_day.cast("timestamp_ntz").alias("updated_at"),
+        F.col("_amount").alias("amount"),
+        F.date_add(F.when(sc == NORMAL, signup).otherwise(F.col("_day")), F.col("_later")).cast("timestamp_ntz").alias("updated_at"),
         pick(SYNTH_REGIONS, h(11)).alias("region"),
         pick(SYNTH_SOURCE_SYSTEMS, h(12)).alias("source_system"),
     )

@@ -36,3 +36,17 @@ def test_null_group_exact_sums_and_loader_review(spark):
         "customer_id:string", "total_amount:double", "avg_amount:double", "latest_signup_date:date",
         "first_signup_date:date", "total_records:bigint", "active_record_count:bigint",
         "high_value_record_count:bigint", "customer_tier:string", "review_flag:int"]
+
+
+def test_totals_neither_round_nor_fail(spark):
+    from pyspark.sql import functions as F
+
+    from strata.functions.columns import money_avg, money_sum
+    rows = ([("small", "0.004")] * 10 + [("nan", "NaN"), ("nan", "1"), ("inf", "Infinity"), ("inf", "5"), ("both", "Infinity"), ("both", "-Infinity"),
+             ("tiny", "1e-14"), ("tiny", "2e-14"), ("huge", "1e30"), ("huge", "1"), ("tenth", "bad")] + [("tenth", "0.1")] * 10 + [("none", None)])
+    df = spark.createDataFrame(rows, "k string, v string")
+    got = {r.k: (r.s, r.a) for r in df.groupBy("k").agg(money_sum("v").alias("s"), money_avg("v").alias("a")).collect()}
+    assert got["small"] == (0.04, 0.004) and got["tenth"] == (1.0, 0.1) and got["none"] == (None, None)
+    assert got["inf"][0] == float("inf") and str(got["nan"][0]) == str(got["both"][0]) == "nan"
+    assert abs(got["tiny"][0] - 3e-14) < 1e-20 and got["huge"][0] == 1e30
+    assert df.where(F.col("k") == "x").agg(money_sum("v").alias("s")).first().s is None

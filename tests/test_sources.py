@@ -87,3 +87,33 @@ def test_generated_csv_source_reads_back_as_raw_layer(spark):
                            "updated_at", "region", "source_system"]
     assert raw.count() == 200 and dict(raw.dtypes)["amount"] == "double"
     assert raw.where("customer_id IS NULL").count() == len([n for n in range(1, 201) if n % 7 == 0])
+
+
+def test_generated_methods_stay_compilable(spark):
+    """The JVM leaves methods above 8,000 bytes of bytecode interpreted."""
+    from strata.plans.queries import QUERIES
+    from strata.sources.synth import generate_customers
+    for df in (generate_customers(spark, 10), QUERIES["customer_operational"](spark, "/root/testdata/sf0.001")):
+        stages = df._jdf.queryExecution().debug().codegenToSeq()
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.length())) < 8000
+
+
+def test_no_shared_folder_is_an_error(spark, monkeypatch):
+    import pytest
+
+    from strata import session
+
+    class Bare:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"getCheckpointDir": staticmethod(lambda: None), "master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="share"):
+        session.checkpoint_dir(Bare)
+
+
+def test_a_failing_plan_is_not_hidden(spark):
+    import pytest
+
+    from strata.session import materialize
+    with pytest.raises(Exception, match="boom"):
+        materialize(spark.range(1).selectExpr("raise_error('boom') AS x"))
