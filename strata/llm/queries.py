@@ -40,6 +40,21 @@ def op4_jaccard_join(spark, sf_dir):
     return similar_components(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+OP4_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT p.a, p.b FROM pairs p JOIN sizes x ON p.a = x.doc_id JOIN sizes y ON p.b = y.doc_id WHERE 100 * p.c >= 85 * (x.n + y.n - p.c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS start FROM documents UNION SELECT l.b, r.start FROM reach r JOIN both_ways l ON l.a = r.doc_id)
+SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.start) AS component_id
+FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
 def op5_decontaminate(spark, sf_dir):
     from strata.llm.decontaminate import find_contamination
     out = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -100,6 +115,18 @@ def op7_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+OP7_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs WHERE len(w) >= 20)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs)
+SELECT d.doc_id, count(w.i) AS n_words, count(g.i) AS n_removed,
+       sha256(coalesce(string_agg(w.word, ' ' ORDER BY w.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
+FROM docs d LEFT JOIN words w USING (doc_id) LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i GROUP BY d.doc_id"""
+
+
 def op8_license_scan(spark, sf_dir):
     from strata.llm.licenses import scan_licenses
     out = scan_licenses(_table(spark, sf_dir, "documents"))
@@ -138,6 +165,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_jaccard_join": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
+    "op7_substring_dedup": OP7_SQL,
 }
