@@ -80,6 +80,10 @@ def _features(batches):
                 [batch.column(0).slice(chunk.first, chunk.rows), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "x"])
 
 
+#: The estimated prior is an upper bound; this share of it is used.
+UPPER = 0.98
+
+
 class Model(NamedTuple):
     weights: np.ndarray
     bias: float
@@ -90,12 +94,12 @@ class Model(NamedTuple):
 
 
 def _descend(gradient, steps: int, rate: float) -> np.ndarray:
-    """Adam from zero; ``gradient(weights with bias last, step)``."""
-    w, m, v = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
+    """Adam from zero, its rate falling to zero; ``gradient(weights with bias last, step)``."""
+    w, m, v = (np.zeros(FEATURES + 1, np.float32) for _ in range(3))
     for t in range(1, steps + 1):
-        g = gradient(w, t)
+        g = gradient(w, t).astype(np.float32)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w = w - np.float32(rate * (1 - t / steps)) * (m / np.float32(1 - 0.9**t)) / (np.sqrt(v / np.float32(1 - 0.999**t)) + np.float32(1e-8))
     return w
 
 
@@ -117,7 +121,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(u[best] / p[best], 0.05, 0.99))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, steps: int = 400, batch: int = 1024,
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, steps: int = 1000, batch: int = 2048,
         rate: float = 0.03, decay: float = 1e-4, seed: int = 7) -> Model:
     """Non-negative PU risk with the logistic loss; ``prior`` is estimated when not given.
 
@@ -143,8 +147,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
             p, u = draw(known), draw(unlabelled)
             return mean(p, -_sigmoid(-(p @ w[:-1] + w[-1]))) + mean(u, _sigmoid(u @ w[:-1] + w[-1])) + decay * w
 
-        w = _descend(apart, steps // 2, rate)
-        prior = estimate_prior(positive[held] @ w[:-1], unlabelled @ w[:-1])
+        w = _descend(apart, steps // 4, rate)
+        prior = UPPER * estimate_prior(positive[held] @ w[:-1], unlabelled @ w[:-1])
 
     def risk(w, _):
         p, u = draw(positive), draw(unlabelled)
