@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.bits import bit_filter, has_bit
 from strata.llm.graph import connected_components
 from strata.llm.text import NON_SPACE, U, Chunk, between, bounds, chunks, grams, mix, rolling, ship, words
 from strata.session import stored
@@ -32,7 +33,8 @@ from strata.session import stored
 SLOTS, FREQUENT = 128, 1 << 18
 #: Tokens counted at once in a task; a token is reported as frequent from so many documents among them.
 COUNT_AT_ONCE, REPORT_FROM = 1 << 20, 4
-FILTER_BITS = 24
+#: Widths of the bit filters of bucket tokens and of tokens that several sets share.
+FILTER_BITS, COMMON_BITS = 24, 26
 
 
 def shingle_sets(chunk: Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +91,12 @@ def least_overlap(n, num: int, den: int):
     return -(-num * n // den)
 
 
-def _profiles(k, num, den, tokens, ranks):
-    """Size, fingerprint, prefix and count signature of every row's set."""
+def _profiles(k, num, den, tokens, ranks, common=None):
+    """Size, fingerprint, prefix and count signature of every row's set.
+
+    Prefixes take tokens in the order of (rank, hash): the frequent ones by their count at the end, before them those
+    of the bit filter ``common``, first all others.
+    """
     def run(batches):
         for batch in batches:
             for chunk in chunks(batch.column(1)):
@@ -101,6 +107,8 @@ def _profiles(k, num, den, tokens, ranks):
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
                     rank = np.where(tokens[at] == h, ranks[at], 0)
+                if common is not None:
+                    rank = np.maximum(rank, has_bit(common, mix(h), COMMON_BITS))
                 counts = np.bincount(row * SLOTS + (h & U(SLOTS - 1)).astype(np.int64), minlength=chunk.rows * SLOTS).reshape(-1, SLOTS)
                 signature = np.minimum(counts, 255).astype(np.uint8)
                 ordered = h[np.lexsort((h, rank, row))]
@@ -132,8 +140,7 @@ def _prefix_tokens(keep):
                     seen.add((f1[i], f2[i]))
                     own = mix(np.frombuffer(prefixes[i].as_py(), U))   # prefixes hold the least hashes; buckets want even ones
                     if keep is not None:
-                        slot = (own >> U(64 - FILTER_BITS)).astype(np.int64)
-                        own = own[(keep[slot >> 3] >> (slot & 7)) & 1 == 1]
+                        own = own[has_bit(keep, own, FILTER_BITS)]
                     tokens.append(own)
                     owner.append(np.full(len(own), i))
                 if not owner:
@@ -323,19 +330,25 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tokens, ranks = tokens[order], ranks[order]
 
     pair = f"struct<id:{kind.simpleString()},doc:{kind.simpleString()}>"
+    columns = "n long, f1 long, f2 long, prefix binary, signature binary"
+
+    def shared_tokens(sets: DataFrame) -> DataFrame:
+        return (sets.where("n > 0").select("n", "f1", "f2", "prefix", "signature").mapInArrow(_prefix_tokens(None), "token long, f1 long, f2 long")
+                .groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("f1").alias("low"), F.max("f1").alias("high"),
+                                      F.sum(F.expr("f2 & 4294967295")).alias("s1"), F.sum(F.expr("shiftrightunsigned(f2, 32)")).alias("s2"))
+                .where("low <> high"))
+
+    # Words that meet by chance make shared tokens too, more than in proportion to the input.  A first round of prefixes
+    # finds shared tokens; the second puts them behind the others, which leaves the buckets to sets that share much.
+    rough = docs.select(F.struct("id", "doc").alias("doc"), "text").mapInArrow(_profiles(k, num, den, tokens, ranks), f"doc {pair}, {columns}")
+    common = bit_filter(shared_tokens(rough), "token", COMMON_BITS)
     profiles = stored(docs.select(F.struct("id", "doc").alias("doc"), "text").mapInArrow(
-        _profiles(k, num, den, tokens, ranks), f"doc {pair}, n long, f1 long, f2 long, prefix binary, signature binary").select("doc.*", "n", "f1", "f2", "prefix", "signature"),
-        "profiles")
+        _profiles(k, num, den, tokens, ranks, common), f"doc {pair}, {columns}").select("doc.*", "n", "f1", "f2", "prefix", "signature"), "profiles")
     sets = profiles.where("n > 0").select("n", "f1", "f2", "prefix", "signature")
-    shared = (sets.mapInArrow(_prefix_tokens(None), "token long, f1 long, f2 long").groupBy("token")
-              .agg(F.count(F.lit(1)).alias("n"), F.min("f1").alias("low"), F.max("f1").alias("high"),
-                   F.sum(F.expr("f2 & 4294967295")).alias("s1"), F.sum(F.expr("shiftrightunsigned(f2, 32)")).alias("s2")).where("low <> high"))
+    shared = shared_tokens(profiles)
     # tokens that the same sets hold give the same bucket; one of them is enough
     buckets = stored(shared.groupBy("n", "low", "high", "s1", "s2").agg(F.min("token").alias("token")).select("token", "n"), "buckets")
-    slot = F.shiftrightunsigned("token", 64 - FILTER_BITS)
-    bits = buckets.groupBy(F.shiftright(slot, 3).alias("at")).agg(F.expr("bit_or(shiftleft(1, cast(shiftrightunsigned(token, %d) & 7 AS int)))" % (64 - FILTER_BITS)).alias("byte")).toArrow()
-    keep = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    keep[bits.column(0).to_numpy()] = bits.column(1).to_numpy()
+    keep = bit_filter(buckets, "token", FILTER_BITS)
     members = sets.mapInArrow(_prefix_tokens(keep), "token long, f1 long, f2 long, n long, signature binary").join(
         buckets.select("token", F.col("n").alias("rows")), "token")
     usual = members.where(F.col("rows") <= bucket_rows).select("token", "f1", "f2", "n", "signature").repartition("token").sortWithinPartitions("token")
@@ -365,7 +378,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     own = profiles.select("id", F.col("n").alias("n_shingles"), "f1", "f2").join(groups.withColumnRenamed("node", "f1"), "f1", "left").withColumn(
         "label", F.coalesce("component", "f1"))
     own = stored(own.select("id", "n_shingles", "label"), "labels")
-    least = own.where("n_shingles > 0").groupBy("label").agg(F.min("id").alias("component_id"))
+    least = stored(own.where("n_shingles > 0").groupBy("label").agg(F.min("id").alias("component_id")), "least-ids")
     return own.join(least, "label", "left").select(
         F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
