@@ -1,12 +1,14 @@
 """License scan: exact set-similarity join of text blocks with license notices.
 
-A block is a line.  Template tokens are ordered by their corpus frequency,
-rarest first.  A block that holds a template's share ``t`` of distinct tokens
-must hold one of the rarest ``|T| - ceil(t |T|) + 1`` (prefix filter), have at
-least ``ceil(t |T|)`` words (length filter), and have enough template tokens
-from the first shared one on (positional filter); what is left is counted
-exactly.  The templates are a short parameter list, so the vocabulary and its
-frequencies have a fixed size; the texts are never shuffled.
+A block is a window of words of about a template's length that starts at any of
+the template's words; line ends do not count.  Template tokens are ordered by
+their corpus frequency, rarest first.  A block that holds a template's share
+``t`` of distinct tokens must have one of the rarest ``|T| - ceil(t |T|) + 1``
+near (prefix filter), lie in a text of at least ``ceil(t |T|)`` words (length
+filter), and have enough template words from its first one on (positional
+filter); what is left is counted exactly.  The templates are a short parameter
+list, so the vocabulary and its frequencies have a fixed size; the texts are
+never shuffled.
 """
 
 from __future__ import annotations
@@ -48,12 +50,6 @@ def _locate(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(vocabulary[at] == hashes, at, -1)
 
 
-def _blocks(chunk: Chunk, start: np.ndarray) -> np.ndarray:
-    """Number of the block (line of a row) that each word starts in, within the chunk."""
-    breaks = np.flatnonzero(chunk.data == 10)
-    return np.searchsorted(breaks, start, side="left") + np.searchsorted(chunk.offsets[1:], start, side="right")
-
-
 def _count(vocabulary):
     def run(batches):
         total = np.zeros(len(vocabulary), np.int64)
@@ -63,30 +59,70 @@ def _count(vocabulary):
                 at = _locate(vocabulary, w.hash)
                 hit = at >= 0
                 if hit.any():
-                    pairs = np.unique(_blocks(chunk, w.start[hit]) * len(vocabulary) + at[hit])
+                    pairs = np.unique(w.row[hit] * len(vocabulary) + at[hit])
                     total += np.bincount(pairs % len(vocabulary), minlength=len(vocabulary))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(vocabulary))), pa.array(total)], ["token", "n"])
     return run
 
 
 class Template:
-    """A notice as distinct tokens from the rarest on, with its filters' lengths."""
+    """A notice as distinct tokens from the rarest on, with its filters' lengths and the words that its blocks may span."""
 
-    def __init__(self, label: str, tokens: np.ndarray, share: float):
-        self.label, self.tokens = label, tokens
+    def __init__(self, label: str, tokens: np.ndarray, share: float, length: int):
+        self.label, self.tokens, self.length = label, tokens, length
         self.need = int(np.ceil(share * len(tokens) - 1e-9))
         self.prefix = len(tokens) - self.need + 1
+        self.window = int(np.ceil(length / share - 1e-9))
 
 
 def prepare(df: DataFrame, text_col: str, templates, share: float) -> tuple[np.ndarray, list[Template]]:
-    """Vocabulary of the templates, and their tokens in order of the blocks of ``df`` that hold them."""
-    sets = [(label, np.unique(tokens_of(text))) for label, text in templates]
-    vocabulary = np.unique(np.concatenate([s for _, s in sets]))
+    """Vocabulary of the templates, and their tokens in order of the rows of ``df`` that hold them."""
+    spelled = [(label, tokens_of(text)) for label, text in templates]
+    vocabulary = np.unique(np.concatenate([s for _, s in spelled]))
     counts = np.zeros(len(vocabulary), np.int64)
     rows = df.select(F.col(text_col).alias("text")).mapInArrow(_count(vocabulary), "token long, n long").groupBy("token").agg(F.sum("n")).collect()
     for token, n in rows:
         counts[token] = n
-    return vocabulary, [Template(label, (at := np.searchsorted(vocabulary, s))[np.lexsort((at, counts[at]))], share) for label, s in sets]
+
+    def template(label, spell):
+        at = np.searchsorted(vocabulary, np.unique(spell))
+        return Template(label, at[np.lexsort((at, counts[at]))], share, len(spell))
+    return vocabulary, [template(*s) for s in spelled]
+
+
+def _windows(spot: np.ndarray, position: np.ndarray, t: Template) -> list[tuple[int, int, int]]:
+    """(first, last, distinct tokens) of the windows that reach the threshold, the best of those that overlap.
+
+    ``spot`` has the places of a template's words (rows lie at least a window apart), ``position`` their tokens.
+    """
+    n = np.arange(len(spot))
+    end = np.searchsorted(spot, spot + t.window, side="left")
+    if not (end - n >= t.need).any():
+        return []
+    order = np.lexsort((n, position))
+    same = position[order][1:] == position[order][:-1]
+    before = np.full(len(spot), -1)                    # where the same token was last
+    before[order[1:][same]] = order[:-1][same]
+    # a word is new to the windows that start after its token was last, and not too far before it
+    new = np.maximum(np.searchsorted(spot, spot - t.window, side="right"), before + 1)
+    count = np.cumsum(np.bincount(new, minlength=len(spot))) - n
+    good = np.flatnonzero((end - n >= t.need) & (count >= t.need))
+    member = good[:, None] + np.arange(min(t.window, len(spot)))
+    fresh = (member < end[good][:, None]) & (before[np.minimum(member, len(spot) - 1)] < good[:, None])
+    last = np.where(fresh, member, -1).max(1, initial=-1)
+    taken, out = np.zeros(len(spot), bool), []
+    for k in np.lexsort((good, spot[last] - spot[good], -count[good])):
+        a, b = int(good[k]), int(last[k])
+        if taken[a:b + 1].any():
+            continue
+        # words that the template repeats, next to the block
+        while spot[b] - spot[a] + 1 < t.length and a > 0 and spot[a - 1] == spot[a] - 1 and not taken[a - 1]:
+            a -= 1
+        while spot[b] - spot[a] + 1 < t.length and b + 1 < len(spot) and spot[b + 1] == spot[b] + 1 and not taken[b + 1]:
+            b += 1
+        taken[a:b + 1] = True
+        out.append((a, b, int(count[good[k]])))
+    return sorted(out)
 
 
 def find_blocks(chunk: Chunk, vocabulary: np.ndarray, templates: list[Template]) -> list[tuple]:
@@ -96,29 +132,23 @@ def find_blocks(chunk: Chunk, vocabulary: np.ndarray, templates: list[Template])
     hit = np.flatnonzero(at >= 0)
     if not len(hit):
         return []
-    all_blocks = _blocks(chunk, w.start)
-    size = np.bincount(all_blocks)
-    held = at[hit]
-    pairs = np.unique(all_blocks[hit] * len(vocabulary) + held)
-    block, token = pairs // len(vocabulary), pairs % len(vocabulary)
+    size = np.bincount(w.row, minlength=chunk.rows)
+    breaks = np.flatnonzero(chunk.data == 10)
     out = []
     for number, t in enumerate(templates):
         place = np.full(len(vocabulary), -1)
         place[t.tokens] = np.arange(len(t.tokens))
-        own = place[token] >= 0
-        owner, position = block[own], place[token][own]
-        order = np.lexsort((position, owner))
-        owner, position = owner[order], position[order]
-        blocks, first, count = np.unique(owner, return_index=True, return_counts=True)
-        lead = position[first]
-        candidate = (lead < t.prefix) & (size[blocks] >= t.need) & (len(t.tokens) - lead >= t.need)
-        for b, n in zip(blocks[candidate & (count >= t.need)], count[candidate & (count >= t.need)]):
-            lo, hi = np.searchsorted(all_blocks, [b, b + 1])
-            row = int(w.row[lo])
+        where = hit[(place[at[hit]] >= 0) & (size[w.row[hit]] >= t.need)]
+        position, spot = place[at[where]], where + w.row[where] * t.window
+        rare = spot[position < t.prefix]
+        near = np.searchsorted(rare, spot - t.window, side="right") < np.searchsorted(rare, spot + t.window, side="left")
+        where, position, spot = where[near], position[near], spot[near]
+        for first, last, n in _windows(spot, position, t):
+            first, last = where[first], where[last]
+            row = int(w.row[first])
             offset = int(np.searchsorted(w.row, row))
-            mine = lo + np.flatnonzero((at[lo:hi] >= 0) & (place[at[lo:hi]] >= 0))
-            line = int((chunk.data[chunk.offsets[row]:w.start[lo]] == 10).sum())
-            out.append((row, line, number, int(n) / len(t.tokens), int(mine[0]) - offset, int(mine[-1]) - offset))
+            line = int(np.searchsorted(breaks, w.start[first]) - np.searchsorted(breaks, chunk.offsets[row]))
+            out.append((row, line, number, n / len(t.tokens), int(first) - offset, int(last) - offset))
     return out
 
 
@@ -160,12 +190,13 @@ def _scan(vocabulary, templates, phrases):
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES,
                   share: float = 0.8) -> DataFrame:
-    """Places of ``phrases`` and the lines that hold at least ``share`` of a template's distinct words.
+    """Places of ``phrases`` and the blocks that hold at least ``share`` of a template's distinct words.
 
-    ``id_col, n_words, n_base, first_word, last_word, base_labels, labels (arrays), score, blocks``: ``blocks`` lists every
-    line that reaches the threshold (line, template, label, containment, first and last word); ``labels`` are the phrases'
-    and the blocks'; ``score`` is 1 with a phrase, else the largest containment, else 0.  Words are numbered from 0 in the
-    text.  A null or empty text has no words, null places and empty lists; rows that repeat are scanned alike.
+    ``id_col, n_words, n_base, first_word, last_word, base_labels, labels (arrays), score, blocks``: a block spans at
+    most ``1 / share`` times the template's words, over any line ends.  ``blocks`` lists those that reach the threshold, of
+    overlapping ones the best (line and place of the first word, template, label, containment, last word); ``labels`` are the
+    phrases' and the blocks'; ``score`` is 1 with a phrase, else the largest containment, else 0.  Words and lines are
+    numbered from 0 in the text.  A null or empty text has no words, null places and empty lists; rows that repeat are scanned alike.
     """
     ship(df.sparkSession)
     vocabulary, prepared = prepare(df, text_col, templates, share)

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -171,6 +172,46 @@ def test_license_scan(spark, rows):
     assert licenses.scan_licenses(brute.frame(spark, [])).collect() == []
 
 
+def wrapped(text, columns):
+    return "\n".join(" * " + x for x in textwrap.wrap(text, columns))
+
+
+@pytest.mark.parametrize("columns", [20, 33, 48, 64, 72, 80])
+def test_wrapped_notices(spark, columns):
+    """Every notice is found over line ends, wherever it is wrapped, with the place of its first word."""
+    own = [(n, "Some text before.\n" + wrapped(text, columns) + "\nand words after it") for n, (_, text) in enumerate(licenses.TEMPLATES)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(brute.frame(spark, own)).collect()}
+    for n, (label, text) in enumerate(licenses.TEMPLATES):
+        own_block = [b for b in got[n].blocks if b.template == n]
+        assert [(b.line, b.label, b.containment, b.first_word, b.last_word) for b in own_block] == [(1, label, 1.0, 3, 2 + len(brute.alnum(text)))], n
+        assert label in got[n].labels and got[n].score == 1.0
+
+
+def test_license_blocks_equal_every_window(spark):
+    """The best window against counting every window of every text, with words left out, added and repeated."""
+    rnd, own = random.Random(5), []
+    for d in range(150):
+        parts = []
+        for _ in range(rnd.randint(1, 3)):
+            w = [x for x in brute.alnum(rnd.choice(licenses.TEMPLATES)[1]) if rnd.random() > rnd.choice([0, 0.1, 0.2])]
+            parts += [brute.sentence(rnd, rnd.randint(0, 9)), rnd.choice([" ", "\n"]).join(w + rnd.choices(w or ["a"], k=rnd.randint(0, 2)))]
+        own.append((d, rnd.choice([" ", "\n"]).join(parts)))
+    got = {r.doc_id: r for r in licenses.scan_licenses(brute.frame(spark, own)).collect()}
+    for d, t in own:
+        w = brute.alnum(t)
+        want = {}
+        for number, (_, notice) in enumerate(licenses.TEMPLATES):
+            whole = brute.alnum(notice)
+            size = -(-len(whole) * 10 // 8)
+            best = max(len(set(whole) & set(w[i:i + size])) for i in range(len(w) + 1)) / len(set(whole))
+            if best >= 0.8:
+                want[number] = best
+        found = {}
+        for b in got[d].blocks:
+            found[b.template] = max(found.get(b.template, 0), b.containment)
+        assert found == pytest.approx(want), d
+
+
 def test_quality_rules(spark, rows):
     own = rows + [(501, "# a | b\n# a | b\n\n# a | b " + "w " * 30)]
     df = brute.frame(spark, own)
