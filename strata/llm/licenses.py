@@ -6,9 +6,9 @@ their corpus frequency, rarest first.  A block that holds a template's share
 ``t`` of distinct tokens must have one of the rarest ``|T| - ceil(t |T|) + 1``
 near (prefix filter), lie in a text of at least ``ceil(t |T|)`` words (length
 filter), and have enough template words from its first one on (positional
-filter); what is left is counted exactly.  The templates are a short parameter
-list, so the vocabulary and its frequencies have a fixed size; the texts are
-never shuffled.
+filter); what is left is counted exactly, and must hold the words that name the
+license.  The templates are a short parameter list, so the vocabulary and its
+frequencies have a fixed size; the texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -37,6 +37,10 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+#: Words that tell a license from others: a block must hold those of its template's words that are among them.
+NAMES = ("mit", "associated", "files", "apache", "file", "gnu", "general", "public", "redistribution", "source", "binary",
+         "cc", "creative", "commons", "mozilla")
+
 
 def tokens_of(text: str) -> np.ndarray:
     """Hashes of the words of ``text`` in order."""
@@ -66,16 +70,19 @@ def _count(vocabulary):
 
 
 class Template:
-    """A notice as distinct tokens from the rarest on, with its filters' lengths and the words that its blocks may span."""
+    """A notice as distinct tokens from the rarest on, with its filters' lengths and the words that its blocks may span.
+
+    ``named`` has the places among ``tokens`` of those that every block must hold.
+    """
 
-    def __init__(self, label: str, tokens: np.ndarray, share: float, length: int):
-        self.label, self.tokens, self.length = label, tokens, length
+    def __init__(self, label: str, tokens: np.ndarray, share: float, length: int, named: np.ndarray):
+        self.label, self.tokens, self.length, self.named = label, tokens, length, named
         self.need = int(np.ceil(share * len(tokens) - 1e-9))
         self.prefix = len(tokens) - self.need + 1
         self.window = int(np.ceil(length / share - 1e-9))
 
 
-def prepare(df: DataFrame, text_col: str, templates, share: float) -> tuple[np.ndarray, list[Template]]:
+def prepare(df: DataFrame, text_col: str, templates, share: float, names=NAMES) -> tuple[np.ndarray, list[Template]]:
     """Vocabulary of the templates, and their tokens in order of the rows of ``df`` that hold them."""
     spelled = [(label, tokens_of(text)) for label, text in templates]
     vocabulary = np.unique(np.concatenate([s for _, s in spelled]))
@@ -84,9 +91,12 @@ def prepare(df: DataFrame, text_col: str, templates, share: float) -> tuple[np.n
     for token, n in rows:
         counts[token] = n
 
+    naming = _locate(vocabulary, tokens_of(" ".join(names)))
+
     def template(label, spell):
         at = np.searchsorted(vocabulary, np.unique(spell))
-        return Template(label, at[np.lexsort((at, counts[at]))], share, len(spell))
+        at = at[np.lexsort((at, counts[at]))]
+        return Template(label, at, share, len(spell), np.flatnonzero(np.isin(at, naming)))
     return vocabulary, [template(*s) for s in spelled]
 
 
@@ -106,7 +116,11 @@ def _windows(spot: np.ndarray, position: np.ndarray, t: Template) -> list[tuple[
     # a word is new to the windows that start after its token was last, and not too far before it
     new = np.maximum(np.searchsorted(spot, spot - t.window, side="right"), before + 1)
     count = np.cumsum(np.bincount(new, minlength=len(spot))) - n
-    good = np.flatnonzero((end - n >= t.need) & (count >= t.need))
+    fits = (end - n >= t.need) & (count >= t.need)
+    for name in t.named:
+        at = np.append(np.flatnonzero(position == name), len(spot))
+        fits &= at[np.searchsorted(at, n)] < end
+    good = np.flatnonzero(fits)
     member = good[:, None] + np.arange(min(t.window, len(spot)))
     fresh = (member < end[good][:, None]) & (before[np.minimum(member, len(spot) - 1)] < good[:, None])
     last = np.where(fresh, member, -1).max(1, initial=-1)
@@ -189,8 +203,8 @@ def _scan(vocabulary, templates, phrases):
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES,
-                  share: float = 0.8) -> DataFrame:
-    """Places of ``phrases`` and the blocks that hold at least ``share`` of a template's distinct words.
+                  share: float = 0.8, names=NAMES) -> DataFrame:
+    """Places of ``phrases`` and the blocks that hold at least ``share`` of a template's distinct words, its ``names`` among them.
 
     ``id_col, n_words, n_base, first_word, last_word, base_labels, labels (arrays), score, blocks``: a block spans at
     most ``1 / share`` times the template's words, over any line ends.  ``blocks`` lists those that reach the threshold, of
@@ -199,7 +213,7 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     numbered from 0 in the text.  A null or empty text has no words, null places and empty lists; rows that repeat are scanned alike.
     """
     ship(df.sparkSession)
-    vocabulary, prepared = prepare(df, text_col, templates, share)
+    vocabulary, prepared = prepare(df, text_col, templates, share, names)
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _scan(vocabulary, prepared, phrases),
