@@ -263,6 +263,47 @@ def test_fertility_measures():
     assert f.measure(b"the the the the")[2] == pytest.approx(0)
 
 
+RUSSIAN = "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства. "
+ENGLISH = ("All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one "
+           "another in a spirit of brotherhood. Everyone is entitled to all the rights and freedoms set forth in this Declaration, without "
+           "distinction of any kind, such as race, colour, sex, language, religion, political or other opinion. ")
+
+
+def test_bands_reject_what_is_no_text(spark):
+    """Base64, random letters and texts in a wrong script go under every language, whatever their entropy; prose stays."""
+    rnd, path = random.Random(8), P.path("piece_bpe_32k.model")
+    f = rules.Fertility(path)
+    encoded = base64.encodebytes(rnd.randbytes(3000)).decode()
+    letters = " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 9))) for _ in range(400))
+    cyrillic = " ".join("".join(rnd.choices("абвгдежзиклмнопрстуфхцчшщэюя", k=rnd.randint(2, 9))) for _ in range(400))
+    signs = " ".join(chr(rnd.randint(0x13000, 0x1342E)) * 2 for _ in range(200))
+    assert all(f.measure(x.encode())[2] > 6.5 for x in (encoded, letters))
+    own = [(i, text, lang) for i, (text, lang) in enumerate(
+        (text, lang) for lang in ("en", "de", "fr", "es") for text in (encoded, letters, cyrillic, RUSSIAN * 5, signs))]
+    own += [(100, encoded, None), (101, letters, None), (200, ENGLISH, "en"), (201, RUSSIAN * 2, "ru"), (202, RUSSIAN * 2, None)]
+    got = {r.doc_id: r.in_band for r in rules.judge_texts(spark.createDataFrame(own, "doc_id long, text string, lang string"), path).collect()}
+    assert got == {i: i >= 200 for i, _, _ in own}
+
+
+def test_fertility_alone_decides_by_language():
+    """Each measure has its own bounds for each language; entropy is kept out of the way."""
+    good = {"en": 2.3, "de": 2.35, "fr": 2.3, "es": 2.25}
+    for lang, least in good.items():
+        band = rules.band_of(lang, b"text")
+        assert rules.inside(band, least, 0.0, 9.0, 2000) and rules.inside(band, 4.5, 0.0, 9.0, 2000)
+        assert not rules.inside(band, least - 0.2, 0.0, 9.0, 2000) and not rules.inside(band, 6.0, 0.0, 9.0, 2000)
+        assert not rules.inside(band, least, 0.04, 9.0, 2000)
+    assert len({rules.BANDS[x][3] for x in good}) == 4 and rules.band_of("en", RUSSIAN.encode()) is None
+
+
+def test_good_rows_stay_in_their_bands(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    judged = rules.judge_texts(docs, P.path("piece_bpe_32k.model")).join(labels, "doc_id").select("quality", "in_band", quality.held_out().alias("out")).toPandas()
+    good = judged[judged.quality == 1]
+    assert good.in_band.all() and good.out.sum() > 40
+    assert (~judged[judged.quality == 0].in_band).mean() > 0.7
+
+
 def test_quality_classifier(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = quality.train(docs, labels)
