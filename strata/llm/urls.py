@@ -20,22 +20,50 @@ from strata.llm.text import LOWER, ship
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
 _GOOD = ("news", "library", "museum", "recipes", "garden", "science", "history", "school", "weather", "music", "travel",
-         "books", "sports", "health", "law", "maps", "art", "physics", "village", "theatre")
-_BAD = ("cheap-pills", "free-bets", "casino-win", "adult-x", "spam-farm", "ads-track", "hot-dating", "win-prize", "poker-bonus",
-        "loan-fast", "replica-watch", "xxx-cams", "crypto-double", "click-ads", "free-porn", "pills-online", "bet-casino",
-        "track-ads", "adult-cams", "spam-links")
+         "books", "sports", "health", "law", "maps", "art", "physics", "village", "theatre", "therapy", "nation", "thunder", "ration",
+         "open-source", "self-help", "high-school", "city-library", "fair-trade", "first-aid", "north-sea", "book-club", "e-learning",
+         "wind-power", "dairy-farm", "food-and-drink", "south-east", "human-being", "bed-linen", "home-made", "how-to", "re-use", "town-hall")
+#: Ordinary words, so that a plain unknown host is no spam.
+_PLAIN = """water mountain river forest bridge station market kitchen window table paper letter number story family mother father brother sister
+child teacher student doctor engineer farmer sailor driver painter singer writer reader morning evening summer winter autumn spring
+north south east west street avenue corner square castle tower church temple palace island ocean harbour beach desert valley hill
+stone metal wood glass leather cotton silk wool bread butter cheese coffee sugar salt pepper apple orange lemon cherry tomato potato
+horse cattle sheep rabbit tiger lion eagle falcon robin salmon whale dolphin turtle spider planet comet galaxy rocket satellite
+machine motor wheel railway airport bicycle theory method research journal archive edition lecture university college institute
+government council ministry parliament election justice treaty union nation region county district wikipedia britannica github python
+apache mozilla debian ubuntu linux stackoverflow bbc guardian times tribune herald gazette reuters thinking other weather there whether
+nothing something anything action section station motion potion lotion fiction relation rotation then when while which where the and
+standard thousand handle candle sandal bandage kindergarten bundle under thunder wonder winner dinner inner""".split()
+_BAD = ("pills-online", "buy-pills", "discount-viagra", "viagra-online", "bet-casino", "casino-bonus", "casino-royal", "live-bets", "bets-now",
+        "win-prize", "win-big", "poker-bonus", "online-poker", "slots-jackpot", "mega-slots", "slots88", "adult-cams", "adult-video", "porn-tube", "freeporn",
+        "xxx-tube", "hot-xxx", "live-cams", "hot-dating", "spam-links", "spam-mail", "link-farm", "track-ads", "ads-server", "click-ads", "pop-track",
+        "loan-fast", "payday-loan", "cheap-meds", "cheap-watches", "replica-watch", "crypto-double", "free-crypto", "free-spins", "phish-bank", "secure-phish",
+        "verify-login", "login-alert", "free-prizes", "viagra4u", "best-viagra", "cialis-shop", "slots-online", "slots4u", "xxx-porn", "adult-films",
+        "spam-host", "spam-list", "content-farm", "casino-slots", "win-cash")
 _PATHS = ("/", "/en/12", "/fr/34.html", "/de/56/", "/es/78?page=2&ref=x")
+_GOOD_PATHS = ("/recipes/apple-pie", "/history/roman-art", "/articles/how-to-plant-a-tree", "/about-us/contact", "/science/well-known-facts", "/books/list.html",
+               "/help/sign-in", "/travel/north-sea", "/opening-hours", "/sports/results/77", "/school/maths/9", "/music/live-concert",
+               "/wiki/Physics", "/news/local/story-41", "/world/asia/report-9", "/questions/12/sorting-a-list")
+_BAD_PATHS = ("/porn/xxx-videos", "/freeporn/tube", "/xxx/live-cams/5", "/casino/bonus-spins", "/casino/poker", "/bets/live-bets/7", "/pills/buy-pills", "/buy/viagra",
+              "/slots/jackpot", "/win-prize/click", "/adult/dating", "/ads/track-ads", "/spam/links", "/cheap-meds", "/payday-loan", "/phish/verify-login",
+              "/free-spins", "/replica-watch/3")
 
 
 def labelled_urls() -> list[tuple[str, int]]:
-    """The default labelled table: (url, 1 for block) of plain and of spam hosts, the same paths for both."""
+    """The default labelled table: (url, 1 for block); a spam host or a spam path makes a url spam.
+
+    The spam hosts of the given tables are not in it, so that they measure the recall on unseen names.
+    """
     out = []
-    for bad, names in enumerate((_GOOD, _BAD)):
+    for bad, names in enumerate(([*_GOOD, *_PLAIN], _BAD)):
         for i, name in enumerate(names):
-            sub = ("", "www.", "blog.", "m.")[i % 4]
-            top = ("com", "org", "net")[i % 3]
-            out += [(f"https://{sub}{name}.example.{top}{path}", bad) for path in _PATHS]
-            out.append((f"http://{name}.{top}/", bad))
+            host = ("", "www.", "blog.", "m.")[i % 4] + name + ".example." + ("com", "org", "net")[i % 3]
+            known = bad or i < len(_GOOD)
+            out += [(f"https://{host}{path}", bad) for path in (_PATHS if known else _PATHS[i % 5:][:2])]
+            out.append((f"http://{name}.{('com', 'org', 'net')[i % 3]}/", bad))
+            out.append((f"https://{host}{_GOOD_PATHS[i % len(_GOOD_PATHS)]}", bad))
+            spam = 3 if bad else 1 if known or i % 2 else 0
+            out += [(f"https://{host}{_BAD_PATHS[(i + 7 * k) % len(_BAD_PATHS)]}", 1) for k in range(spam)]
     return out
 
 

@@ -172,6 +172,22 @@ def test_license_scan(spark, rows):
     assert licenses.scan_licenses(brute.frame(spark, [])).collect() == []
 
 
+def test_url_model_on_held_out_names():
+    """Spam names that are not labelled, spam in the path of a plain host, and plain hyphenated hosts."""
+    pages, unseen = "/root/testdata/sf0.01/pages.parquet", ("ads-track", "free-bets", "cheap-pills", "spam-farm", "casino-win", "adult-x")
+    assert not any(name in url for url, _ in urls.labelled_urls() for name in unseen)
+    model = urls.train()
+    spam = ("thther.example.org/free-porn/xxx-cams/123", "garden.example.org/casino/free-bets/cheap-pills", "viagra-shop.example.com/",
+            "slots777.example.com/", "phish-login.example.com/")
+    plain = ("well-being.example.org/", "blue-sky.example.com/fr/2.html", "old-town.example.net/de/5", "co-op.example.org/en/1")
+    assert [u for u in spam if model.score(*urls._parse("https://" + u)) < 0.5] == []
+    assert [u for u in plain if model.score(*urls._parse("https://" + u)) >= 0.5] == []
+    seen = [urls._parse(u) for (u,) in duckdb.sql(f"SELECT url FROM '{pages}' WHERE url LIKE '%://%'").fetchall()]
+    caught = [model.score(h, p) >= 0.5 for h, p in seen if any(name in h for name in unseen)]
+    wrong = [model.score(h, p) >= 0.5 for h, p in seen if not any(name in h for name in unseen)]
+    assert np.mean(caught) >= 0.9 and np.mean(wrong) <= 0.01 and len(caught) > 15
+
+
 def wrapped(text, columns):
     return "\n".join(" * " + x for x in textwrap.wrap(text, columns))
 
