@@ -30,7 +30,8 @@ def quality(spark, docs, sf_dir):
 
 def lines(spark, docs, sf_dir):
     """Lines that three or more documents share stay in one of them; ``n_chars`` follows the text."""
-    out = drop_shared_lines(docs).drop("n_lines", "n_dropped")
+    out = drop_shared_lines(docs)                  # the two counts at the end go, whatever the columns of docs are called
+    out = out.toDF(*map(str, range(len(out.columns)))).select(*map(str, range(len(docs.columns)))).toDF(*docs.columns)
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
 
 

@@ -377,5 +377,14 @@ def test_pipeline_is_its_stages(spark):
     assert {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.run(spark, SF).collect()} == want
 
 
+def test_line_stage_keeps_columns_named_as_the_counts(spark):
+    import corpus_pipeline
+    line = "a line that three documents share"
+    docs = spark.createDataFrame([(i, f"own {i}\n{line}", 0, 7 + i, "x") for i in range(3)], "doc_id long, text string, n_chars long, n_lines long, n_dropped string")
+    out = corpus_pipeline.lines(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [(0, "own 0", 5, 7, "x"), (1, "own 1", 5, 8, "x"), (2, f"own 2\n{line}", 6 + len(line), 9, "x")]
+
+
 def test_held_out_in_spark(spark):
     assert spark.range(3).select(F.col("id").alias("doc_id")).where(quality.held_out()).count() == sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(3))
