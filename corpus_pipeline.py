@@ -42,7 +42,7 @@ def near_duplicates(spark, docs, sf_dir):
 
 def benchmark(spark, docs, sf_dir):
     """Documents that hold too much of the benchmark go."""
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), unnamed=True)
 
 
 def tokens(spark, docs, sf_dir):

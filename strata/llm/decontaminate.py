@@ -26,12 +26,13 @@ def _starts(words: Column, length: int) -> Column:
     return F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length)).otherwise(F.array().cast("array<int>"))
 
 
-def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", n: int = 13) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", n: int = 13,
+                      unnamed: bool = False) -> DataFrame:
     """``window (array<string>), length, items (array<string>)``: every window of ``n`` words, or the one of a shorter item.
 
-    Items without words (null or empty texts) have no window, items without an id are left out.
+    Items without words (null or empty texts) have no window.  Items without an id are left out, or (``unnamed``) have windows too and are in no list of items.
     """
-    items = (benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("words"))
+    items = (benchmark.where(F.lit(unnamed) | F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("words"))
              .withColumn("length", F.least(F.size("words"), F.lit(n))).where("length > 0"))
     at = items.select("item", "words", "length", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))).alias("at"))
     return (at.select("item", "length", F.slice("words", F.col("at") + 1, F.col("length")).alias("window"))
@@ -67,15 +68,16 @@ def _candidates(docs: DataFrame, windows: DataFrame, lengths: list[int], small:
 
 
 def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                       item_text_col: str = "text", n: int = 13, share: int = 20, max_windows: int = 100_000) -> DataFrame:
+                       item_text_col: str = "text", n: int = 13, share: int = 20, max_windows: int = 100_000,
+                       unnamed: bool = False) -> DataFrame:
     """``id_col, n_words, hit_words (sorted positions), n_hit, items (sorted as strings), contaminated`` per row of ``df``.
 
     A word is hit when any occurrence of a benchmark window covers it; a row is contaminated when it has a hit word
     and ``share`` times its hit words reach its words.  A null text has no words; rows that repeat are judged alike,
-    each on its own; without benchmark rows nothing is hit.  Up to ``max_windows`` distinct windows (about 100 bytes
+    each on its own; without benchmark rows nothing is hit.  ``unnamed`` items, without an id, hit but are not listed.  Up to ``max_windows`` distinct windows (about 100 bytes
     each) travel as a hash set and a broadcast; more are joined by shuffle, with the same result.
     """
-    windows = benchmark_windows(benchmark, item_col, item_text_col, n)
+    windows = benchmark_windows(benchmark, item_col, item_text_col, n, unnamed)
     lengths = {r["length"]: r["count"] for r in windows.groupBy("length").count().collect()}
     small = sum(lengths.values()) <= max_windows
     docs = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))

@@ -57,7 +57,7 @@ FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.doc_id = d.doc_id
 
 def op5_decontaminate(spark, sf_dir):
     from strata.llm.decontaminate import find_contamination
-    out = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    out = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), unnamed=True)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 

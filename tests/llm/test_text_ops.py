@@ -115,6 +115,21 @@ def test_decontaminate_keeps_the_rest(spark, rows):
     assert decontaminate(brute.frame(spark, []), items).collect() == []
 
 
+@pytest.mark.parametrize("most", [100_000, 2])
+def test_items_without_an_id_hit_in_query_and_pipeline(spark, tmp_path, most):
+    import corpus_pipeline
+    from strata.llm.queries import op5_decontaminate
+    items = spark.createDataFrame([(None, "alpha beta gamma"), (7, "delta epsilon")], "item_id long, text string")
+    docs = brute.frame(spark, [(1, "x alpha beta gamma"), (2, "delta epsilon y"), (3, "alpha beta")])
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = find_contamination(docs, items, max_windows=most, unnamed=True).collect()
+    assert sorted((r.doc_id, r.n_hit, r["items"], r.contaminated) for r in got) == [(1, 3, [], True), (2, 2, ["7"], True), (3, 0, [], False)]
+    assert sorted((r.doc_id, r.n_hit, r.n_items, r.contaminated) for r in op5_decontaminate(spark, str(tmp_path)).collect()) == [
+        (1, 3, 0, True), (2, 2, 1, True), (3, 0, 0, False)]
+    assert [r.doc_id for r in corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 def test_decontamination_has_no_python(spark):
     from strata.llm.queries import op5_decontaminate
     plan = op5_decontaminate(spark, SF)._jdf.queryExecution().executedPlan().toString()
