@@ -151,6 +151,53 @@ def op10_quality_classifier(spark, sf_dir):
         "doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    from strata.llm.spelling import group_spellings
+    return group_spellings(_table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark, sf_dir):
+    from strata.llm.langid import held_out, predict_language, sample_languages
+    docs = _table(spark, sf_dir, "documents")
+    out = predict_language(docs, sample_languages(docs))
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op13_prefix_trie(spark, sf_dir):
+    from strata.llm.prefix_trie import conversation_trie
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role)) || ':' || role || text)) AS seq
+  FROM turns GROUP BY conv_id),
+borrow AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS lender, xor(list_reduce(
+           list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT)),
+           lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(c, b)),
+           4294967295), 4294967295) % 9 AS h
+  FROM own),
+built AS (
+  SELECT o.conv_id, list_concat(list_slice(coalesce(l.seq, []), 1, b.h), list_slice(o.seq, b.h + 1, len(o.seq))) AS seq
+  FROM own o JOIN borrow b USING (conv_id) LEFT JOIN own l ON l.conv_id = b.lender),
+prefixes AS (
+  SELECT conv_id, d, list_slice(seq, 1, d) AS p, d = len(seq) AS is_end FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT d, p, min(conv_id) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends
+  FROM prefixes GROUP BY d, p),
+children AS (SELECT d - 1 AS d, list_slice(p, 1, d - 1) AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+below AS (
+  SELECT a.d, a.p, count(*) FILTER (WHERE c.n IS NULL) AS leaves, sum(CASE WHEN b.d > 0 THEN (b.n - 1) * octet_length(encode(b.p[b.d].text)) ELSE 0 END) AS saved
+  FROM nodes a JOIN nodes b ON b.d >= a.d AND list_slice(b.p, 1, a.d) = a.p LEFT JOIN children c ON c.d = b.d AND c.p = b.p GROUP BY a.d, a.p)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.n, 0) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN below s ON s.d = n.d AND s.p = n.p LEFT JOIN children c ON c.d = n.d AND c.p = n.p
+LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = list_slice(n.p, 1, n.d - 1)"""
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -162,6 +209,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_language_id": op12_language_id,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
@@ -169,4 +219,5 @@ ORACLES = {
     "op5_decontaminate": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
