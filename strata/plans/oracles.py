@@ -191,6 +191,42 @@ def _dq_run_report() -> str:
                 for b in ("B1", "B2")))
 
 
+#: Rules of the checked layers as (check, column, violation).
+RAW_RULES = (("not_null", "customer_id", "customer_id IS NULL"),
+             ("parse_failures", "signup_date", "signup_date IS NOT NULL AND TRY_CAST(signup_date AS DATE) IS NULL"),
+             ("parse_failures", "amount", "amount IS NOT NULL AND TRY_CAST(amount AS DOUBLE) IS NULL"))
+OPERATIONAL_RULES = (("allowed_values", "status", "coalesce(status, '') NOT IN ('ACTIVE', 'INACTIVE', 'PENDING', 'NEW')"),
+                     ("valid_email", "email", "NOT coalesce(has_valid_email, FALSE)"),
+                     ("active_status_is_active", "is_active", "coalesce(status IN ('ACTIVE', 'PENDING', 'NEW') AND NOT is_active, FALSE)"),
+                     ("allowed_values", "customer_tier", "coalesce(customer_tier, '') NOT IN ('BRONZE', 'SILVER', 'GOLD')"))
+CURATED_RULES = (("not_null", "customer_id", "customer_id IS NULL"),
+                 ("allowed_values", "customer_tier", "coalesce(customer_tier, '') NOT IN ('BRONZE', 'SILVER', 'GOLD')"),
+                 ("active_within_total", "active_record_count", "active_record_count > total_records"),
+                 ("total_is_a_number", "total_amount", "coalesce(isnan(total_amount), FALSE)"))
+
+
+def _breaks(rules) -> str:
+    return " OR ".join(f"({violation})" for _, _, violation in rules)
+
+
+#: Loader rules over the source rows that break no raw rule; the good operational rows; their curation.
+CHECKED_CTES = (LOADER_CTES.replace("b10 AS (", f"source_good AS (SELECT * FROM raw_customer WHERE NOT ({_breaks(RAW_RULES)})),\nb10 AS (", 1)
+                .replace("AS updated_at,\n       upper(trim(region)) AS region, upper(trim(source_system)) AS source_system\nFROM raw_customer)",
+                         "AS updated_at,\n       upper(trim(region)) AS region, upper(trim(source_system)) AS source_system\nFROM source_good)")
+                + f", good AS (SELECT * FROM lop WHERE NOT ({_breaks(OPERATIONAL_RULES)})),\nsums AS ({curated_sql('good', 'risk_flag = ' + chr(39) + 'HIGH' + chr(39))})\n")
+
+
+def _checked_report() -> str:
+    def report(layer, source, rules, expected=None):
+        checks = [("not_empty", None, "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END")]
+        if expected:
+            checks.append(("record_count", None, f"abs(count(*) - (SELECT count(*) FROM {expected}))"))
+        checks += [(name, column, f"count(*) FILTER (WHERE {violation})") for name, column, violation in rules]
+        return [f"SELECT '{layer}' AS layer, * FROM ({_check(name, column, n, source)})" for name, column, n in checks]
+    return CHECKED_CTES + "\nUNION ALL\n".join(report("raw", "raw_customer", RAW_RULES) + report("operational", "lop", OPERATIONAL_RULES, "b10")
+                                              + report("curated", "sums", CURATED_RULES))
+
+
 def _synthetic() -> str:
     """The synthetic generator restated in SQL: integer hash per (record, field)."""
     fields = range(1, 5)
@@ -352,6 +388,11 @@ FROM customer WHERE c_acctbal >= 0.0 GROUP BY c_mktsegment""",
     "synthetic_customers": _synthetic(),
     "medallion_raw": LOADER_CTES + "SELECT * FROM b10",
     "medallion_operational": LOADER_CTES + "SELECT * FROM lop",
+    "medallion_checked": CHECKED_CTES + f"SELECT * FROM sums WHERE NOT ({_breaks(CURATED_RULES)})",
+    "medallion_checked_quarantine": CHECKED_CTES + "SELECT *, concat_ws(',', " + ", ".join(
+        f"CASE WHEN {violation} THEN '{name}({column})' END" for name, column, violation in OPERATIONAL_RULES)
+        + f") AS failed_rules FROM lop WHERE {_breaks(OPERATIONAL_RULES)}",
+    "medallion_checked_report": _checked_report(),
     "layer_copy_into": LOADER_CTES + "SELECT * FROM b10",
     "recompute_checks": "\nUNION ALL\n".join([
         _check("stored_columns_agree", "full_name,status,amount", "0", "(SELECT 1)"),

@@ -49,7 +49,7 @@ from strata.operators.reconcile import (
     reconcile_fact_dimension,
 )
 from strata.operators.scd import apply_scd_type_2
-from strata.plans.job import run_medallion
+from strata.plans.job import checked_report, run_checked_medallion, run_medallion
 from strata.plans.staged import CUSTOMER_AS_OF, _memo, base, staged
 from strata.session import materialize, scratch_path
 from strata.sources.readers import read_csv, read_raw_csv, read_sql, read_table, read_txt
@@ -323,6 +323,29 @@ def medallion_operational(spark, sf):
     return _medallion(spark, sf)["operational"]
 
 
+def _checked_medallion(spark, sf):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in _raw(spark, sf).columns])
+    source = read_csv(spark, _raw_csv(spark, sf), schema=schema, **RAW_CSV_OPTIONS)
+    tag = uuid.uuid4().hex[:10]
+    tables = LayerTables(raw=f"bronze.raw_checked_{tag}", operational=f"silver.operational_checked_{tag}", curated=f"gold.curated_checked_{tag}")
+    return run_checked_medallion(spark, source, tables, as_of=CUSTOMER_AS_OF)
+
+
+def medallion_checked(spark, sf):
+    """A12 with every layer checked on the way in: the curated layer, built from the good rows alone."""
+    return _checked_medallion(spark, sf)["curated"].good
+
+
+def medallion_checked_quarantine(spark, sf):
+    """The operational layer's quarantined rows with the rules that each breaks."""
+    found = _checked_medallion(spark, sf)["operational"].quarantined
+    return found.withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
+def medallion_checked_report(spark, sf):
+    return checked_report(_checked_medallion(spark, sf))
+
+
 def layer_copy_into(spark, sf):
     """A7 and A9 in one: the raw layer's table by DDL, then a CSV file set appended to it."""
     name, path = f"raw_layer_{uuid.uuid4().hex[:10]}", scratch_path(spark, "raw_layer")
@@ -408,6 +431,9 @@ QUERIES = {
     "medallion_load": medallion_load,
     "medallion_raw": medallion_raw,
     "medallion_operational": medallion_operational,
+    "medallion_checked": medallion_checked,
+    "medallion_checked_quarantine": medallion_checked_quarantine,
+    "medallion_checked_report": medallion_checked_report,
     "layer_copy_into": layer_copy_into,
     "recompute_checks": recompute_checks,
     "incremental_file_load": incremental_file_load_events,
