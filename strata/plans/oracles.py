@@ -130,6 +130,40 @@ scd_full AS (SELECT * FROM scd_current UNION ALL
 """
 
 
+#: All observations of the touched keys folded at once, whatever the batches' order.
+LATE_CTES = cte("dim_customer", "scd_incoming", "scd_late") + """,
+batch AS (SELECT * FROM scd_incoming UNION ALL SELECT * FROM scd_late),
+touched AS (SELECT DISTINCT customer_id AS k FROM batch),
+own AS (SELECT d.* FROM dim_customer d JOIN touched t ON d.customer_id IS NOT DISTINCT FROM t.k),
+seen AS (
+SELECT customer_id AS k, valid_from AS ts, TRUE AS is_open, status AS val FROM own
+UNION ALL SELECT customer_id, valid_to, FALSE, NULL FROM own WHERE valid_to IS NOT NULL
+UNION ALL SELECT customer_id, updated_at, TRUE, status FROM batch),
+states AS (SELECT k, ts, bool_or(is_open) AS is_open, max(val) FILTER (WHERE is_open) AS val FROM seen GROUP BY k, ts),
+steps AS (SELECT *, lag(is_open) OVER w AS was_open, lag(val) OVER w AS was FROM states WINDOW w AS (PARTITION BY k ORDER BY ts NULLS FIRST)),
+changes AS (
+SELECT k, ts, is_open, val, lead(ts) OVER w AS until, lead(is_open) OVER w IS NULL AS is_last,
+       sum(CASE WHEN is_open THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY ts NULLS FIRST ROWS UNBOUNDED PRECEDING) AS nth
+FROM steps WHERE (was_open IS NULL AND is_open) OR (was_open IS NOT NULL AND (is_open IS DISTINCT FROM was_open OR val IS DISTINCT FROM was))
+WINDOW w AS (PARTITION BY k ORDER BY ts NULLS FIRST)),
+firsts AS (SELECT customer_id AS k, min(coalesce(version_no, 1)) AS base FROM own GROUP BY customer_id),
+late_history AS (
+SELECT d.* FROM dim_customer d WHERE NOT EXISTS (SELECT 1 FROM touched t WHERE t.k IS NOT DISTINCT FROM d.customer_id)
+UNION ALL
+SELECT c.k, c.val, c.ts, c.until, c.is_last, CAST(coalesce(f.base, 1) + c.nth - 1 AS INTEGER)
+FROM changes c LEFT JOIN firsts f ON c.k IS NOT DISTINCT FROM f.k WHERE c.is_open)
+"""
+
+
+def _interval_checks(dimension: str, source: str) -> list[str]:
+    seen = (f"(SELECT *, max(coalesce(valid_to, DATE '9999-12-31')) OVER (PARTITION BY customer_id ORDER BY valid_from NULLS FIRST, valid_to NULLS LAST "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM {source})")
+    over = "count(*) FILTER (WHERE reached IS NOT NULL AND (valid_from IS NULL OR reached > valid_from))"
+    parts = [_check("intervals_do_not_overlap", "valid_from", over, seen),
+             _check("intervals_leave_no_gap", "valid_from", "count(*) FILTER (WHERE reached < valid_from)", seen)]
+    return [f"SELECT '{dimension}' AS dimension, * FROM ({p})" for p in parts]
+
+
 def _check(name: str, column: str | None, violations: str, source: str | None = None) -> str:
     col = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
     frm = f" FROM {source}" if source else ""
@@ -330,6 +364,9 @@ FROM cdc_incoming i LEFT JOIN cur ON i.customer_id = cur.customer_id
 WHERE cur.cts IS NULL OR i.updated_at > cur.cts""",
     "scd2_full": SCD_CTES + "SELECT * FROM scd_full",
     "scd2_current": SCD_CTES + "SELECT * FROM scd_current",
+    "scd2_late_rows": LATE_CTES + "SELECT * FROM late_history",
+    "scd2_interval_checks": LATE_CTES.replace("WITH ", cte("dim_intervals").rstrip() + ",\n", 1) + "\nUNION ALL\n".join(
+        _interval_checks("spoiled", "dim_intervals") + _interval_checks("late_rows", "late_history")),
     "key_reconciliation": cte("fact_orders", "dim_keys") + """
 SELECT 'missing_in_target' AS side, s.customer_id FROM (SELECT DISTINCT customer_id FROM fact_orders) s
 WHERE NOT EXISTS (SELECT 1 FROM dim_keys t WHERE t.customer_id = s.customer_id)

@@ -33,6 +33,7 @@ from strata.operators.customer import (
     standardize_raw_df,
 )
 from strata.operators.enrich import enrich_with_reference_data
+from strata.operators.history import apply_late_rows, check_scd2_intervals
 from strata.operators.incremental import (
     create_cdc_incremental_load,
     create_incremental_load_markers,
@@ -138,6 +139,23 @@ def scd2_current(spark, sf):
     return _scd2(spark, sf, False)
 
 
+def scd2_late_rows(spark, sf):
+    """Batches that arrive out of order, one of them years late: the history is that of all rows in order."""
+    incoming = staged(spark, sf, "scd_incoming")
+    by_month = [incoming.where(F.col("updated_at") == F.lit(day).cast("date")) for day in ("2024-03-01", "2024-01-01", "2024-02-01")]
+    dimension, hidden = staged(spark, sf, "dim_customer"), None
+    for batch in (by_month[0], by_month[1], staged(spark, sf, "scd_late"), by_month[2]):
+        dimension, hidden = apply_late_rows(dimension, batch, hidden)
+    return dimension
+
+
+def scd2_interval_checks(spark, sf):
+    """V15 between neighbours: the intervals of a spoiled dimension, and those of a history with late rows."""
+    spoiled = check_scd2_intervals(staged(spark, sf, "dim_intervals")).select(F.lit("spoiled").alias("dimension"), "*")
+    late = check_scd2_intervals(scd2_late_rows(spark, sf)).select(F.lit("late_rows").alias("dimension"), "*")
+    return spoiled.unionByName(late)
+
+
 def key_reconciliation(spark, sf):
     return key_differences(staged(spark, sf, "fact_orders"), staged(spark, sf, "dim_keys"), ["customer_id"])
 
@@ -410,6 +428,8 @@ QUERIES = {
     "cdc_delta": cdc_delta,
     "scd2_full": scd2_full,
     "scd2_current": scd2_current,
+    "scd2_late_rows": scd2_late_rows,
+    "scd2_interval_checks": scd2_interval_checks,
     "key_reconciliation": key_reconciliation,
     "orphan_facts": orphan_facts,
     "compare_by_key": compare_latest_activity,

@@ -61,6 +61,16 @@ UNION ALL
 SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 6 = 0 THEN 'CHANGED' ELSE c_mktsegment END, DATE '2024-02-01' FROM {customer} WHERE c_custkey % 2 = 0
 UNION ALL
 SELECT c_custkey, 'LATE', DATE '2024-03-01' FROM {customer} WHERE c_custkey % 6 = 0""",
+    "scd_late": """
+SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 14 = 0 THEN NULL ELSE 'EARLY' END AS status, DATE '2022-06-15' AS updated_at FROM {customer} WHERE c_custkey % 7 = 0
+UNION ALL
+SELECT c_custkey, c_mktsegment, DATE '2023-06-01' FROM {customer} WHERE c_custkey % 3 = 1
+UNION ALL
+SELECT c_custkey, 'BETWEEN', DATE '2024-01-20' FROM {customer} WHERE c_custkey % 11 = 0""",
+    "dim_intervals": """
+SELECT CASE WHEN o_custkey % 97 = 0 THEN NULL ELSE o_custkey END AS customer_id, CASE WHEN o_orderkey % 501 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS valid_from,
+       CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 200 AS INT) END AS valid_to
+FROM {orders}""",
     "dim_keys": """
 SELECT CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END AS customer_id FROM {customer}""",
     "fact_orders": """
