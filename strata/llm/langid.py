@@ -97,7 +97,7 @@ def parser(samples: Samples) -> Parser:
         for c, to in states[0].items():
             root[classes[c]] = 2 * (at + to) + 1
         table = np.tile(root, (len(states), 1))
-        for s, steps in enumerate(states):
+        for s, steps in enumerate(states[1:], 1):      # at the start a phrase begins with any byte
             for c, to in steps.items():
                 table[s, classes[c]] = 2 * (at + to)
         tables.append(table)
