@@ -36,8 +36,8 @@ PAD = LONGEST - SHORTEST
 COMMON, GRAM_SHARE = 100, 1 << 15
 #: Words that may meet under one gram before it is refined.
 BUCKET_WORDS = 20_000
-#: Words under one key from which their gram lists are merged; fewer are verified at once.
-MERGE_FROM = 64
+#: Words under one key from which their gram lists are merged.
+MERGE_FROM = 256
 #: Distinct words counted at once in a task.
 COUNT_AT_ONCE = 200_000
 
@@ -277,14 +277,18 @@ def _near(frequent: dict[str, int]):
         if len(words) > MERGE_FROM:
             lists = GramLists(words, [r[2] for r in rows], frequent)
             tried = [(q, i) for q in whole for i in lists.search(q)]
-        else:                                          # verifying costs less than merging lists of a few words
-            half = size // 2                           # one edit leaves the letters before the middle or those behind it
-            heads, tails = [w[:half] for w in words], [w[half - size:] for w in words]
-            shorter = [i for i, w in enumerate(words) if len(w) < size]
-            tried = []
-            for k, q in enumerate(whole):
-                head, tail = heads[q], tails[q]
-                tried += [(q, i) for i in whole[k + 1:] + shorter if heads[i] == head or tails[i] == tail]
+        else:                                          # a few words are told apart by the letters outside the key's edit places
+            tried, tables = [], {}
+            for q in whole:
+                first, last = rows[q][3:]
+                behind = size - last - 1
+                table = tables.get((first, last))
+                if table is None:
+                    table = tables[first, last] = {}
+                    for i, w in enumerate(words):
+                        table.setdefault((w[:first], w[len(w) - behind:]), []).append(i)
+                word = words[q]
+                tried += [(q, i) for i in table[word[:first], word[size - behind:]] if i > q or len(words[i]) < size]
         for q, i in tried:
             word, near = words[q], words[i]
             at = differ_by_one(word, near)
