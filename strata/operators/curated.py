@@ -3,7 +3,8 @@
 One ``groupBy(customer_id).agg(...)``: a partial hash aggregate before the
 shuffle and a final one after it, so even a key that holds a third of all
 rows (the NULL id of dirty sources) reaches the reducers as one partial row
-per map task.  Money is summed exactly in long cents.
+per map task.  Money is summed as decimals (see
+:func:`strata.functions.columns.money_sum`).
 """
 
 from __future__ import annotations

@@ -385,6 +385,7 @@ FROM cdc_current e FULL OUTER JOIN a ON e.customer_id = a.customer_id
 WHERE a.customer_id IS NULL OR e.customer_id IS NULL OR e.updated_at IS DISTINCT FROM a.updated_at""",
     "curated_metrics": cte("event_amounts") + curated_sql("event_amounts", "needs_review"),
     "curated_metrics_loader": LOADER_CTES + curated_sql("lop", "risk_flag = 'HIGH'"),
+    "curated_incremental": cte("event_rows") + curated_sql("event_rows", "needs_review"),
     "dedup_latest": """SELECT event_id, ts, user_id, event_type, value, props FROM (
 SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST,
        event_type DESC NULLS LAST, value DESC NULLS LAST, props DESC NULLS LAST) AS rn FROM events) WHERE rn = 1""",

@@ -23,6 +23,7 @@ from strata.config import (
 )
 from strata.functions.columns import money_sum
 from strata.operators.curated import build_curated_customer_metrics, create_curated_df
+from strata.operators.curated_state import apply_changes, curated_of, read_state
 from strata.operators.customer import (
     add_audit_columns,
     add_date_dimensions,
@@ -186,6 +187,14 @@ def curated_metrics_loader(spark, sf):
     return create_curated_df(customer_operational_loader(spark, sf))
 
 
+def curated_incremental(spark, sf):
+    """The curated layer after two batches, the second with corrections and deletions; the last one is run twice."""
+    root, changes = scratch_path(spark, "curated-state"), staged(spark, sf, "event_changes")
+    for number in (1, 2, 2):
+        apply_changes(changes.where(F.col("batch") == number).drop("batch"), root, number, buckets=16)
+    return curated_of(read_state(spark, root))
+
+
 def dedup_latest(spark, sf):
     return deduplicate_customer_records(base(spark, sf, "events"), ["user_id"], order_by=["ts"])
 
@@ -435,6 +444,7 @@ QUERIES = {
     "compare_by_key": compare_latest_activity,
     "curated_metrics": curated_metrics,
     "curated_metrics_loader": curated_metrics_loader,
+    "curated_incremental": curated_incremental,
     "dedup_latest": dedup_latest,
     "dedup_any_survivor": dedup_any_survivor,
     "duplicate_keys": duplicate_keys,

@@ -88,6 +88,28 @@ SELECT user_id AS customer_id,
             WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount, CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value,
        event_type = 'error' AS needs_review, CASE WHEN value >= 200 THEN 'HIGH' ELSE 'LOW' END AS risk_flag, 'BRONZE' AS customer_tier
 FROM {events}""",
+    "event_changes": """
+SELECT 1 AS batch, 1 AS change, user_id AS customer_id,
+       CASE WHEN user_id % 97 = 0 AND event_id % 3 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount,
+       CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value, event_type = 'error' AS needs_review FROM {events} WHERE event_id % 4 <> 0
+UNION ALL
+SELECT 2, 1, user_id AS customer_id,
+       CASE WHEN user_id % 97 = 0 AND event_id % 3 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount,
+       CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value, event_type = 'error' AS needs_review FROM {events} WHERE event_id % 4 = 0
+UNION ALL
+SELECT 2, -1, user_id AS customer_id,
+       CASE WHEN user_id % 97 = 0 AND event_id % 3 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount,
+       CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value, event_type = 'error' AS needs_review FROM {events} WHERE event_id % 4 <> 0 AND (event_id % 10 = 1 OR user_id % 17 = 0)
+UNION ALL
+SELECT 2, 1, CASE WHEN event_id % 30 = 1 THEN NULL ELSE user_id END AS customer_id, value * 2 AS amount, CAST(ts AS DATE) + CAST(event_id % 9 AS INT) AS signup_date,
+       TRUE AS is_active, value >= 50 AS is_high_value, FALSE AS needs_review FROM {events} WHERE event_id % 4 <> 0 AND event_id % 10 = 1""",
+    "event_rows": """
+SELECT user_id AS customer_id,
+       CASE WHEN user_id % 97 = 0 AND event_id % 3 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount,
+       CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value, event_type = 'error' AS needs_review FROM {events} WHERE event_id % 4 = 0 OR NOT (event_id % 10 = 1 OR user_id % 17 = 0)
+UNION ALL
+SELECT CASE WHEN event_id % 30 = 1 THEN NULL ELSE user_id END AS customer_id, value * 2 AS amount, CAST(ts AS DATE) + CAST(event_id % 9 AS INT) AS signup_date,
+       TRUE AS is_active, value >= 50 AS is_high_value, FALSE AS needs_review FROM {events} WHERE event_id % 4 <> 0 AND event_id % 10 = 1""",
     "nation_lookup": """
 SELECT CASE WHEN n_nationkey % 4 = 0 THEN -1 - n_nationkey ELSE n_nationkey END AS lookup_key, n_name AS customer_segment FROM {nation}""",
     "segment_lookup": """
