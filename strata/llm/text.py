@@ -28,10 +28,13 @@ NON_SPACE = np.array([b not in SPACES for b in range(256)])
 ALNUM = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTES = np.random.RandomState(20240229).randint(1, 2**63 - 1, 256, dtype=np.int64).astype(U) * U(2) + U(1)
-_powers: dict[str, np.ndarray] = {}
+# glibc keeps freed blocks up to the size of the largest one given back so far: arrays of a chunk are then reused, not mapped anew
+np.empty(8 << 20, np.uint8)
+#: Modulus of the polynomials over ranges, and the bases of their lanes: two lanes make a hash, two more a second one.
+PRIME = (1 << 31) - 1
+BASES = ((1_566_083_941, 1_103_515_245), (668_265_263, 1_812_433_253))
+_MOST, _HALF = U(PRIME), U(31)
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 class Chunk(NamedTuple):
@@ -50,12 +53,13 @@ class Chunk(NamedTuple):
 
 
 class Words(NamedTuple):
-    """Words of a chunk in order: byte range, row within the chunk, 64-bit hash of the bytes."""
+    """Words of a chunk in order: byte range, row within the chunk, two 64-bit hashes of the bytes."""
 
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
     hash: np.ndarray
+    more: np.ndarray
 
 
 def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
@@ -73,15 +77,37 @@ def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
         at = to
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the hash base and of its inverse, modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A smaller number with the same remainder modulo :data:`PRIME`, in place."""
+    high = x >> _HALF
+    x &= _MOST
+    x += high
+    return x
+
+
+def _remainder(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo :data:`PRIME`, in place."""
+    x = _fold(_fold(x))
+    return np.subtract(x, _MOST, out=x, where=x >= _MOST)
+
+
+def _steps(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, U)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done:done + more] = _remainder(out[:more] * U(pow(base, done, PRIME)))
+        done += more
+    return out
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of a base and of its inverse, modulo :data:`PRIME`."""
+    if len(_powers.get(base, ((),))[0]) < n:
         size = max(n, 2 * CHUNK_BYTES)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, U(base & (2**64 - 1)))
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
-    return _powers["up"][:n], _powers["down"][:n]
+        _powers[base] = _steps(base, size), _steps(pow(base, -1, PRIME), size)
+    up, down = _powers[base]
+    return up[:n], down[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -91,22 +117,70 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def rolling(values: np.ndarray) -> np.ndarray:
-    """Prefix sums from which :func:`between` reads the hash of any range."""
-    up, _ = powers(len(values))
-    sums = np.empty(len(values) + 1, U)
-    sums[0] = 0
-    np.cumsum(values * up, out=sums[1:])
-    return sums
+class Sums(NamedTuple):
+    """Prefix sums of two polynomials modulo :data:`PRIME` (not reduced) and their bases."""
+
+    lanes: tuple[np.ndarray, np.ndarray]
+    bases: tuple[int, int]
+
 
+def _summed(halves, bases: tuple[int, int]) -> Sums:
+    out = []
+    for base, half in zip(bases, halves):
+        sums = np.zeros(len(half) + 1, U)
+        half *= powers(base, len(half))[0]
+        np.cumsum(_fold(half), out=sums[1:])           # terms below 2**32 add up without overflow for 2**32 of them
+        out.append(sums)
+    return Sums(tuple(out), bases)
 
-def between(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, down = powers(len(sums))
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U))
 
+def rolling(values: np.ndarray, second: bool = False) -> Sums:
+    """Prefix sums from which :func:`between` reads the hash of any range; ``second``: of the other two polynomials."""
+    return _summed((values & _MOST, values >> U(33)), BASES[second])
 
-def byte_sums(data: np.ndarray) -> np.ndarray:
-    return rolling(_BYTES[data])
+
+def _joined(low: np.ndarray, high: np.ndarray, size) -> np.ndarray:
+    low = low << U(32)
+    low |= high
+    low += mix(np.asarray(size, U))
+    return mix(low)
+
+
+def between(sums: Sums, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the values in each range; it depends on them and their order, not on where the range is."""
+    return _joined(*(_remainder(_remainder(lane[end] - lane[start]) * powers(base, len(lane))[1][start]) for lane, base in zip(*sums)), end - start)
+
+
+def sliding(sums: Sums, k: int) -> np.ndarray:
+    """The hash of every ``k`` consecutive values, as :func:`between` gives it."""
+    n = len(sums.lanes[0]) - k
+    if n <= 0:
+        return np.zeros(0, U)
+    return _joined(*(_remainder(_remainder(lane[k:] - lane[:n]) * powers(base, len(lane))[1][:n]) for lane, base in zip(*sums)), [k])
+
+
+def byte_sums(data: np.ndarray, second: bool = False) -> Sums:
+    return _summed((np.add(data, 1, dtype=U) for _ in range(2)), BASES[second])
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each byte range, eight bytes at a time scrambled into a running state: for short ranges."""
+    size = end - start
+    one, two = mix(size.astype(U) + U(0x9E3779B97F4A7C15)), mix(size.astype(U) + U(0xD6E8FEB86659FD93))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    open_, at = np.arange(len(start)), 0
+    while True:
+        open_ = open_[size[open_] > at]
+        if not len(open_):
+            return one, two
+        left = size[open_] - at
+        block = blocks[start[open_] + at]
+        short = left < 8
+        block[short] &= (U(1) << (left[short] * 8).astype(U)) - U(1)
+        one[open_] = mix(one[open_] ^ block)
+        two[open_] = mix((two[open_] + block) * U(0xFF51AFD7ED558CCD))
+        at += 8
 
 
 def words(chunk: Chunk, word: np.ndarray, lower: bool) -> Words:
@@ -115,7 +189,7 @@ def words(chunk: Chunk, word: np.ndarray, lower: bool) -> Words:
     n, offsets = len(data), chunk.offsets
     if not n:
         none = np.zeros(0, np.int64)
-        return Words(none, none, none, np.zeros(0, U))
+        return Words(none, none, none, np.zeros(0, U), np.zeros(0, U))
     inside = word[data]
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
@@ -125,7 +199,7 @@ def words(chunk: Chunk, word: np.ndarray, lower: bool) -> Words:
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
     row = np.searchsorted(offsets, start, side="right") - 1
-    return Words(start, end, row, between(byte_sums(data), start, end))
+    return Words(start, end, row, *range_hashes(data, start, end))
 
 
 def grams(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +208,7 @@ def grams(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, U)
     first = np.flatnonzero(w.row[:n] == w.row[k - 1:])
-    return first, between(rolling(w.hash), first, first + k)
+    return first, sliding(rolling(w.hash), k)[first]
 
 
 def bounds(row: np.ndarray, rows: int) -> np.ndarray:
@@ -145,8 +219,14 @@ def bounds(row: np.ndarray, rows: int) -> np.ndarray:
 _shipped: set[str] = set()
 
 
+#: Rows of the Arrow batches that Python workers get: texts of some kilobytes make batches of some megabytes.
+BATCH_ROWS = 2000
+
+
 def ship(spark) -> None:
-    """Make this package importable on the executors of ``spark`` (once per application)."""
+    """Make this package importable on the executors of ``spark`` (once per application), and its batches of texts small."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -16,6 +16,12 @@ def sentence(rnd, n):
     return " ".join(rnd.choice(_VOCAB) + str(rnd.randint(0, 400)) for _ in range(n))
 
 
+def thue_morse(n, a="a", b="b"):
+    """Two different words of ``n`` letters that polynomial hashes modulo a power of two confuse."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
 def messy(rnd, n=60, passages=4):
     """(doc_id, text) rows: nulls, empties, repeated rows, copies, near copies, shared passages and lines, a long text."""
     shared = [sentence(rnd, 75) for _ in range(passages)]
@@ -38,6 +44,10 @@ def messy(rnd, n=60, passages=4):
         rows.append((i, text))
     rows += [(200, None), (201, ""), (202, " \n\t "), (203, "one"), (204, "one"), (205, "a" * 1500), (206, "ab" * 700), (207, "\n\n\n"),
              (208, "the the " * 90), (209, sentence(rnd, 4000)), (210, "!?"), (211, "One\r\none")]
+    tail = sentence(rnd, 30)
+    for i, n in enumerate((1024, 2048)):
+        one, two = thue_morse(n)
+        rows += [(220 + 4 * i, one), (221 + 4 * i, two), (222 + 4 * i, one + " " + tail), (223 + 4 * i, two + " " + tail)]
     rnd.shuffle(rows)
     return rows
 
