@@ -31,8 +31,8 @@ def _keys(min_chars):
     def run(batches):
         for batch in batches:
             ids, owners, keys = batch.column(0), [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                own = {line_key(x, min_chars) for x in (text or "").encode().split(b"\n")} - {None}
+            for i, text in enumerate(batch.column(1)):
+                own = {line_key(x, min_chars) for x in (text.as_py() or "").encode().split(b"\n")} - {None}
                 keys += own
                 owners += [i] * len(own)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(owners, pa.int32())), pa.array(keys, pa.binary())], ["doc", "key"])
@@ -44,7 +44,8 @@ def _reassemble(min_chars, at):
     def run(batches):
         for batch in batches:
             kept, n_lines, n_dropped = [], [], []
-            for text, drop in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+            for text, drop in zip(batch.column(at), batch.column(batch.num_columns - 1)):
+                text, drop = text.as_py(), drop.as_py()
                 lines = (text or "").encode().split(b"\n")
                 drop = set(drop or ())
                 stay = [x for x in lines if line_key(x, min_chars) not in drop] if drop else lines
@@ -71,17 +72,17 @@ def drop_shared_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = [f"c{i}" for i in range(len(df.columns))]
     plain = df.toDF(*names)
     own, text = (names[df.columns.index(c)] for c in (id_col, text_col))
-    kind = plain.schema[own].dataType
-    docs = plain.withColumn("doc", F.coalesce(F.col(own), F.xxhash64(text).cast(kind))).withColumn("anonymous", F.col(own).isNull())
+    kind = plain.schema[own].dataType.simpleString()
+    # a row without an id is known by its text; its hash has a column of its own, as an id may be of any type
+    docs = plain.withColumns({"doc": F.col(own), "anonymous": F.when(F.col(own).isNull(), F.xxhash64(text))})
     lines = docs.select(F.struct("doc", "anonymous").alias("doc"), F.col(text).alias("text")).mapInArrow(
-        _keys(min_chars), f"doc struct<doc:{kind.simpleString()},anonymous:boolean>, key binary").select("doc.*", "key")
+        _keys(min_chars), f"doc struct<doc:{kind},anonymous:long>, key binary").select("doc.*", "key")
     # written, so that the join below has nothing but exchanges under it and adaptive execution can split its hot keys
-    shared = stored(lines.groupBy("key")
-                    .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("anonymous"), F.col("doc"))).alias("keeper"))
-                    .where(F.col("n") >= min_docs).select("key", "keeper"), "shared-lines")
-    drops = (lines.join(shared, "key").where(F.col("anonymous") | F.col("keeper").isNull() | (F.col("doc") != F.col("keeper")))
-             .groupBy("doc", "anonymous").agg(F.collect_set("key").alias("drop")))
-    joined = docs.join(drops, ["doc", "anonymous"], "left").select(*names, "drop")
+    shared = stored(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= min_docs).select("key", "keeper"),
+                    "shared-lines")
+    drops = (lines.join(shared, "key").where(F.col("doc").isNull() | F.col("keeper").isNull() | (F.col("doc") != F.col("keeper")))
+             .groupBy(F.col("doc").alias("of_doc"), F.col("anonymous").alias("of_anonymous")).agg(F.collect_set("key").alias("drop")))
+    joined = docs.join(drops, docs["doc"].eqNullSafe(drops["of_doc"]) & docs["anonymous"].eqNullSafe(drops["of_anonymous"]), "left").select(*names, "drop")
     schema = T.StructType([*plain.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     return joined.mapInArrow(_reassemble(min_chars, names.index(text)), schema).toDF(*df.columns, "n_lines", "n_dropped")
 
