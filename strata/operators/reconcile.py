@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.keymap import DEFAULT_BROADCAST_BYTES, MAP_ROWS, join_key_map, key_map
@@ -159,3 +159,45 @@ def check_compare_by_key(expected_df: DataFrame, actual_df: DataFrame, key_colum
     n = compare_by_key(expected_df, actual_df, key_columns, cols).agg(F.count(F.lit(1)).alias("n"))
     return _finish(n.select(F.lit(check_name).alias("check_name"), F.lit(",".join(cols)).alias("column_name"),
                             F.col("n").alias("violations")))
+
+
+# -- by checksums -------------------------------------------------------------
+def bucket_fingerprints(df: DataFrame, keys: Iterable[str], columns: Iterable[str], bucket: Column) -> DataFrame:
+    """``_bucket, _rows, _sum, _xor``: per bucket what does not depend on the order of its rows, from one aggregate."""
+    whole = F.xxhash64(*[part for c in (*keys, *columns) for part in (F.col(c).isNull(), F.col(c))])
+    # halves of the hash add up without overflow; the exclusive or tells apart what the sums do not
+    return df.groupBy(bucket.alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(F.shiftrightunsigned(whole, 32)).alias("_high"),
+        F.sum(whole.bitwiseAND(F.lit(0xFFFFFFFF))).alias("_low"), F.bit_xor(F.xxhash64(whole, F.lit(7))).alias("_xor"))
+
+
+def differing_buckets(expected: DataFrame, actual: DataFrame, keys: Iterable[str], columns: Iterable[str], buckets: int = 1024,
+                      bucket_col: str | None = None) -> list[int]:
+    """Buckets of the key whose rows are not the same on both sides; at most ``buckets`` numbers."""
+    keys, columns = list(keys), list(columns)
+    bucket = F.col(bucket_col) if bucket_col else key_bucket(keys, buckets)
+    e, a = (bucket_fingerprints(df, keys, columns, bucket) for df in (expected, actual))
+    names = [c for c in e.columns if c != "_bucket"]
+    both = e.unionByName(a).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_sides"), *[F.min(c).eqNullSafe(F.max(c)).alias(c) for c in names])
+    same = F.col("_sides") == 2
+    for c in names:
+        same = same & F.col(c)
+    return sorted(r["_bucket"] for r in both.where(~same).select("_bucket").collect())
+
+
+def key_bucket(keys: Iterable[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def compare_by_bucket(expected: DataFrame, actual: DataFrame, keys: Iterable[str], columns: Iterable[str], buckets: int = 1024,
+                      bucket_col: str | None = None) -> DataFrame:
+    """:func:`compare_by_key`, row by row only in the buckets whose fingerprints differ.
+
+    Both sides are read once for the fingerprints, which is an aggregate of ``buckets`` rows; equal buckets are not
+    joined.  With ``bucket_col``, a partition column that holds :func:`key_bucket` on both sides, equal buckets are not
+    even read again.  Keys must have one type on both sides; rows that repeat differ from a single one.
+    """
+    keys, columns = list(keys), list(columns)
+    differ = differing_buckets(expected, actual, keys, columns, buckets, bucket_col)
+    bucket = F.col(bucket_col) if bucket_col else key_bucket(keys, buckets)
+    return compare_by_key(expected.where(bucket.isin(differ)).select(*keys, *columns), actual.where(bucket.isin(differ)).select(*keys, *columns), keys, columns)

@@ -383,6 +383,12 @@ SELECT coalesce(e.customer_id, a.customer_id) AS customer_id, e.updated_at AS ex
             ELSE 'value_mismatch' END AS issue
 FROM cdc_current e FULL OUTER JOIN a ON e.customer_id = a.customer_id
 WHERE a.customer_id IS NULL OR e.customer_id IS NULL OR e.updated_at IS DISTINCT FROM a.updated_at""",
+    "bucket_reconciliation": cte("orders_copy") + """
+SELECT coalesce(e.o_orderkey, a.o_orderkey) AS o_orderkey, e.o_totalprice AS expected_o_totalprice, a.o_totalprice AS actual_o_totalprice,
+       e.o_orderstatus AS expected_o_orderstatus, a.o_orderstatus AS actual_o_orderstatus,
+       CASE WHEN a.o_orderkey IS NULL THEN 'missing_in_actual' WHEN e.o_orderkey IS NULL THEN 'missing_in_expected' ELSE 'value_mismatch' END AS issue
+FROM orders e FULL OUTER JOIN orders_copy a ON e.o_orderkey = a.o_orderkey
+WHERE a.o_orderkey IS NULL OR e.o_orderkey IS NULL OR e.o_totalprice IS DISTINCT FROM a.o_totalprice OR e.o_orderstatus IS DISTINCT FROM a.o_orderstatus""",
     "curated_metrics": cte("event_amounts") + curated_sql("event_amounts", "needs_review"),
     "curated_metrics_loader": LOADER_CTES + curated_sql("lop", "risk_flag = 'HIGH'"),
     "curated_incremental": cte("event_rows") + curated_sql("event_rows", "needs_review"),
@@ -437,5 +443,6 @@ FROM customer WHERE c_acctbal >= 0.0 GROUP BY c_mktsegment""",
         _check("spoiled_columns_agree", "full_name,status,amount",
                "count(*) FILTER (WHERE c_custkey % 9 = 0 OR c_custkey % 11 = 0 AND c_custkey % 53 <> 0)", "customer")]),
     "medallion_load": LOADER_CTES + curated_sql("lop", "risk_flag = 'HIGH'"),
+    "copy_into_once": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "incremental_file_load": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 }

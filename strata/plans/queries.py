@@ -46,6 +46,7 @@ from strata.operators.reconcile import (
     check_compare_by_key,
     check_key_reconciliation,
     check_orphans,
+    compare_by_bucket,
     compare_by_key,
     key_differences,
     reconcile_fact_dimension,
@@ -54,6 +55,7 @@ from strata.operators.scd import apply_scd_type_2
 from strata.plans.job import checked_report, run_checked_medallion, run_medallion
 from strata.plans.staged import CUSTOMER_AS_OF, _memo, base, staged
 from strata.session import materialize, scratch_path
+from strata.sources.ledger import copy_into_once, read_loaded
 from strata.sources.readers import read_csv, read_raw_csv, read_sql, read_table, read_txt
 from strata.sources.sinks import copy_into, create_layer_table, write_table
 from strata.sources.synth import synthesize_customers
@@ -174,6 +176,11 @@ def compare_latest_activity(spark, sf):
     return compare_by_key(expected, actual, ["customer_id"], ["updated_at"])
 
 
+def bucket_reconciliation(spark, sf):
+    """A copy of the orders against the orders, row by row only where the buckets' fingerprints differ."""
+    return compare_by_bucket(base(spark, sf, "orders"), staged(spark, sf, "orders_copy"), ["o_orderkey"], ["o_totalprice", "o_orderstatus"])
+
+
 # -- aggregation / dedup -------------------------------------------------------
 def customer_curated(spark, sf):
     return build_curated_customer_metrics(_operational(spark, sf))
@@ -422,6 +429,17 @@ def incremental_file_load_events(spark, sf):
     return spark.read.schema(EVENT_SCHEMA).parquet(target)
 
 
+def copy_into_once_events(spark, sf):
+    """Two drops of files, copied by three runs: each file's rows are there once."""
+    landing, root = scratch_path(spark, "landing-once"), scratch_path(spark, "events-once")
+    events, opts = base(spark, sf, "events"), {"escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    for drop in (0, 1):
+        events.where(F.col("event_id") % 2 == drop).write.mode("append").option("header", "true").options(**opts).csv(landing)
+        for _ in range(2 - drop):
+            copy_into_once(spark, landing, root, EVENT_SCHEMA, pattern="*.csv", **opts)
+    return read_loaded(spark, root, EVENT_SCHEMA)
+
+
 QUERIES = {
     "customer_curated": customer_curated,
     "standardize_customer": standardize_customer,
@@ -442,6 +460,7 @@ QUERIES = {
     "key_reconciliation": key_reconciliation,
     "orphan_facts": orphan_facts,
     "compare_by_key": compare_latest_activity,
+    "bucket_reconciliation": bucket_reconciliation,
     "curated_metrics": curated_metrics,
     "curated_metrics_loader": curated_metrics_loader,
     "curated_incremental": curated_incremental,
@@ -467,4 +486,5 @@ QUERIES = {
     "layer_copy_into": layer_copy_into,
     "recompute_checks": recompute_checks,
     "incremental_file_load": incremental_file_load_events,
+    "copy_into_once": copy_into_once_events,
 }

@@ -88,6 +88,11 @@ SELECT user_id AS customer_id,
             WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount, CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value,
        event_type = 'error' AS needs_review, CASE WHEN value >= 200 THEN 'HIGH' ELSE 'LOW' END AS risk_flag, 'BRONZE' AS customer_tier
 FROM {events}""",
+    "orders_copy": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3001 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 2503 = 9 THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM {orders} WHERE o_orderkey % 4001 <> 7
+UNION ALL
+SELECT -1 - o_orderkey, o_totalprice, o_orderstatus FROM {orders} WHERE o_orderkey % 5003 = 11""",
     "event_changes": """
 SELECT 1 AS batch, 1 AS change, user_id AS customer_id,
        CASE WHEN user_id % 97 = 0 AND event_id % 3 = 0 THEN CAST('NaN' AS DOUBLE) WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount,
