@@ -109,7 +109,7 @@ def test_enrich_and_scd_with_hot_key(spark, hot, duck):
                         F.lit(True).alias("is_current"), F.lit(1).cast("long").alias("version_no"))
     incoming = hot.select(F.col("user_id").alias("customer_id"), F.col("event_type").alias("status"),
                           F.col("ts").cast("string").alias("updated_at"))
-    scd = apply_scd_type_2(dim, incoming)
+    scd = apply_scd_type_2(dim, incoming, window_rows=1000)
     per_key = scd.groupBy("customer_id").agg(F.count_if("is_current").alias("c"))
     assert per_key.where(F.col("c") != 1).count() == 0
 

@@ -21,7 +21,7 @@ def test_a_change_closes_and_a_repeat_does_nothing(spark):
 def test_every_change_of_a_batch_is_kept(spark):
     dim = spark.createDataFrame([("K", "A", "2023-01-01", None, True, 1)], DIM)
     inc = spark.createDataFrame([("K", v, f"2024-{m:02d}-01") for m, v in enumerate("ABBAACB", 1)] + [("N", "X", "2024-05-01"), ("N", "Y", "2024-06-01")], INC)
-    assert rows(apply_scd_type_2(dim, inc)) == [
+    assert rows(apply_scd_type_2(dim, inc)) == rows(apply_scd_type_2(dim, inc, window_rows=0)) == [
         ("K", "A", "2023-01-01", "2024-02-01", False, 1), ("K", "A", "2024-04-01", "2024-06-01", False, 3),
         ("K", "B", "2024-02-01", "2024-04-01", False, 2), ("K", "B", "2024-07-01", None, True, 5),
         ("K", "C", "2024-06-01", "2024-07-01", False, 4),
@@ -35,7 +35,8 @@ def test_other_columns_and_a_key_over_many_ranges(spark):
     inc = spark.range(1, 4001, 1, 5).select(F.lit(None).cast("int").alias("customer_id"), F.concat(F.lit("s"), F.col("id") % 7).alias("status"),
                                             F.col("id").cast("int").alias("updated_at"), F.lit("given").alias("note"))
     inc = inc.union(inc.withColumn("customer_id", F.lit(5)).where("updated_at < 3"))
-    out = apply_scd_type_2(dim, inc)
+    out = apply_scd_type_2(dim, inc, window_rows=100)       # the key has more: its rows are spread over ranges
+    assert sorted(map(str, apply_scd_type_2(dim, inc).collect())) == sorted(map(str, out.collect()))
     hot = out.where("customer_id IS NULL")
     assert hot.count() == 4001 and hot.where("is_current").first().version_no == 4001
     assert hot.where("NOT is_current AND valid_to <> valid_from + 1").count() == 0
@@ -57,6 +58,7 @@ def test_new_vanished_null_cases_and_history(spark):
         (None, "M", "2024-01-01"),                             # NULL key changes
     ], INC)
     full = rows(apply_scd_type_2(dim, inc))
+    assert full == rows(apply_scd_type_2(dim, inc, window_rows=0))
     assert full == rows(spark.createDataFrame([
         ("K1", "A", "2023-01-01", "2024-01-01", False, None),
         ("K1", "B", "2024-01-01", "2024-03-01", False, 2),
