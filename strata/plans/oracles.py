@@ -425,6 +425,11 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     ]),
     "csv_round_trip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "txt_round_trip": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "csv_quarantine": cte("customer_lines") + """, judged AS (
+SELECT *, 5 - CASE WHEN c_custkey % 13 = 0 THEN 1 ELSE 0 END + CASE WHEN c_custkey % 17 = 0 THEN 1 ELSE 0 END AS n FROM customer_lines)
+SELECT CASE WHEN n = 5 AND c_custkey % 19 <> 0 THEN CAST(c_custkey AS VARCHAR) ELSE line END AS record,
+       CASE WHEN n < 5 THEN 'too few fields: ' || n WHEN n > 5 THEN 'too many fields: ' || n WHEN c_custkey % 19 = 0 THEN 'not a double: c_acctbal' ELSE 'good' END AS reason
+FROM judged""",
     "multiline_csv_round_trip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "sql_source": """SELECT c_mktsegment, count(*) AS customers, min(c_acctbal) AS min_balance, max(c_acctbal) AS max_balance
 FROM customer WHERE c_acctbal >= 0.0 GROUP BY c_mktsegment""",

@@ -56,6 +56,7 @@ from strata.plans.job import checked_report, run_checked_medallion, run_medallio
 from strata.plans.staged import CUSTOMER_AS_OF, _memo, base, staged
 from strata.session import materialize, scratch_path
 from strata.sources.ledger import copy_into_once, read_loaded
+from strata.sources.malformed import read_csv_records
 from strata.sources.readers import read_csv, read_raw_csv, read_sql, read_table, read_txt
 from strata.sources.sinks import copy_into, create_layer_table, write_table
 from strata.sources.synth import synthesize_customers
@@ -291,6 +292,15 @@ def txt_round_trip(spark, sf):
     return read_txt(spark, path)   # pipe-delimited, schema inferred
 
 
+def csv_quarantine(spark, sf):
+    """Customers as lines of text, some broken: the records that fit and those that do not, with the reason."""
+    path = scratch_path(spark, "customer_lines")
+    staged(spark, sf, "customer_lines").select("line").write.text(path)
+    records = read_csv_records(spark, path, CUSTOMER_CSV_SCHEMA, header=False)
+    return (records.good.select(F.col("c_custkey").cast("string").alias("record"), F.lit("good").alias("reason"))
+            .unionByName(records.broken.select("record", "reason")))
+
+
 DOCUMENT_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
@@ -474,6 +484,7 @@ QUERIES = {
     "csv_round_trip": csv_round_trip,
     "txt_round_trip": txt_round_trip,
     "multiline_csv_round_trip": multiline_csv_round_trip,
+    "csv_quarantine": csv_quarantine,
     "sql_source": sql_source,
     "table_source": table_source,
     "synthetic_customers": synthetic_customers,

@@ -88,6 +88,10 @@ SELECT user_id AS customer_id,
             WHEN event_id % 5 = 0 THEN CAST(event_id % 100 AS DOUBLE) / 10000 ELSE value END AS amount, CAST(ts AS DATE) AS signup_date, event_type <> 'error' AS is_active, value >= 100 AS is_high_value,
        event_type = 'error' AS needs_review, CASE WHEN value >= 200 THEN 'HIGH' ELSE 'LOW' END AS risk_flag, 'BRONZE' AS customer_tier
 FROM {events}""",
+    "customer_lines": """
+SELECT CAST(c_custkey AS STRING) || ',"' || c_name || ', x",' || CAST(c_nationkey AS STRING) || ',' || CASE WHEN c_custkey % 19 = 0 THEN 'abc' ELSE '12.5' END
+       || CASE WHEN c_custkey % 13 = 0 THEN '' ELSE ',' || c_mktsegment END || CASE WHEN c_custkey % 17 = 0 THEN ',more' ELSE '' END AS line, c_custkey, c_name, c_nationkey, c_mktsegment
+FROM {customer}""",
     "orders_copy": """
 SELECT o_orderkey, CASE WHEN o_orderkey % 3001 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
        CASE WHEN o_orderkey % 2503 = 9 THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM {orders} WHERE o_orderkey % 4001 <> 7
