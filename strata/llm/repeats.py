@@ -3,10 +3,14 @@
 Every window of ``size`` units (bytes or words) has an anchor: the leftmost of
 its ``gram``-unit strings with the least hash.  Equal windows have equal
 anchors at equal places, so all that can be equal meets under one anchor.  The
-consecutive windows of one anchor occurrence make a segment.  Equal segments
-collapse to one entry with a count before any text is shuffled; anchors that
-occur once anywhere never leave the scan, except for the few that a bit filter
-of fixed size lets through.
+consecutive windows of one anchor occurrence make a segment; no two windows of
+a segment are equal, as their anchor is at different places in them.
+
+Segments are first grouped by hash alone.  An anchor with one segment needs no
+text: its windows occur as often as the segment.  Only the segments of anchors
+that have several different ones are read again, one occurrence of each, and
+compared.  Anchors that occur once never leave the scan, except for the few
+that a bit filter lets through, whose width follows the number of the others.
 """
 
 from __future__ import annotations
@@ -16,17 +20,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.text import NON_SPACE, U, Chunk, Words, between, byte_sums, chunks, mix, rolling, ship, words
+from strata.llm.bits import BitFilter
+from strata.llm.text import NON_SPACE, U, Chunk, Sums, Words, between, byte_sums, chunks, mix, rolling, sliding, words
 from strata.session import stored
 
-FILTER_BITS = 26
+#: Bits of a filter per value, and the widest filter.
+BITS_PER_VALUE, MOST_BITS = 16, 28
 #: Texts of so many bytes are cut to windows at once (a window of bytes costs some 100 bytes of arrays).
 SCAN_BYTES = 1 << 18
 #: Segments of about so many bytes are compared at once in a task; an anchor with more is split by its windows.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 19
 
 
 class Unit(NamedTuple):
@@ -40,8 +47,8 @@ class Unit(NamedTuple):
 class Sequence(NamedTuple):
     """Units of a chunk: two sums for hashes, row of each unit, byte range of each unit."""
 
-    sums: np.ndarray
-    more: np.ndarray
+    sums: Sums
+    more: Sums | None
     row: np.ndarray
     start: np.ndarray
     end: np.ndarray
@@ -50,14 +57,15 @@ class Sequence(NamedTuple):
 _SALT = U(0xA0761D6478BD642F)
 
 
-def sequence(chunk: Chunk, kind: str) -> Sequence:
+def sequence(chunk: Chunk, kind: str, two: bool = False) -> Sequence:
+    """Units of ``chunk``; the second sums only where ``two`` asks for them."""
     if kind == "bytes":
         n = len(chunk.data)
         at = np.arange(n)
-        return Sequence(byte_sums(chunk.data), rolling(mix(chunk.data.astype(U) + _SALT)),
+        return Sequence(byte_sums(chunk.data), byte_sums(chunk.data, True) if two else None,
                         np.repeat(np.arange(chunk.rows), np.diff(chunk.offsets)), at, at + 1)
     w: Words = words(chunk, NON_SPACE, False)
-    return Sequence(rolling(w.hash), rolling(mix(w.hash ^ _SALT)), w.row, w.start, w.end)
+    return Sequence(rolling(w.hash), rolling(w.more, True) if two else None, w.row, w.start, w.end)
 
 
 def sliding_least(values: np.ndarray, m: int) -> np.ndarray:
@@ -87,9 +95,8 @@ def segments(s: Sequence, unit: Unit) -> Segments:
     none = np.zeros(0, np.int64)
     if n <= 0:
         return Segments(none.view(U), none, none, none)
-    first = np.arange(len(s.row) - k + 1)
-    h = between(s.sums, first, first + k)
-    least = sliding_least((h & U(0xFFFFFFFF00000000)) | first.astype(U), size - k + 1) & U(0xFFFFFFFF)
+    h = sliding(s.sums, k)
+    least = sliding_least((h & U(0xFFFFFFFF00000000)) | np.arange(len(h)).astype(U), size - k + 1) & U(0xFFFFFFFF)
     window = np.flatnonzero(s.row[:n] == s.row[size - 1:])
     at = least[window].astype(np.int64)
     if not len(at):
@@ -111,48 +118,75 @@ def _anchors(unit: Unit):
     return run
 
 
-def _occurrences(unit: Unit, keep: np.ndarray):
+def _places(unit: Unit, keep: BitFilter):
+    """Segments whose anchor the filter holds: row's columns but the text, anchor, hashes, first window, windows."""
     def run(batches):
         for batch in batches:
             for chunk in chunks(batch.column(batch.num_columns - 1), SCAN_BYTES):
-                s = sequence(chunk, unit.kind)
-                g = segments(s, unit)
-                slot = (g.anchor >> U(64 - FILTER_BITS)).astype(np.int64)
-                own = np.flatnonzero((keep[slot >> 3] >> (slot & 7)) & 1)
-                if not len(own):
+                s = sequence(chunk, unit.kind, two=True)
+                found = _own_segments(s, unit, keep)
+                if not found:
                     continue
-                anchor, at, low, high = (x[own] for x in g)
-                end = high + unit.size
-                place = ((high - low).astype(U) << U(32)) | (at - low).astype(U)
-                s1, s2 = mix(between(s.sums, low, end) ^ mix(place)), mix(between(s.more, low, end) + place)
+                anchor, s1, s2, low, end = found
                 row = s.row[low]
-                base = np.searchsorted(s.row, row)
-                raw = chunk.data.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).take(pa.array(row + chunk.first)) for i in range(batch.num_columns - 1)),
-                     *(pa.array(x.view(np.int64)) for x in (anchor, s1, s2)), pa.array(low - base), pa.array((high - low + 1).astype(np.int32)),
-                     pa.array([raw[a:b] for a, b in zip(s.start[low], s.end[end - 1])], pa.binary())],
-                    [*batch.schema.names[:-1], "anchor", "s1", "s2", "low", "windows", "content"])
+                     *(pa.array(x.view(np.int64)) for x in (anchor, s1, s2)), pa.array(low - np.searchsorted(s.row, row)),
+                     pa.array((end - low - unit.size + 1).astype(np.int32))],
+                    [*batch.schema.names[:-1], "anchor", "s1", "s2", "low", "windows"])
+    return run
+
+
+def _own_segments(s: Sequence, unit: Unit, keep: BitFilter):
+    g = segments(s, unit)
+    own = np.flatnonzero(keep.holds(g.anchor))
+    if not len(own):
+        return None
+    anchor, at, low, high = (x[own] for x in g)
+    end = high + unit.size
+    place = ((high - low).astype(U) << U(32)) | (at - low).astype(U)
+    return anchor, mix(between(s.sums, low, end) ^ mix(place)), mix(between(s.more, low, end) + place), low, end
+
+
+def _contents(unit: Unit, keep: BitFilter, wanted: BitFilter):
+    """anchor, s1, s2, content of the segments whose hash the filter ``wanted`` holds, once per chunk."""
+    def run(batches):
+        for batch in batches:
+            for chunk in chunks(batch.column(0), SCAN_BYTES):
+                s = sequence(chunk, unit.kind, two=True)
+                found = _own_segments(s, unit, keep)
+                if not found:
+                    continue
+                anchor, s1, s2, low, end = found
+                _, pick = np.unique(s1, return_index=True)
+                pick = pick[wanted.holds(mix(s1[pick] ^ s2[pick]))]
+                raw = chunk.data.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(x[pick].view(np.int64)) for x in (anchor, s1, s2)), pa.array([raw[a:b] for a, b in zip(s.start[low[pick]], s.end[end[pick] - 1])], pa.binary())],
+                    ["anchor", "s1", "s2", "content"])
     return run
 
 
-def bit_filter(rows: DataFrame, column: str, bits: int) -> np.ndarray:
-    """Bytes of a bit array in which the top ``bits`` bits of every value of ``column`` are set (a fixed size)."""
-    slot = F.shiftrightunsigned(column, 64 - bits)
-    found = rows.groupBy(F.shiftright(slot, 3).alias("at")).agg(
-        F.expr(f"bit_or(shiftleft(1, cast(shiftrightunsigned({column}, {64 - bits}) & 7 AS int)))").alias("byte")).toArrow()
-    out = np.zeros(1 << (bits - 3), np.uint8)
-    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    return out
+class Found(NamedTuple):
+    """Segments of anchors that may occur twice: where they are, the different ones, and the filter of their anchors."""
+
+    places: DataFrame
+    distinct: DataFrame
+    keep: BitFilter
 
 
-def occurrences(docs: DataFrame, unit: Unit) -> DataFrame:
-    """``id, h, anchor, s1, s2, low, windows, content`` of the segments whose anchor may occur twice; stored."""
-    shared = docs.select("text").mapInArrow(_anchors(unit), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    keep = bit_filter(shared, "anchor", FILTER_BITS)
+def find_segments(docs: DataFrame, unit: Unit) -> Found:
+    """``places``: id, h, anchor, s1, s2, low, windows.  ``distinct``: anchor, s1, s2, n, first (id, h, low), windows, kinds (segments of the anchor)."""
+    shared = stored(docs.select("text").mapInArrow(_anchors(unit), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"),
+                    "shared-anchors")
+    keep = BitFilter.of(shared, "anchor", BITS_PER_VALUE, MOST_BITS)
     kind = docs.schema["id"].dataType.simpleString()
-    return stored(docs.select("id", "h", "text").mapInArrow(
-        _occurrences(unit, keep), f"id {kind}, h long, anchor long, s1 long, s2 long, low long, windows int, content binary"), "occurrences")
+    places = stored(docs.select("id", "h", "text").mapInArrow(
+        _places(unit, keep), f"id {kind}, h long, anchor long, s1 long, s2 long, low long, windows int"), "places")
+    each = stored(places.groupBy("anchor", "s1", "s2").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "low")).alias("first"), F.first("windows").alias("windows")), "segments")
+    kinds = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all")).where("all > 1")
+    return Found(places, stored(each.join(kinds.select("anchor", "kinds"), "anchor"), "distinct-segments"), keep)
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -160,13 +194,6 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
 
 
-def distinct_segments(found: DataFrame) -> DataFrame:
-    """One row per different segment of the anchors that occur twice: ``anchor, s1, s2, n, first (id, h, low), windows, content``."""
-    each = found.groupBy("anchor", "s1", "s2").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "low")).alias("first"), F.first("windows").alias("windows"), F.first("content").alias("content"))
-    return stored(each, "segments")
-
-
 class Group(NamedTuple):
     """Different segments that are compared together, in one chunk row each."""
 
@@ -187,37 +214,30 @@ def _group(rows: list[pa.RecordBatch]) -> Group:
 
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Group]:
-    """Rows sorted by anchor, in groups of whole anchors of about :data:`GROUP_BYTES`; anchors that occur once are left out."""
-    def flush(held):
-        if held:
-            yield _group(held)
-
-    held, size, last, open_rows = [], 0, None, []
+    """Rows sorted by anchor, in groups of whole anchors that stay below :data:`GROUP_BYTES` (or have one anchor)."""
+    held, size, anchor_rows, anchor_size, last = [], 0, [], 0, None
     for batch in batches:
         anchors = batch.column("anchor").to_numpy(zero_copy_only=False)
         if not len(anchors):
             continue
         cuts = [0, *(np.flatnonzero(anchors[1:] != anchors[:-1]) + 1), len(anchors)]
-        counts = batch.column("n").to_numpy(zero_copy_only=False)
+        sizes = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("content")).to_numpy(zero_copy_only=False))])
         for a, b in zip(cuts, cuts[1:]):
-            if anchors[a] != last and open_rows:
-                if len(open_rows) > 1 or len(open_rows[0]) > 1 or open_rows[0].column("n")[0].as_py() > 1:
-                    held += open_rows
-                    size += sum(r.column("content").nbytes for r in open_rows)
-                open_rows = []
-                if size >= GROUP_BYTES:
-                    yield from flush(held)
+            if anchors[a] != last:
+                if held and size + anchor_size > GROUP_BYTES:
+                    yield _group(held)
                     held, size = [], 0
-            last = anchors[a]
-            if b - a > 1 or counts[a] > 1 or b == len(anchors) or a == 0:
-                open_rows.append(batch.slice(a, b - a))
-            else:
-                open_rows = []
-    if open_rows and (len(open_rows) > 1 or len(open_rows[0]) > 1 or open_rows[0].column("n")[0].as_py() > 1):
-        held += open_rows
-    yield from flush(held)
+                held, size, anchor_rows, anchor_size, last = held + anchor_rows, size + anchor_size, [], 0, anchors[a]
+            anchor_rows.append(batch.slice(a, b - a))
+            anchor_size += int(sizes[b] - sizes[a])
+    if held and size + anchor_size > GROUP_BYTES:
+        yield _group(held)
+        held = []
+    if held or anchor_rows:
+        yield _group(held + anchor_rows)
 
 
+GROUP_COLUMNS = ["anchor", "s1", "s2", "n", "first", "windows", "content"]
 Judge = Callable[[Group], list]
 
 
@@ -249,7 +269,7 @@ def _window_hashes(unit: Unit):
         for batch in batches:
             group = _group([batch])
             row = np.repeat(np.arange(group.chunk.rows), group.windows)
-            s = sequence(group.chunk, unit.kind)
+            s = sequence(group.chunk, unit.kind, two=True)
             place = np.arange(len(row)) - np.repeat(np.cumsum(group.windows) - group.windows, group.windows)
             start = np.searchsorted(s.row, np.arange(group.chunk.rows))[row] + place
             for a in range(0, len(row), 1 << 16):
@@ -274,27 +294,54 @@ def _covered(size: int):
     return run
 
 
-def judged_segments(distinct: DataFrame, unit: Unit, judge: Judge, earliest: bool, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def judged_segments(docs: DataFrame, found: Found, unit: Unit, judge: Judge, earliest: bool, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``s1, s2, spans``: the units of each different segment that go (of its first occurrence, if ``earliest``).
 
-    Anchors of up to ``group_bytes`` of different segments are judged in a task; the windows of larger ones are
-    dealt out by their own hash and counted by a grouped aggregate, so no anchor is ever one task's whole work.
+    The only segment of an anchor goes whole if it occurs twice (its first occurrence stays if ``earliest``).  Anchors
+    with up to ``group_bytes`` of different segments are judged in a task; the windows of larger ones are dealt out by
+    their own hash and counted by a grouped aggregate, so no anchor is ever one task's whole work.
     """
-    spark = distinct.sparkSession
-    size = distinct.groupBy("anchor").agg(F.sum(F.octet_length("content")).alias("bytes")).where(F.col("bytes") > group_bytes).select("anchor")
-    large = stored(size, "large-anchors")
+    whole = F.array(F.lit(0), F.col("windows") + F.lit(unit.size - 1))
+    alone = found.distinct.where("kinds = 1").select("s1", "s2", whole.alias("spans"))
+    if earliest:
+        alone = alone.limit(0)
+    several = found.distinct.where("kinds > 1").drop("kinds")
+    wanted = BitFilter.of(several.select(F.col("s1").bitwiseXOR(F.col("s2")).alias("key")), "key", BITS_PER_VALUE, MOST_BITS, scramble=True)
+    content = docs.select("text").mapInArrow(_contents(unit, found.keep, wanted), "anchor long, s1 long, s2 long, content binary")
+    text = content.groupBy("anchor", "s1", "s2").agg(F.first("content").alias("content"))
+    distinct = stored(several.join(text, ["anchor", "s1", "s2"]), "different-segments")
+    large = stored(distinct.groupBy("anchor").agg(F.sum(F.octet_length("content")).alias("bytes")).where(F.col("bytes") > group_bytes).select("anchor"), "large-anchors")
     if large.limit(1).count():
         usual, rest = distinct.join(large, "anchor", "left_anti"), distinct.join(large, "anchor", "left_semi")
     else:
         usual, rest = distinct, None
-    ship(spark)
-    spans = usual.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_judged(judge), "s1 long, s2 long, spans array<int>")
+    usual = usual.repartition("anchor").sortWithinPartitions("anchor").select(*GROUP_COLUMNS)
+    spans = alone.union(usual.mapInArrow(_judged(judge), "s1 long, s2 long, spans array<int>"))
     if rest is None:
         return spans
     first = distinct.schema["first"].dataType.simpleString()
-    each = stored(rest.mapInArrow(_window_hashes(unit), f"w1 long, w2 long, s1 long, s2 long, n long, place int, first {first}, windows int"), "windows")
+    each = stored(rest.select(*GROUP_COLUMNS).mapInArrow(
+        _window_hashes(unit), f"w1 long, w2 long, s1 long, s2 long, n long, place int, first {first}, windows int"), "windows")
     own = F.struct("first.id", "first.h", (F.col("first.low") + F.col("place")).alias("low"))
     total = each.groupBy("w1", "w2").agg(F.sum("n").alias("total"), F.min(own).alias("least")).where("total > 1")
     gone = each.join(stored(total, "repeated-windows"), ["w1", "w2"]).where(own != F.col("least") if earliest else F.lit(True))
     listed = gone.groupBy("s1", "s2").agg(F.first("windows").alias("windows"), F.collect_list("place").alias("places"))
     return spans.union(listed.select("s1", "s2", "windows", "places").mapInArrow(_covered(unit.size), "s1 long, s2 long, spans array<int>"))
+
+
+def cut_found(docs: DataFrame, gone: DataFrame, cut, shape: str) -> DataFrame:
+    """Rows that ``cut`` (over id, text, found) makes of ``docs``; ``gone``: own_id, own_h, found of the texts that lose units.
+
+    Only rows whose text may lose units travel to the join; a bit filter on the texts' hashes tells which.
+    """
+    gone = stored(gone, "removed")
+    bits = BitFilter.of(gone.select("own_h"), "own_h", BITS_PER_VALUE, MOST_BITS)
+    some = docs.mapInArrow(bits.rows(1), f"id {docs.schema['id'].dataType.simpleString()}, h long, text string")
+    joined = some.join(gone, some.id.eqNullSafe(gone.own_id) & (some.h == gone.own_h), "left").select("id", "text", "found")
+
+    def rest(batches):                                 # filter and cut in one Python worker a task
+        for batch in bits.rows(1, False)(batches):
+            none = pa.nulls(batch.num_rows, pa.list_(pa.null()))
+            yield from cut([pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), none], ["id", "text", "found"])])
+
+    return joined.mapInArrow(cut, shape).union(docs.mapInArrow(rest, shape))

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.repeats import Group, Unit, distinct_segments, judged_segments, keyed, occurrences, runs, sequence
-from strata.llm.text import U, between, ship
+from strata.llm.repeats import Group, Unit, find_segments, judged_segments, keyed, runs, sequence, cut_found
+from strata.llm.text import U, between, ship, sliding
 
 #: A phrase ends after every gram of so many bytes whose hash is 0 modulo CUT_EVERY.
 CUT_GRAM, CUT_EVERY = 8, 64
@@ -115,13 +115,13 @@ def suffix_array(symbols: list[int]) -> list[int]:
 def repeated_windows(group: Group, size: int) -> np.ndarray:
     """For every window of the group's segments, whether its bytes occur twice (equal segments count as often as they occur)."""
     chunk = group.chunk
-    s = sequence(chunk, "bytes")
+    s = sequence(chunk, "bytes", two=True)
     n = len(chunk.data)
     row = np.repeat(np.arange(chunk.rows), group.windows)
     start = chunk.offsets[row] + np.arange(len(row)) - np.repeat(np.cumsum(group.windows) - group.windows, group.windows)
 
     first = np.arange(max(n - CUT_GRAM + 1, 0))
-    cut = (between(s.sums, first, first + CUT_GRAM) & U(CUT_EVERY - 1)) == 0
+    cut = (sliding(s.sums, CUT_GRAM) & U(CUT_EVERY - 1)) == 0
     cut &= s.row[:len(first)] == s.row[CUT_GRAM - 1:CUT_GRAM - 1 + len(first)]
     cuts = first[cut] + CUT_GRAM
     # one phrase sequence: the phrases of each segment, then 1; 0 at the very end
@@ -166,7 +166,8 @@ def judge(size: int):
 def _cut(batches):
     for batch in batches:
         kept, n_bytes, n_removed, n_spans, spans = [], [], [], [], []
-        for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for text, found in zip(batch.column(1), batch.column(2)):
+            text, found = text.as_py(), found.as_py()
             raw = (text or "").encode()
             mark = np.zeros(len(raw) + 1, np.int64)
             for part in found or ():
@@ -195,11 +196,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship(df.sparkSession)
     unit = Unit("bytes", size, gram)
     docs = keyed(df, id_col, text_col)
-    found = occurrences(docs, unit)
-    spans = judged_segments(distinct_segments(found), unit, judge(size), False, **options)
-    gone = found.select("id", "h", "s1", "s2", "low").join(spans, ["s1", "s2"]).groupBy("id", "h").agg(
+    found = find_segments(docs, unit)
+    spans = judged_segments(docs, found, unit, judge(size), False, **options)
+    gone = found.places.select("id", "h", "s1", "s2", "low").join(spans, ["s1", "s2"]).groupBy("id", "h").agg(
         F.collect_list(F.struct("low", "spans")).alias("found")).withColumnsRenamed({"id": "own_id", "h": "own_h"})
-    joined = docs.join(gone, docs.id.eqNullSafe(gone.own_id) & (docs.h == gone.own_h), "left")
     kind = docs.schema["id"].dataType.simpleString()
-    return joined.select("id", "text", "found").mapInArrow(
-        _cut, f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>").withColumnRenamed("id", id_col)
+    return cut_found(docs, gone, _cut, f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>").withColumnRenamed("id", id_col)
