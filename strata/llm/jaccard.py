@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.bits import bit_filter, has_bit
+from strata.llm.bits import BitFilter
 from strata.llm.graph import connected_components
 from strata.llm.text import NON_SPACE, U, Chunk, between, bounds, chunks, grams, mix, rolling, ship, words
 from strata.session import stored
@@ -33,8 +33,8 @@ from strata.session import stored
 SLOTS, FREQUENT = 128, 1 << 18
 #: Tokens counted at once in a task; a token is reported as frequent from so many documents among them.
 COUNT_AT_ONCE, REPORT_FROM = 1 << 20, 4
-#: Widths of the bit filters of bucket tokens and of tokens that several sets share.
-FILTER_BITS, COMMON_BITS = 24, 26
+#: Most that a slot of a signature counts; bits of a filter per value, and the widest filter.
+MOST_COUNT, BITS_PER_VALUE, MOST_BITS = 15, 16, 28
 
 
 def shingle_sets(chunk: Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,8 +91,8 @@ def least_overlap(n, num: int, den: int):
     return -(-num * n // den)
 
 
-def _profiles(k, num, den, tokens, ranks, common=None):
-    """Size, fingerprint, prefix and count signature of every row's set.
+def _profiles(k, num, den, tokens, ranks, common=None, signed=True):
+    """Size, fingerprint, prefix and (if ``signed``) count signature of every row's set.
 
     Prefixes take tokens in the order of (rank, hash): the frequent ones by their count at the end, before them those
     of the bit filter ``common``, first all others.
@@ -108,9 +108,10 @@ def _profiles(k, num, den, tokens, ranks, common=None):
                     at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
                     rank = np.where(tokens[at] == h, ranks[at], 0)
                 if common is not None:
-                    rank = np.maximum(rank, has_bit(common, mix(h), COMMON_BITS))
-                counts = np.bincount(row * SLOTS + (h & U(SLOTS - 1)).astype(np.int64), minlength=chunk.rows * SLOTS).reshape(-1, SLOTS)
-                signature = np.minimum(counts, 255).astype(np.uint8)
+                    rank = np.maximum(rank, common.holds(mix(h)))
+                counts = np.zeros((chunk.rows, SLOTS)) if not signed else np.bincount(row * SLOTS + (h & U(SLOTS - 1)).astype(np.int64), minlength=chunk.rows * SLOTS).reshape(-1, SLOTS)
+                signature = np.minimum(counts, MOST_COUNT).astype(np.uint8)
+                signature = signature[:, ::2] << 4 | signature[:, 1::2]           # two slots a byte
                 ordered = h[np.lexsort((h, rank, row))]
                 at = bounds(row, chunk.rows)
                 prefix = [ordered[a:a + p].tobytes() for a, p in zip(at, np.where(n > 0, n - least_overlap(n, num, den) + 1, 0))]
@@ -140,7 +141,7 @@ def _prefix_tokens(keep):
                     seen.add((f1[i], f2[i]))
                     own = mix(np.frombuffer(prefixes[i].as_py(), U))   # prefixes hold the least hashes; buckets want even ones
                     if keep is not None:
-                        own = own[has_bit(keep, own, FILTER_BITS)]
+                        own = own[keep.holds(own)]
                     tokens.append(own)
                     owner.append(np.full(len(own), i))
                 if not owner:
@@ -153,6 +154,15 @@ def _prefix_tokens(keep):
     return run
 
 
+def _rough_tokens(k, num, den, tokens, ranks):
+    """(token, set) rows of the first round's prefixes, in one Python worker a task."""
+    profiles, prefixes = _profiles(k, num, den, tokens, ranks, signed=False), _prefix_tokens(None)
+
+    def run(batches):
+        yield from prefixes(batch.select(["n", "f1", "f2", "prefix", "signature"]) for batch in profiles(batches))
+    return run
+
+
 def _groups(batches, key: int):
     """Rows of equal ``key`` (consecutive over batches) as one table at a time."""
     held = []
@@ -181,7 +191,8 @@ def _may_link(num, den):
             if len(f1) < 2:
                 continue
             n = np.concatenate([_longs(p.column(3)) for p in parts])[pick]
-            signature = np.frombuffer(b"".join(x for p in parts for x in p.column(4).to_pylist()), np.uint8).reshape(-1, SLOTS)[pick].astype(np.int64)
+            packed = np.frombuffer(b"".join(x for p in parts for x in p.column(4).to_pylist()), np.uint8).reshape(-1, SLOTS // 2)[pick]
+            signature = np.concatenate([packed >> 4, packed & 15], axis=1).astype(np.int16)
             excess = n - signature.sum(1)
             left = np.arange(len(f1))
             while len(left) > 1:
@@ -319,9 +330,9 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     spark = df.sparkSession
     ship(spark)
-    kind = df.schema[id_col].dataType
-    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col), F.xxhash64(text_col).cast(kind)).alias("doc"),
-                     F.col(text_col).alias("text"))
+    kind = df.schema[id_col].dataType.simpleString()
+    # a row is known by a hash of its id and text; rows equal in both are one
+    docs = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col)).alias("doc"), F.col(text_col).alias("text"))
     frequent = (docs.select("text").mapInArrow(_frequent(k), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
                 .orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow())
     tokens, ranks = (frequent.column(i).to_numpy().astype(t) for i, t in ((0, np.int64), (1, np.int64)))
@@ -329,26 +340,24 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     order = np.argsort(tokens)
     tokens, ranks = tokens[order], ranks[order]
 
-    pair = f"struct<id:{kind.simpleString()},doc:{kind.simpleString()}>"
+    pair = f"struct<id:{kind},doc:long>"
     columns = "n long, f1 long, f2 long, prefix binary, signature binary"
 
-    def shared_tokens(sets: DataFrame) -> DataFrame:
-        return (sets.where("n > 0").select("n", "f1", "f2", "prefix", "signature").mapInArrow(_prefix_tokens(None), "token long, f1 long, f2 long")
-                .groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("f1").alias("low"), F.max("f1").alias("high"),
-                                      F.sum(F.expr("f2 & 4294967295")).alias("s1"), F.sum(F.expr("shiftrightunsigned(f2, 32)")).alias("s2"))
-                .where("low <> high"))
+    def shared_tokens(rows: DataFrame, *more) -> DataFrame:
+        return rows.groupBy("token").agg(F.min("f1").alias("low"), F.max("f1").alias("high"), *more).where("low <> high")
 
     # Words that meet by chance make shared tokens too, more than in proportion to the input.  A first round of prefixes
     # finds shared tokens; the second puts them behind the others, which leaves the buckets to sets that share much.
-    rough = docs.select(F.struct("id", "doc").alias("doc"), "text").mapInArrow(_profiles(k, num, den, tokens, ranks), f"doc {pair}, {columns}")
-    common = bit_filter(shared_tokens(rough), "token", COMMON_BITS)
+    token_rows = "token long, f1 long, f2 long"
+    rough = docs.select("doc", "text").mapInArrow(_rough_tokens(k, num, den, tokens, ranks), token_rows)
+    common = BitFilter.of(stored(shared_tokens(rough).select("token"), "shared-tokens"), "token", BITS_PER_VALUE, MOST_BITS)
     profiles = stored(docs.select(F.struct("id", "doc").alias("doc"), "text").mapInArrow(
         _profiles(k, num, den, tokens, ranks, common), f"doc {pair}, {columns}").select("doc.*", "n", "f1", "f2", "prefix", "signature"), "profiles")
     sets = profiles.where("n > 0").select("n", "f1", "f2", "prefix", "signature")
-    shared = shared_tokens(profiles)
+    shared = shared_tokens(sets.mapInArrow(_prefix_tokens(None), token_rows), F.count(F.lit(1)).alias("n"), F.sum(F.expr("f2 & 4294967295")).alias("s1"), F.sum(F.expr("shiftrightunsigned(f2, 32)")).alias("s2"))
     # tokens that the same sets hold give the same bucket; one of them is enough
     buckets = stored(shared.groupBy("n", "low", "high", "s1", "s2").agg(F.min("token").alias("token")).select("token", "n"), "buckets")
-    keep = bit_filter(buckets, "token", FILTER_BITS)
+    keep = BitFilter.of(buckets, "token", BITS_PER_VALUE, MOST_BITS)
     members = sets.mapInArrow(_prefix_tokens(keep), "token long, f1 long, f2 long, n long, signature binary").join(
         buckets.select("token", F.col("n").alias("rows")), "token")
     usual = members.where(F.col("rows") <= bucket_rows).select("token", "f1", "f2", "n", "signature").repartition("token").sortWithinPartitions("token")
@@ -364,7 +373,10 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     blocks = F.ceil(F.col("tokens") / block_tokens).cast("int")
     placed = chosen.join(size.select("component", blocks.alias("blocks")), "component").withColumn(
         "block", F.pmod(F.xxhash64("f1"), F.col("blocks")).cast("int"))
-    shingles = stored(docs.select("doc", "text").join(placed.select("doc", "f1", "component", "blocks", "block"), "doc")
+    # only the texts that stand for a set of a family travel, each once
+    wanted = BitFilter.of(chosen, "doc", BITS_PER_VALUE, MOST_BITS)
+    texts = docs.select("doc", "text").mapInArrow(wanted.rows(0), "doc long, text string").groupBy("doc").agg(F.first("text").alias("text"))
+    shingles = stored(texts.join(placed.select("doc", "f1", "component", "blocks", "block"), "doc")
                       .select("text", "f1", "component", "blocks", "block").mapInArrow(_payload(k), "f1 long, component long, blocks int, block int, shingles binary"),
                       "shingles")
     # block i meets block j in the task of (least, greatest); a family of one block has one task
@@ -386,7 +398,8 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Rows of ``df``, columns as they are, without those whose id is not the smallest of their component.
 
-    Rows without an id stay, as none can be told to stand for them.
+    Rows that repeat an id are one document: they stay or go together.  Rows without an id stay, as none can be told to
+    stand for them.
     """
     found = similar_components(df, id_col, text_col, **options)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import jaccard, repeats, suffix_tree
 from strata.llm.jaccard import OccurrenceIndex, link_sets, one_of_each, similar_components
@@ -117,3 +118,16 @@ def test_empty_tables(spark):
     assert result(similar_components(df), "doc_id", "n_shingles", "component_id") == [(1, 0, 1), (1, 0, 1), (None, 0, None)]
     assert result(remove_repeats(df), "doc_id", "n_removed") == [(1, 0), (1, 0), (None, 0)]
     assert result(remove_later_repeats(df), "doc_id", "n_removed") == [(1, 0), (1, 0), (None, 0)]
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_ids_of_other_types_and_rows_without_one(spark, rows, kind):
+    few = [r for r in rows if r[0] is None or r[0] < 120]
+    df = brute.frame(spark, few).withColumn("doc_id", F.col("doc_id").cast(kind))
+    own = (lambda x: x if kind == "int" or x is None else str(x))
+    typed = [(own(d), t) for d, t in few]
+    got = result(similar_components(df, k=4, num=85, den=100), "doc_id", "n_shingles", "component_id")
+    assert got == brute.components(typed, 4, 85, 100)
+    kept = result(dedup_lines(df), "doc_id", "kept", "n_lines", "n_dropped")
+    assert kept == brute.without_shared_lines(typed)
+    assert any(d is None for d, *_ in kept)

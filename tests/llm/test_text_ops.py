@@ -365,7 +365,7 @@ def test_classifier_edges(spark, rows):
 def test_queries_match_their_sql(spark):
     from strata.llm.queries import ORACLES, QUERIES
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in ORACLES.items():
         got, want = QUERIES[name](spark, SF).toPandas(), con.sql(sql).df()
@@ -373,7 +373,7 @@ def test_queries_match_their_sql(spark):
         assert sorted(got.columns) == columns, name
         got, want = (x[columns].sort_values(columns).reset_index(drop=True).astype(str) for x in (got, want))
         assert got.equals(want), name
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
 
 
 def test_pipeline_is_its_stages(spark):
