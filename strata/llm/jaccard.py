@@ -343,20 +343,25 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     pair = f"struct<id:{kind},doc:long>"
     columns = "n long, f1 long, f2 long, prefix binary, signature binary"
 
-    def shared_tokens(rows: DataFrame, *more) -> DataFrame:
-        return rows.groupBy("token").agg(F.min("f1").alias("low"), F.max("f1").alias("high"), *more).where("low <> high")
+    def shared_tokens(rows: DataFrame, which) -> DataFrame:
+        return rows.groupBy("token").agg(F.min(which).alias("low"), F.max(which).alias("high")).where("low <> high").select("token")
 
     # Words that meet by chance make shared tokens too, more than in proportion to the input.  A first round of prefixes
     # finds shared tokens; the second puts them behind the others, which leaves the buckets to sets that share much.
+    # The first round only steers the order, so there 15 bits tell sets apart; they compress to a few bytes a row.
     token_rows = "token long, f1 long, f2 long"
     rough = docs.select("doc", "text").mapInArrow(_rough_tokens(k, num, den, tokens, ranks), token_rows)
-    common = BitFilter.of(stored(shared_tokens(rough).select("token"), "shared-tokens"), "token", BITS_PER_VALUE, MOST_BITS)
+    common = BitFilter.of(stored(shared_tokens(rough, F.shiftrightunsigned("f1", 49).cast("short")), "common-tokens"), "token", BITS_PER_VALUE, MOST_BITS)
     profiles = stored(docs.select(F.struct("id", "doc").alias("doc"), "text").mapInArrow(
         _profiles(k, num, den, tokens, ranks, common), f"doc {pair}, {columns}").select("doc.*", "n", "f1", "f2", "prefix", "signature"), "profiles")
     sets = profiles.where("n > 0").select("n", "f1", "f2", "prefix", "signature")
-    shared = shared_tokens(sets.mapInArrow(_prefix_tokens(None), token_rows), F.count(F.lit(1)).alias("n"), F.sum(F.expr("f2 & 4294967295")).alias("s1"), F.sum(F.expr("shiftrightunsigned(f2, 32)")).alias("s2"))
-    # tokens that the same sets hold give the same bucket; one of them is enough
-    buckets = stored(shared.groupBy("n", "low", "high", "s1", "s2").agg(F.min("token").alias("token")).select("token", "n"), "buckets")
+    shared = stored(shared_tokens(sets.mapInArrow(_prefix_tokens(None), token_rows), F.col("f1")), "shared-tokens")
+    held = BitFilter.of(shared, "token", BITS_PER_VALUE, MOST_BITS)
+    # only tokens that several sets share are described further; tokens that the same sets hold give the same bucket, one of them is enough
+    described = sets.mapInArrow(_prefix_tokens(held), "token long, f1 long, f2 long, n long, signature binary").groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.min("f1").alias("low"), F.max("f1").alias("high"),
+        F.sum(F.expr("f2 & 4294967295")).alias("s1"), F.sum(F.expr("shiftrightunsigned(f2, 32)")).alias("s2")).where("low <> high")
+    buckets = stored(described.groupBy("n", "low", "high", "s1", "s2").agg(F.min("token").alias("token")).select("token", "n"), "buckets")
     keep = BitFilter.of(buckets, "token", BITS_PER_VALUE, MOST_BITS)
     members = sets.mapInArrow(_prefix_tokens(keep), "token long, f1 long, f2 long, n long, signature binary").join(
         buckets.select("token", F.col("n").alias("rows")), "token")
