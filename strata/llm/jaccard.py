@@ -2,9 +2,9 @@
 
 Equal shingle sets collapse to one, known by a 128-bit fingerprint.  Sets that
 can reach the similarity share a token of their prefixes (tokens in one global
-order, frequent ones last).  Within a prefix bucket a small count signature
-bounds the overlap from above; what passes joins sets to families, so each
-set's shingles travel once, to its family.  There a T-occurrence search finds
+order, frequent ones last).  Within a prefix bucket a count signature, longer
+for larger sets, bounds the overlap from above; what passes joins sets to
+families, so each set's shingles travel once, to its family.  There a T-occurrence search finds
 the sets that share enough shingles: DivideSkip merges the short inverted lists
 with a heap and probes the long ones by binary search.  Sets once reached leave
 the index, so a family of copies costs about one search each, never its pairs.
@@ -21,6 +21,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +30,17 @@ from strata.llm.graph import connected_components
 from strata.llm.text import NON_SPACE, U, Chunk, between, bounds, chunks, grams, mix, rolling, ship, words
 from strata.session import stored
 
-#: Slots of the count signature; frequent tokens that are told apart in the global order.
-SLOTS, FREQUENT = 128, 1 << 18
+#: Least and most slots of the count signature, and the shingles a slot from which there are twice as many slots: slots
+#: that most unrelated sets fill to the same count would bound nothing, and sets that share a token by chance made one family.
+SLOTS, MOST_SLOTS, PER_SLOT = 128, 1 << 13, 8
+#: Frequent tokens that are told apart in the global order.
+FREQUENT = 1 << 18
 #: Tokens counted at once in a task; a token is reported as frequent from so many documents among them.
 COUNT_AT_ONCE, REPORT_FROM = 1 << 20, 4
 #: Most that a slot of a signature counts; bits of a filter per value, and the widest filter.
 MOST_COUNT, BITS_PER_VALUE, MOST_BITS = 15, 16, 28
+#: Bytes of signatures that a batch holds, or that are compared at once.
+SIGNATURE_BYTES = 1 << 22
 
 
 def shingle_sets(chunk: Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +97,57 @@ def least_overlap(n, num: int, den: int):
     return -(-num * n // den)
 
 
+def slots(n: np.ndarray) -> np.ndarray:
+    """Slots of the signature of a set of ``n`` shingles: a power of two."""
+    wanted = np.maximum(-(-np.asarray(n) // PER_SLOT), SLOTS)
+    return np.minimum(1 << np.ceil(np.log2(wanted)).astype(np.int64), MOST_SLOTS)
+
+
+def signatures(row: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """For each row of ``n`` shingles, how many have their hash in each slot, up to MOST_COUNT; two slots a byte."""
+    own = slots(n)
+    at = np.concatenate([[0], np.cumsum(own)])
+    counts = np.bincount(at[row] + (h & (own[row] - 1).astype(U)).astype(np.int64), minlength=at[-1])
+    counts = np.minimum(counts, MOST_COUNT).astype(np.uint8)
+    packed = counts[::2] << 4 | counts[1::2]
+    return [packed[a:b].tobytes() for a, b in zip(at[:-1] // 2, at[1:] // 2)]
+
+
+class Signatures:
+    """Count signatures of some sets, and upper bounds of the shingles that two of them share."""
+
+    def __init__(self, packed: list[bytes], n: np.ndarray):
+        self.n, self.slots = n, 2 * np.array([len(x) for x in packed], np.int64)
+        self.place, self.counts, self.excess = np.zeros(len(n), np.int64), {}, np.zeros(len(n), np.int64)
+        for size in np.unique(self.slots):
+            own = np.flatnonzero(self.slots == size)
+            raw = np.frombuffer(b"".join(packed[i] for i in own), np.uint8).reshape(len(own), -1)
+            counts = np.empty((len(own), size), np.uint8)
+            counts[:, ::2], counts[:, 1::2] = raw >> 4, raw & 15
+            self.place[own], self.counts[size] = np.arange(len(own)), counts
+            self.excess[own] = n[own] - counts.sum(1, dtype=np.int64)
+
+    def bound(self, q: int, others: np.ndarray) -> np.ndarray:
+        """For each of ``others``, a number that the shingles it shares with ``q`` cannot exceed."""
+        out, fine = np.zeros(len(others), np.int64), self.slots[q]
+        mine = self.counts[fine][self.place[q]].astype(np.int64)
+        for size in np.unique(self.slots[others]):
+            own = np.flatnonzero(self.slots[others] == size)
+            coarse = min(size, fine)
+            one = mine.reshape(-1, coarse).sum(0)      # slots i, i + coarse, ... are slot i of a signature of ``coarse`` slots
+            step = max(1, SIGNATURE_BYTES // int(size))
+            for a in range(0, len(own), step):
+                part = others[own[a:a + step]]
+                counts = self.counts[size][self.place[part]]
+                if size > coarse:
+                    counts = counts.reshape(len(part), -1, coarse).sum(1, dtype=np.int16)
+                out[own[a:a + step]] = np.minimum(counts, one.astype(counts.dtype) if size == fine else one).sum(1, dtype=np.int64)
+            # what slots do not count is in slots full on both sides if they are the same ones, else anywhere
+            excess = self.excess[others[own]]
+            out[own] += np.minimum(excess, self.excess[q]) if size == fine else excess + self.excess[q]
+        return out
+
+
 def _profiles(k, num, den, tokens, ranks, common=None, signed=True):
     """Size, fingerprint, prefix and (if ``signed``) count signature of every row's set.
 
@@ -109,15 +166,13 @@ def _profiles(k, num, den, tokens, ranks, common=None, signed=True):
                     rank = np.where(tokens[at] == h, ranks[at], 0)
                 if common is not None:
                     rank = np.maximum(rank, common.holds(mix(h)))
-                counts = np.zeros((chunk.rows, SLOTS)) if not signed else np.bincount(row * SLOTS + (h & U(SLOTS - 1)).astype(np.int64), minlength=chunk.rows * SLOTS).reshape(-1, SLOTS)
-                signature = np.minimum(counts, MOST_COUNT).astype(np.uint8)
-                signature = signature[:, ::2] << 4 | signature[:, 1::2]           # two slots a byte
+                signature = signatures(row, h, n) if signed else [b""] * chunk.rows
                 ordered = h[np.lexsort((h, rank, row))]
                 at = bounds(row, chunk.rows)
                 prefix = [ordered[a:a + p].tobytes() for a, p in zip(at, np.where(n > 0, n - least_overlap(n, num, den) + 1, 0))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(chunk.first, chunk.rows), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
-                     pa.array(prefix, pa.binary()), pa.array([s.tobytes() for s in signature], pa.binary())],
+                     pa.array(prefix, pa.binary()), pa.array(signature, pa.binary())],
                     ["doc", "n", "f1", "f2", "prefix", "signature"])
     return run
 
@@ -132,7 +187,8 @@ def _prefix_tokens(keep):
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             n, f1, f2 = (_longs(batch.column(i)) for i in (0, 1, 2))
-            prefixes, signatures = batch.column(3), batch.column(4)
+            prefixes, signature = batch.column(3), batch.column(4)
+            widest = max(1, pc.max(pc.binary_length(signature)).as_py() or 0) if keep is not None and len(n) else 1
             for lo in range(0, len(n), 512):
                 owner, tokens = [], []
                 for i in range(lo, min(lo + 512, len(n))):
@@ -146,11 +202,14 @@ def _prefix_tokens(keep):
                     owner.append(np.full(len(own), i))
                 if not owner:
                     continue
-                owner = np.concatenate(owner)
-                out = [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(f1[owner]), pa.array(f2[owner])]
-                if keep is not None:
-                    out += [pa.array(n[owner]), signatures.take(pa.array(owner))]
-                yield pa.RecordBatch.from_arrays(out, ["token", "f1", "f2", "n", "signature"][:len(out)])
+                token, owner = np.concatenate(tokens).view(np.int64), np.concatenate(owner)
+                step = max(1, SIGNATURE_BYTES // widest) if keep is not None else max(1, len(owner))
+                for a in range(0, len(owner), step):
+                    own = owner[a:a + step]
+                    out = [pa.array(token[a:a + step]), pa.array(f1[own]), pa.array(f2[own])]
+                    if keep is not None:
+                        out += [pa.array(n[own]), signature.take(pa.array(own))]
+                    yield pa.RecordBatch.from_arrays(out, ["token", "f1", "f2", "n", "signature"][:len(out)])
     return run
 
 
@@ -191,17 +250,17 @@ def _may_link(num, den):
             if len(f1) < 2:
                 continue
             n = np.concatenate([_longs(p.column(3)) for p in parts])[pick]
-            packed = np.frombuffer(b"".join(x for p in parts for x in p.column(4).to_pylist()), np.uint8).reshape(-1, SLOTS // 2)[pick]
-            signature = np.concatenate([packed >> 4, packed & 15], axis=1).astype(np.int16)
-            excess = n - signature.sum(1)
+            packed = [x for p in parts for x in p.column(4).to_pylist()]
+            signed = Signatures([packed[i] for i in pick], n)
             left = np.arange(len(f1))
             while len(left) > 1:
                 queue, left = [left[0]], left[1:]
                 root = queue[0]
                 while queue and len(left):
                     q = queue.pop()
-                    bound = np.minimum(signature[left], signature[q]).sum(1) + np.minimum(excess[left], excess[q])
-                    near = bound * (num + den) >= num * (n[left] + n[q])
+                    near = num * np.maximum(n[left], n[q]) <= den * np.minimum(n[left], n[q])   # others differ too much in size
+                    bound = signed.bound(q, left[near])
+                    near[near] = bound * (num + den) >= num * (n[left[near]] + n[q])
                     found = left[near]
                     queue += list(found)
                     left = left[~near]

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,8 +81,59 @@ def test_similar_components_split_paths_are_the_same(spark, rows, monkeypatch):
     assert got == brute.components(rows, 2, 60, 100)
 
 
+def profiled(texts, k=4):
+    """Set sizes, two fingerprints and signatures of ``texts`` as the operator describes them."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc", "text"])
+    return pa.Table.from_batches(jaccard._profiles(k, 85, 100, np.zeros(0, np.uint64), np.zeros(0, np.int64))([batch])).combine_chunks().to_batches()[0]
+
+
+def test_long_unrelated_texts_that_share_a_token_are_no_family():
+    rnd = random.Random(8)
+    texts = ["four words in common " + brute.sentence(rnd, n) for n in (3000, 3100, 5000, 5100, 9000)]
+    words = texts[3].split()
+    texts += [" ".join(words[:-200]) + " " + brute.sentence(rnd, 150), " ".join(brute.sentence(rnd, 10) if i == 500 else w for i, w in enumerate(words))]
+    p = profiled(texts)
+    bucket = pa.RecordBatch.from_arrays([pa.array([7] * len(texts)), *(p.column(c) for c in ("f1", "f2", "n", "signature"))], ["token", "f1", "f2", "n", "signature"])
+    edges = pa.Table.from_batches(jaccard._may_link(85, 100)([bucket]))
+    f1 = p.column("f1").to_pylist()
+    assert {f1.index(x) for c in ("a", "b") for x in edges.column(c).to_pylist()} == {3, 5, 6} and edges.num_rows == 2
+
+
+def test_bound_is_never_below_the_overlap():
+    rnd = random.Random(9)
+    base = brute.sentence(rnd, 4000).split()
+    texts = [" ".join(base[rnd.randint(0, 50):n]) + " " + brute.sentence(rnd, 1 + n // 50) for n in (60, 900, 1000, 1010, 1100, 2000, 2060, 2300, 4000)] + ["one", "the the " * 300]
+    p, sets = profiled(texts), [brute.shingles(t, 4) for t in texts]
+    n = np.array([len(s) for s in sets])
+    signed = jaccard.Signatures(p.column("signature").to_pylist(), n)
+    assert p.column("n").to_pylist() == n.tolist() and len(set(signed.slots.tolist())) > 2
+    for q, s in enumerate(sets):
+        bound = signed.bound(q, np.arange(len(sets)))
+        assert all(b >= len(s & t) for b, t in zip(bound, sets)) and bound[q] == len(s)
+    # slots that are full count the rest in the excess, on one side or both, whatever the number of slots
+    crowded = [[rnd.randrange(1 << 6) + (rnd.randrange(1 << 40) << 13) for _ in range(m)] for m in (900, 1000, 1100, 1500, 2100)]
+    crowded = [np.unique(np.array(c + crowded[0][:800], np.uint64)) for c in crowded]
+    n = np.array([len(c) for c in crowded])
+    row = np.repeat(np.arange(len(n)), n)
+    signed = jaccard.Signatures(jaccard.signatures(row, np.concatenate(crowded), n), n)
+    assert signed.excess.min() > 0 and len(set(signed.slots.tolist())) > 1
+    for q, c in enumerate(crowded):
+        assert all(b >= len(np.intersect1d(c, d)) for b, d in zip(signed.bound(q, np.arange(len(n))), crowded))
+
+
+def test_few_rows_of_wide_signatures_in_a_batch(spark, rows, monkeypatch):
+    p = profiled([t for _, t in rows])
+    p = p.select(["n", "f1", "f2", "prefix", "signature"])
+    everything = jaccard.BitFilter(np.full(1 << 10, 255, np.uint8), 13)
+    want = pa.Table.from_batches(jaccard._prefix_tokens(everything)([p]))
+    monkeypatch.setattr(jaccard, "SIGNATURE_BYTES", 1000)
+    few = list(jaccard._prefix_tokens(everything)([p]))
+    assert pa.Table.from_batches(few).equals(want) and max(b.num_rows for b in few) < 20
+    got = result(similar_components(brute.frame(spark, rows), k=4, num=85), "doc_id", "n_shingles", "component_id")
+    assert got == brute.components(rows, 4, 85, 100)
+
+
 def test_occurrence_search_finds_all_links():
-    import numpy as np
     rnd = random.Random(5)
     for _ in range(30):
         base = [rnd.sample(range(60), rnd.randint(1, 30)) for _ in range(4)]
